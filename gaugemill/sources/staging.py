@@ -1,0 +1,45 @@
+"""Scratch space for data that a query writes and reads back."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+CHECKPOINT_DIR = "spark.checkpoint.dir"
+
+
+def new_staging_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder the session names; removed when the driver ends."""
+    path = f"{_shared_folder(spark)}/gaugemill/{name}-{uuid.uuid4().hex}"
+    _remove_at_exit(spark, path)
+    return path
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
+    folder = tempfile.mkdtemp(prefix="gaugemill-")
+    spark.conf.set(CHECKPOINT_DIR, folder)
+    return folder
+
+
+def size_in_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files under a path, from the file system's own metadata."""
+    target, file_system = _file_system(spark, path)
+    return file_system.getContentSummary(target).getLength()
+
+
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    target, file_system = _file_system(spark, path)
+    file_system.mkdirs(target)  # only an existing path can be marked
+    file_system.deleteOnExit(target)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
