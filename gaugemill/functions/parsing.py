@@ -39,11 +39,13 @@ def parse_timestamp(text: Column, fmt: str = TIMESTAMP_FORMAT) -> Column:
 
 
 def strip_label(text: Column, label: str) -> Column:
-    """Remove a literal label wherever it stands; empty results become NULL."""
-    return F.nullif(F.replace(text, F.lit(label), F.lit("")), F.lit(""))
+    """Remove a literal label wherever it stands."""
+    return F.replace(text, F.lit(label), F.lit(""))
 
 
 def machine_number(text: Column) -> Column:
-    """The number after the first machine label anywhere in the text."""
-    digits = F.regexp_extract(text, MACHINE_PATTERN, 1)
-    return F.nullif(digits, F.lit("")).try_cast("int")
+    """The number after the first machine label anywhere in the text.
+
+    No match gives empty text, which the cast turns into NULL without a test of its own.
+    """
+    return F.regexp_extract(text, MACHINE_PATTERN, 1).try_cast("int")

@@ -15,7 +15,7 @@ from gaugemill.functions.parsing import (
 from gaugemill.functions.timing import month_start
 from gaugemill.schemas import MONTH_PARTITION, reading_table
 
-_SAME_NAME = (
+_KEPT = (
     "_id",
     "anomaly_flag",
     "downtime_risk",
@@ -28,13 +28,12 @@ _SAME_NAME = (
 def clean_readings(documents: DataFrame, float_type: str = "double") -> DataFrame:
     """Fifteen typed columns per document; every column is cast, whatever was inferred.
 
-    A single projection: no shuffle, and only the struct fields used are read.
+    Projections only: no shuffle, and only the struct fields used are read. The month is
+    taken from the parsed timestamp in a second step, so that the text is parsed once.
     """
-    timestamp = parse_timestamp(strip_label(F.col("timestamp"), DATE_LABEL))
-    found = {name: F.col(name) for name in _SAME_NAME}
+    found = {name: F.col(name) for name in _KEPT}
     found |= {
-        "timestamp": timestamp,
-        MONTH_PARTITION: month_start(timestamp),
+        "timestamp": parse_timestamp(strip_label(F.col("timestamp"), DATE_LABEL)),
         "machine_id": machine_number(F.col("machine_id")),
         "remaining_life": F.col("life_remaining"),
         "temperature": F.col("readings.temperature"),
@@ -43,9 +42,12 @@ def clean_readings(documents: DataFrame, float_type: str = "double") -> DataFram
         "energy_consumption": F.col("readings.energy_use"),
         "humidity": strip_label(F.col("readings.humidity"), HUMIDITY_LABEL),
     }
-    return documents.select(
+    schema = reading_table(float_type)
+    typed = documents.select(
         *(
             found[field.name].try_cast(field.dataType).alias(field.name)
-            for field in reading_table(float_type)
+            for field in schema
+            if field.name in found
         )
     )
+    return typed.withColumn(MONTH_PARTITION, month_start(F.col("timestamp")))

@@ -1,0 +1,179 @@
+from __future__ import annotations
+
+from datetime import date, datetime, timedelta
+
+import pytest
+from conftest import MEDIUM, plan_of, rows
+from pyspark.sql import functions as F
+
+from gaugemill.functions.timing import latest
+from gaugemill.operators import reports, summaries
+from gaugemill.operators.filters import last_days, last_months
+from gaugemill.schemas import reading_table
+from gaugemill.sources.sample_tables import lineitem, shipment_readings
+
+NOW = datetime(2025, 5, 31, 10)
+
+
+def readings(spark, *changes):
+    """Readings that differ from a default in the given columns."""
+    default = {
+        "_id": "1",
+        "timestamp": NOW,
+        "temperature": 10.0,
+        "vibration": 1.0,
+        "energy_consumption": 5.0,
+        "anomaly_flag": False,
+        "remaining_life": 100,
+        "machine_id": 39,
+        "machine_status": "1",
+        "maintenance_required": False,
+    }
+    schema = reading_table()
+    records = []
+    for change in changes:
+        record = default | change
+        if record["timestamp"] is not None:
+            record.setdefault("month_partition", record["timestamp"].date().replace(day=1))
+        records.append(tuple(record.get(name) for name in schema.fieldNames()))
+    return spark.createDataFrame(records, schema)
+
+
+def test_ranges_include_the_cutoff(spark):
+    second = timedelta(seconds=1)
+    edge = datetime(2025, 2, 28, 10)
+    frame = readings(
+        spark,
+        {"timestamp": edge},
+        {"timestamp": edge - second},
+        {"timestamp": NOW},
+        {"timestamp": None},
+    )
+    kept = last_months(frame, 3, NOW).select("timestamp")
+    assert rows(kept) == [(edge,), (NOW,)]
+    frame = readings(
+        spark,
+        {"timestamp": NOW - timedelta(days=45)},
+        {"timestamp": NOW - timedelta(days=45) - second},
+    )
+    assert rows(last_days(frame, 45, NOW).select("timestamp")) == [(NOW - timedelta(days=45),)]
+
+
+def test_range_ends_now_by_default(spark):
+    now = datetime.now()
+    frame = readings(
+        spark, {"timestamp": now - timedelta(days=44)}, {"timestamp": now - timedelta(days=46)}
+    )
+    assert last_days(frame, 45).count() == 1
+
+
+def test_daily_averages(spark):
+    frame = readings(
+        spark,
+        {"timestamp": NOW, "temperature": 20.0},
+        {"timestamp": NOW + timedelta(hours=1), "temperature": 30.0, "vibration": None},
+        {"timestamp": NOW - timedelta(days=2), "temperature": None},
+        {"timestamp": NOW, "machine_id": 40},
+        {"timestamp": NOW - timedelta(days=50)},
+    )
+    assert [tuple(row) for row in reports.daily_averages(frame, as_of=NOW).collect()] == [
+        (date(2025, 5, 29), None, 1.0),
+        (date(2025, 5, 31), 25.0, 1.0),
+    ]
+
+
+def test_flags_and_thresholds(spark):
+    frame = readings(
+        spark,
+        {"machine_id": 1, "remaining_life": 49, "anomaly_flag": True},
+        {"machine_id": 2, "remaining_life": 50, "anomaly_flag": True},
+        {"machine_id": 3, "remaining_life": 49, "anomaly_flag": None},
+        {"machine_id": 4, "remaining_life": None, "anomaly_flag": True},
+        {"machine_id": 5, "maintenance_required": True},
+        {"machine_id": 6, "maintenance_required": None},
+    )
+    assert rows(reports.high_risk(frame)) == [(1, 49, "1", True)]
+    assert rows(reports.needs_maintenance(frame)) == [(5, "1", True)]
+
+
+def test_all_reports_are_named(spark, capsys):
+    frame = readings(spark, {"maintenance_required": True})
+    named = reports.all_reports(NOW)
+    assert list(named) == ["daily_averages", "high_risk", "needs_maintenance"]
+    counts = {name: report(frame).count() for name, report in named.items()}
+    assert counts == {"daily_averages": 1, "high_risk": 0, "needs_maintenance": 1}
+    reports.preview(named["needs_maintenance"](frame))
+    shown = capsys.readouterr().out
+    assert "maintenance_required: boolean" in shown and "|39        |1" in shown
+
+
+def test_anomaly_summary_keeps_empty_months(spark):
+    frame = readings(
+        spark,
+        {"anomaly_flag": True},
+        {"anomaly_flag": True},
+        {"anomaly_flag": None},
+        {"timestamp": datetime(2025, 4, 1)},
+        {"machine_id": None, "timestamp": None, "anomaly_flag": True},
+    )
+    assert rows(summaries.anomaly_summary(frame)) == [
+        ("39", date(2025, 4, 1), 0),
+        ("39", date(2025, 5, 1), 2),
+        (None, None, 1),
+    ]
+    kinds = [dict(summaries.anomaly_summary(frame, kind).dtypes) for kind in ("int", "double")]
+    assert [kind["anomaly_count"] for kind in kinds] == ["int", "double"]
+
+
+def test_energy_efficiency_with_gaps(spark):
+    frame = readings(
+        spark,
+        {"machine_status": "2"},
+        {"machine_status": "broken", "energy_consumption": 7.0},
+        {"machine_id": 1, "energy_consumption": None},
+    )
+    assert rows(summaries.energy_efficiency(frame)) == [
+        ("1", None, None, 1.0),
+        ("39", 7.0, 6.0, 2.0),
+    ]
+
+
+def test_monthly_temp(spark):
+    frame = readings(
+        spark,
+        {"temperature": 1.0, "timestamp": datetime(2025, 2, 28, 10)},
+        {"temperature": 9.0, "timestamp": datetime(2025, 2, 28, 9)},
+        {"temperature": 3.0},
+        {"temperature": 4.0},
+    )
+    assert rows(summaries.monthly_temp(frame, as_of=NOW)) == [
+        (date(2025, 2, 1), "39", 1.0),
+        (date(2025, 5, 1), "39", 3.5),
+    ]
+
+
+def test_float_temperature_is_widened(spark):
+    frame = readings(spark, {"temperature": 0.1}).withColumn(
+        "temperature", F.col("temperature").cast("float")
+    )
+    (row,) = summaries.monthly_temp(frame, as_of=NOW).collect()
+    assert row["avg_temperature"] == 0.10000000149011612
+
+
+@pytest.mark.parametrize("as_of", [datetime(2001, 11, 4), "latest"])
+def test_time_range_reaches_the_scan(spark, as_of):
+    frame = shipment_readings(lineitem(spark, MEDIUM))
+    if as_of == "latest":
+        as_of = latest(frame)
+    plan = plan_of(summaries.monthly_temp(frame, as_of=as_of))
+    assert "GreaterThanOrEqual(l_shipdate," in plan
+    assert "ReadSchema: struct<l_suppkey:bigint,l_quantity:double,l_shipdate:timestamp>" in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_flags_reach_the_scan(spark):
+    frame = shipment_readings(lineitem(spark, MEDIUM))
+    plan = plan_of(reports.needs_maintenance(frame))
+    assert "EqualTo(l_linestatus,O)" in plan and "Exchange" not in plan
+    plan = plan_of(reports.high_risk(frame))
+    assert "EqualTo(l_returnflag,R)" in plan and "LessThan(l_linenumber,50)" in plan
