@@ -24,6 +24,12 @@ def latest(readings: DataFrame) -> DataFrame:
     return readings.agg(F.max("timestamp").alias("as_of"))
 
 
+def fixed(as_of: DataFrame) -> str | None:
+    """The moment in a one-row frame as text, for a stream that would compute it per batch."""
+    (name,) = as_of.columns
+    return as_of.select(F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+
+
 def days_before(as_of: AsOf, days: int) -> Column:
     return _before(as_of, F.make_dt_interval(F.lit(days)))
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,13 +24,18 @@ _KEYS = {
 
 @dataclass(frozen=True)
 class Summary:
-    """A summary by its keys, its inputs, and SQL for building and merging its states."""
+    """A summary by its keys, its inputs, and SQL for building and merging its states.
+
+    ``states`` aggregates inputs, ``combined`` aggregates states to states of the same
+    columns, and ``finals`` turns combined states into values.
+    """
 
     name: str
     keys: tuple[str, ...]
     inputs: tuple[str, ...]
     states: dict[str, str]
-    merged: dict[str, str]
+    combined: dict[str, str]
+    finals: dict[str, str]
     schema: T.StructType
     months: int | None = None
 
@@ -43,29 +48,43 @@ class Summary:
     def to_states(self, inputs: DataFrame) -> DataFrame:
         """One row of states per key."""
         keys = (F.expr(_KEYS[key]).alias(key) for key in self.keys)
-        return inputs.groupBy(*keys).agg(*_aliased(self.states))
+        return inputs.groupBy(*keys).agg(*_columns(self.states))
+
+    def combine_states(self, states: DataFrame) -> DataFrame:
+        """One row of states per key from any number of rows."""
+        return states.groupBy(*self.keys).agg(*_columns(self.combined))
 
     def merge_states(self, states: DataFrame) -> DataFrame:
         """Final values per key from any number of state rows."""
-        return states.groupBy(*self.keys).agg(*_aliased(self.merged))
+        return self.combine_states(states).select(*self.keys, *_columns(self.finals))
 
     def merge_sql(self, table: str) -> str:
         """``merge_states`` as SQL text, for a catalog view."""
-        values = (f"{sql} AS {name}" for name, sql in self.merged.items())
         keys = ", ".join(self.keys)
-        return f"SELECT {keys}, {', '.join(values)} FROM {table} GROUP BY {keys}"
+        return (
+            f"SELECT {keys}, {_select_list(self.finals)} FROM "
+            f"(SELECT {keys}, {_select_list(self.combined)} FROM {table} GROUP BY {keys})"
+        )
+
+
+def _columns(expressions: dict[str, str]) -> list[Column]:
+    return [F.expr(sql).alias(name) for name, sql in expressions.items()]
 
 
-def _aliased(expressions: dict[str, str]):
-    return (F.expr(sql).alias(name) for name, sql in expressions.items())
+def _select_list(expressions: dict[str, str]) -> str:
+    return ", ".join(f"{sql} AS {name}" for name, sql in expressions.items())
 
 
 def _average_state(value: str) -> str:
     return f"named_struct('sum', sum({value}), 'count', count({value}))"
 
 
+def _combined_average(state: str) -> str:
+    return f"named_struct('sum', sum({state}.sum), 'count', sum({state}.count))"
+
+
 def _average(state: str) -> str:
-    return f"try_divide(sum({state}.sum), sum({state}.count))"
+    return f"try_divide({state}.sum, {state}.count)"
 
 
 _AVERAGE = struct(sum=T.DoubleType(), count=T.LongType())
@@ -77,7 +96,8 @@ def _anomalies(count_type: str) -> Summary:
         keys=("machine_id", "month"),
         inputs=("machine_id", "timestamp", "anomaly_flag"),
         states={"anomaly_count": "count_if(anomaly_flag)"},
-        merged={"anomaly_count": f"cast(sum(anomaly_count) AS {count_type})"},
+        combined={"anomaly_count": "sum(anomaly_count)"},
+        finals={"anomaly_count": f"cast(anomaly_count AS {count_type})"},
         schema=struct(
             machine_id=T.StringType(), month=T.DateType(), anomaly_count=T.LongType()
         ),
@@ -99,8 +119,13 @@ ENERGY = Summary(
         "avg_energy": _average_state(_ENERGY),
         "avg_machine_status": _average_state(_STATUS),
     },
-    merged={
+    combined={
         "max_energy": "max(max_energy)",
+        "avg_energy": _combined_average("avg_energy"),
+        "avg_machine_status": _combined_average("avg_machine_status"),
+    },
+    finals={
+        "max_energy": "max_energy",
         "avg_energy": _average("avg_energy"),
         "avg_machine_status": _average("avg_machine_status"),
     },
@@ -117,7 +142,8 @@ TEMPERATURE = Summary(
     keys=("month", "machine_id"),
     inputs=("machine_id", "timestamp", "temperature"),
     states={"avg_temp": _average_state("cast(temperature AS double)")},
-    merged={"avg_temperature": _average("avg_temp")},
+    combined={"avg_temp": _combined_average("avg_temp")},
+    finals={"avg_temperature": _average("avg_temp")},
     schema=struct(month=T.DateType(), machine_id=T.StringType(), avg_temp=_AVERAGE),
     months=3,
 )

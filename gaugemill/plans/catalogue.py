@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gaugemill.functions.labels import failure_code, label, label_timestamp
 from gaugemill.functions.parsing import HUMIDITY_LABEL, MACHINE_LABEL, parse_timestamp
-from gaugemill.functions.timing import latest, year_month
+from gaugemill.functions.timing import fixed, latest, year_month
 from gaugemill.operators import reports, summaries
 from gaugemill.operators.clean import clean_readings
 from gaugemill.operators.ingest import flatten_documents, nest_readings, type_readings
@@ -204,7 +204,7 @@ def _feed_from_lineitem(
     spark: SparkSession, sf_dir: str, table: SummaryTable, database: str
 ) -> None:
     readings = shipment_readings(lineitem_stream(spark, sf_dir, STREAM_BATCH))
-    as_of = latest(shipment_readings(lineitem(spark, sf_dir)))
+    as_of = _end_of(table, shipment_readings(lineitem(spark, sf_dir)))
     checkpoint = new_staging_path(spark, "checkpoint")
     catch_up(readings, (table,), database, checkpoint, RUN, as_of)
 
@@ -215,11 +215,15 @@ def _feed_from_documents(
     path = _stage_documents(spark, sf_dir, inserts=INSERTS)
     per_batch = max(1, size_in_bytes(spark, path) // INSERTS)
     documents = stream_documents(spark, f"{path}/*", RAW_DOCUMENT, max_bytes=per_batch)
-    as_of = latest(event_readings(events(spark, sf_dir)))
+    as_of = _end_of(table, event_readings(events(spark, sf_dir)))
     checkpoint = new_staging_path(spark, "checkpoint")
     catch_up(clean_readings(documents), (table,), database, checkpoint, RUN, as_of)
 
 
+def _end_of(table: SummaryTable, readings: DataFrame) -> str | None:
+    return None if table.summary.months is None else fixed(latest(readings))
+
+
 # Flows
 
 
@@ -257,7 +261,7 @@ def _run_native(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFr
         database,
         new_staging_path(spark, "checkpoint"),
         RUN,
-        as_of=latest(event_readings(source)),
+        as_of=fixed(latest(event_readings(source))),
         max_bytes=STREAM_BATCH,
     )
     return database, results

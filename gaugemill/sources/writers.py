@@ -39,16 +39,18 @@ def append_table(
     sort_by: Sequence[str] = (),
     not_null: Sequence[str] = (),
     on_null: str = "raise",
+    gather: bool = True,
     options: Mapping[str, str] | None = None,
 ) -> None:
     """Write to a catalog table, matching columns by name.
 
     Rows are gathered by partition, so that each partition gets few files. ``rebalance``
     lets adaptive execution split a partition value that holds much of the data over many
-    tasks, where a plain repartition would put it into one.
+    tasks, where a plain repartition would put it into one. Input that comes ordered by
+    partition, such as a time-ordered feed, can do without that shuffle (``gather=False``).
     """
     frame = require_values(frame, not_null, on_null)
-    if partition_by:
+    if partition_by and gather:
         frame = frame.hint("rebalance", *(F.col(name) for name in partition_by))
     if sort_by:
         frame = frame.sortWithinPartitions(*partition_by, *sort_by)

@@ -8,19 +8,49 @@ again and needs a ``run_id`` of its own.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gaugemill.functions.timing import AsOf
-from gaugemill.plans.tables import SummaryTable
+from gaugemill.plans.tables import INSERT_COLUMNS, SummaryTable
+
+
+FOLDED_RUN = "folded"
 
 
 def write_states(
     inputs: DataFrame, table: SummaryTable, database: str, run_id: str, batch_id: int
 ) -> None:
     """Store the states of one insert, replacing those of an earlier attempt."""
-    states = table.summary.to_states(inputs)
+    _store(table.summary.to_states(inputs), table, database, run_id, batch_id)
+
+
+def fold_states(
+    spark: SparkSession, table: SummaryTable, database: str, target: str, run_id: str
+) -> None:
+    """Combine the states of many inserts into one, in the table of another database.
+
+    State tables grow by a row per key and insert. Stop the stream of ``run_id``, fold, and
+    go on with the same checkpoint in ``target``. The run's last batch may yet be repeated
+    and stays apart. The old table is left as it is, so folding can be repeated, too.
+    """
+    states = spark.table(f"{database}.{table.states}")
+    this_run = F.col("run_id") == run_id
+    last = states.where(this_run).agg(F.max("batch_id")).first()[0]
+    if last is None:
+        older = states
+    else:
+        is_last = this_run & (F.col("batch_id") == last)
+        older = states.where(~is_last)
+        kept = states.where(is_last).drop(*INSERT_COLUMNS)
+        _store(kept, table, target, run_id, last)
+    _store(table.summary.combine_states(older), table, target, FOLDED_RUN, 0)
+
+
+def _store(
+    states: DataFrame, table: SummaryTable, database: str, run_id: str, batch_id: int
+) -> None:
     if table.by_month:
         states = states.hint("rebalance", F.col("month"))
     by_month = ", month" if table.by_month else ""

@@ -8,7 +8,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from test_reports import NOW, readings
 
-from gaugemill.functions.timing import latest
+from gaugemill.functions.timing import fixed, latest
 from gaugemill.operators import summaries
 from gaugemill.operators.states import ANOMALIES, ENERGY, TEMPERATURE
 from gaugemill.plans.tables import (
@@ -23,7 +23,7 @@ from gaugemill.sources.readers import stream_documents, stream_table
 from gaugemill.sources.sample_tables import event_readings, events, lineitem, shipment_readings
 from gaugemill.sources.writers import append_readings
 from gaugemill.streaming import views
-from gaugemill.streaming.views import catch_up, maintain, write_states
+from gaugemill.streaming.views import catch_up, fold_states, maintain, write_states
 
 ALL_TABLES = SUMMARY_TABLES + STATE_TABLES
 
@@ -100,6 +100,44 @@ def test_runs_add_up(spark, prepared):
     assert rounded(table.read(spark, prepared)) == rounded(summaries.energy_efficiency(frame))
 
 
+@pytest.mark.parametrize("table", ALL_TABLES[1:4], ids=lambda table: table.name)
+def test_folded_states_go_on(spark, prepared, tmp_path, table):
+    frame = event_readings(events(spark, SMALL))
+    as_of = fixed(latest(frame))
+    source, checkpoint = f"{tmp_path}/parts", f"{tmp_path}/checkpoint"
+    frame.repartition(4).write.parquet(source)
+    stream = stream_documents(spark, source, frame.schema, "parquet", max_files=1)
+    write_states(table.summary.select_inputs(frame, as_of), table, prepared, "old", 0)
+    catch_up(stream, (table,), prepared, checkpoint, "run", as_of)
+    target = f"{prepared}_folded"
+    spark.sql(f"CREATE DATABASE {target} LOCATION '{tmp_path}/folded'")
+    create_summaries(spark, target)
+    create_states(spark, target)
+    twice = frame.union(frame)
+    for _ in range(2):
+        fold_states(spark, table, prepared, target, "run")
+        assert batches(spark, target, table) == [0, 3]
+        assert rounded(table.read(spark, target)) == rounded(direct(table, twice, as_of))
+    frame.coalesce(1).write.mode("append").parquet(source)
+    catch_up(stream, (table,), target, checkpoint, "run", as_of)
+    assert batches(spark, target, table) == [0, 3, 4]
+    thrice = twice.union(frame)
+    assert rounded(table.read(spark, target)) == rounded(direct(table, thrice, as_of))
+    spark.sql(f"DROP DATABASE {target} CASCADE")
+
+
+def test_fold_without_the_run(spark, prepared, tmp_path):
+    frame = event_readings(events(spark, SMALL))
+    table = STATE_TABLES[1]
+    write_states(table.summary.select_inputs(frame), table, prepared, "old", 5)
+    target = f"{prepared}_folded"
+    spark.sql(f"CREATE DATABASE {target} LOCATION '{tmp_path}/folded'")
+    create_states(spark, target)
+    fold_states(spark, table, prepared, target, "new")
+    assert rounded(table.read(spark, target)) == rounded(direct(table, frame, None))
+    spark.sql(f"DROP DATABASE {target} CASCADE")
+
+
 @pytest.mark.parametrize("table", ALL_TABLES, ids=lambda table: table.name)
 def test_repeated_insert_replaces_itself(spark, prepared, table):
     frame = shipment_readings(lineitem(spark, SMALL))

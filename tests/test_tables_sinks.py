@@ -193,7 +193,6 @@ def test_session_settings_can_be_overridden(spark):
     assert session.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "64m"
     assert session.conf.get("spark.sql.session.timeZone") == "UTC"
     session.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    session.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
 
 
 def test_staging_is_in_the_named_folder(spark):
