@@ -14,12 +14,9 @@ from pyspark.sql import types as T
 
 from gaugemill.functions.timing import AsOf
 from gaugemill.operators.filters import last_months
-from gaugemill.schemas import struct
+from gaugemill.schemas import MONTH_PARTITION, struct
 
-_KEYS = {
-    "machine_id": "cast(machine_id AS string)",
-    "month": "trunc(timestamp, 'month')",
-}
+_KEY_INPUTS = {"machine_id": "machine_id", "month": MONTH_PARTITION}
 
 
 @dataclass(frozen=True)
@@ -46,9 +43,10 @@ class Summary:
         return readings.select(*self.inputs)
 
     def to_states(self, inputs: DataFrame) -> DataFrame:
-        """One row of states per key."""
-        keys = (F.expr(_KEYS[key]).alias(key) for key in self.keys)
-        return inputs.groupBy(*keys).agg(*_columns(self.states))
+        """One row of states per key; ids become text after grouping by the number."""
+        keys = (F.col(_KEY_INPUTS[key]).alias(key) for key in self.keys)
+        states = inputs.groupBy(*keys).agg(*_columns(self.states))
+        return states.withColumn("machine_id", F.col("machine_id").cast("string"))
 
     def combine_states(self, states: DataFrame) -> DataFrame:
         """One row of states per key from any number of rows."""
@@ -94,7 +92,7 @@ def _anomalies(count_type: str) -> Summary:
     return Summary(
         name="anomalies",
         keys=("machine_id", "month"),
-        inputs=("machine_id", "timestamp", "anomaly_flag"),
+        inputs=("machine_id", MONTH_PARTITION, "anomaly_flag"),
         states={"anomaly_count": "count_if(anomaly_flag)"},
         combined={"anomaly_count": "sum(anomaly_count)"},
         finals={"anomaly_count": f"cast(anomaly_count AS {count_type})"},
@@ -140,7 +138,7 @@ ENERGY = Summary(
 TEMPERATURE = Summary(
     name="temperature",
     keys=("month", "machine_id"),
-    inputs=("machine_id", "timestamp", "temperature"),
+    inputs=("machine_id", MONTH_PARTITION, "temperature"),
     states={"avg_temp": _average_state("cast(temperature AS double)")},
     combined={"avg_temp": _combined_average("avg_temp")},
     finals={"avg_temperature": _average("avg_temp")},

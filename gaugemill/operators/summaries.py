@@ -2,42 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugemill.functions.timing import AsOf, month_start
+from gaugemill.functions.timing import AsOf
 from gaugemill.operators.filters import last_months
-
-
-def _machine():
-    return F.col("machine_id").cast("string").alias("machine_id")
-
-
-def _month():
-    return month_start(F.col("timestamp")).alias("month")
-
+from gaugemill.schemas import MONTH_PARTITION
 
 def anomaly_summary(readings: DataFrame, count_type: str = "int") -> DataFrame:
     """Anomalies per machine and month, including months without any."""
     count = F.count_if(F.col("anomaly_flag")).cast(count_type)
-    return readings.groupBy(_machine(), _month()).agg(count.alias("anomaly_count"))
+    grouped = readings.groupBy("machine_id", _month())
+    return _with_text_id(grouped.agg(count.alias("anomaly_count")))
 
 
 def energy_efficiency(readings: DataFrame) -> DataFrame:
     """Highest and average energy, and average status, per machine."""
     energy = F.col("energy_consumption").cast("double")
-    return readings.groupBy(_machine()).agg(
-        F.max(energy).alias("max_energy"),
-        F.avg(energy).alias("avg_energy"),
-        F.avg(F.col("machine_status").try_cast("double")).alias("avg_machine_status"),
+    return _with_text_id(
+        readings.groupBy("machine_id").agg(
+            F.max(energy).alias("max_energy"),
+            F.avg(energy).alias("avg_energy"),
+            F.avg(F.col("machine_status").try_cast("double")).alias("avg_machine_status"),
+        )
     )
 
 
 def monthly_temp(readings: DataFrame, months: int = 3, as_of: AsOf = None) -> DataFrame:
     """Average temperature per machine and month over the last months."""
     temperature = F.col("temperature").cast("double")
-    return (
-        last_months(readings, months, as_of)
-        .groupBy(_month(), _machine())
-        .agg(F.avg(temperature).alias("avg_temperature"))
-    )
+    grouped = last_months(readings, months, as_of).groupBy(_month(), "machine_id")
+    return _with_text_id(grouped.agg(F.avg(temperature).alias("avg_temperature")))
+
+
+def _month() -> Column:
+    return F.col(MONTH_PARTITION).alias("month")
+
+
+def _with_text_id(summary: DataFrame) -> DataFrame:
+    """Summaries show ids as text; grouping by the number moves and compares less."""
+    return summary.withColumn("machine_id", F.col("machine_id").cast("string"))

@@ -59,6 +59,8 @@ RAW_DOCUMENT = struct(
     maintenance_required=_INT,
 )
 
+# The first day of the timestamp's month, set when a reading is cleaned. Filters and
+# summaries rely on it: in the table it costs no read and no computation per row.
 MONTH_PARTITION = "month_partition"
 REQUIRED_COLUMNS = ("_id", "timestamp", MONTH_PARTITION)
 
