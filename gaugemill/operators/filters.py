@@ -25,9 +25,11 @@ def since(readings: DataFrame, cutoff: Column) -> DataFrame:
     """Rows at or after ``cutoff``.
 
     A range on ``timestamp`` does not prune partitions by itself, so the matching range on
-    the partition column is added where the frame has one.
+    the partition column is added where the frame has one. It starts a day early: the months
+    may have been set in another time zone.
     """
     recent = readings.where(F.col("timestamp") >= cutoff)
     if MONTH_PARTITION in readings.columns:
-        recent = recent.where(F.col(MONTH_PARTITION) >= month_start(cutoff))
+        first_month = month_start(cutoff - F.make_dt_interval(F.lit(1)))
+        recent = recent.where(F.col(MONTH_PARTITION) >= first_month)
     return recent

@@ -27,6 +27,7 @@ from gaugemill.plans.tables import (
 )
 from gaugemill.schemas import MONTH_PARTITION, RAW_DOCUMENT, reading_table
 from gaugemill.session import pin_utc
+from gaugemill.sources.folders import new_staging_path, size_in_bytes
 from gaugemill.sources.readers import read_csv, read_documents, read_table, stream_documents
 from gaugemill.sources.sample_tables import (
     csv_rows,
@@ -37,7 +38,6 @@ from gaugemill.sources.sample_tables import (
     raw_documents,
     shipment_readings,
 )
-from gaugemill.sources.staging import new_staging_path, size_in_bytes
 from gaugemill.sources.writers import append_documents, append_readings
 from gaugemill.streaming.views import catch_up
 
@@ -213,7 +213,7 @@ def _feed_from_documents(
     spark: SparkSession, sf_dir: str, table: SummaryTable, database: str
 ) -> None:
     path = _stage_documents(spark, sf_dir, inserts=INSERTS)
-    per_batch = max(1, size_in_bytes(spark, path) // INSERTS)
+    per_batch = min(STREAM_BATCH, max(1, size_in_bytes(spark, path) // INSERTS))
     documents = stream_documents(spark, f"{path}/*", RAW_DOCUMENT, max_bytes=per_batch)
     as_of = _end_of(table, event_readings(events(spark, sf_dir)))
     checkpoint = new_staging_path(spark, "checkpoint")

@@ -52,12 +52,13 @@ def run_native(
     """Clean documents into the readings table, update the summaries, return the reports.
 
     With the same ``checkpoint`` and ``run_id``, a later call summarises only the readings
-    that were appended since.
+    that were appended since. Where the catalog does not outlive the driver, give a
+    ``location``, so that a later session finds the tables' files again.
     """
     table = f"{database}.{READINGS}"
-    create_database(spark, database, location)
-    create_readings(spark, table)
-    create_summaries(spark, database)
+    create_database(spark, database)
+    create_readings(spark, table, location=location)
+    create_summaries(spark, database, location)
     append_readings(clean_readings(documents), table, on_null=on_null)
     catch_up(
         stream_table(spark, table, max_bytes=max_bytes),
@@ -101,8 +102,8 @@ def load_states(
     as_of: AsOf = None,
 ) -> None:
     """Add one insert to the state tables; the same ``batch_id`` again replaces it."""
-    create_database(spark, database, location)
-    create_states(spark, database)
+    create_database(spark, database)
+    create_states(spark, database, location)
     for table in STATE_TABLES:
         inputs = table.summary.select_inputs(readings, as_of)
         write_states(inputs, table, database, run_id, batch_id)

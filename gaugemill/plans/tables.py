@@ -16,6 +16,7 @@ from gaugemill.operators.states import (
     Summary,
 )
 from gaugemill.schemas import MONTH_PARTITION, ddl, reading_table
+from gaugemill.sources.folders import make_folder
 
 READINGS = "sensor_data"
 READINGS_JDBC = "sensor_data_jdbc"
@@ -68,33 +69,67 @@ def create_database(spark: SparkSession, database: str, location: str | None = N
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{at}")
 
 
+# With a ``location``, tables keep their files in folders of that name there, and files
+# found in them belong to the table. A catalog that forgets its tables, as the in-memory one
+# does when the driver ends, can so be filled again.
+
+
 def create_readings(
     spark: SparkSession,
     table: str,
     float_type: str = "double",
     provider: str = "parquet",
     properties: Mapping[str, str] | None = None,
+    location: str | None = None,
 ) -> None:
     """The readings table, partitioned by month; ``properties`` are the provider's own."""
     extra = ", ".join(f"'{key}' = '{value}'" for key, value in (properties or {}).items())
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({ddl(reading_table(float_type))}) "
+    statements = {
+        table: f"CREATE TABLE IF NOT EXISTS {table} ({ddl(reading_table(float_type))}) "
         f"USING {provider} PARTITIONED BY ({MONTH_PARTITION})"
+        + _at(location, table.split(".")[-1])
         + (f" TBLPROPERTIES ({extra})" if extra else "")
-    )
+    }
+    _run_all(spark, statements | _found_partitions(spark, [table], location))
 
 
-def create_summaries(spark: SparkSession, database: str) -> None:
+def create_summaries(spark: SparkSession, database: str, location: str | None = None) -> None:
     """The summaries with final values."""
-    _run_all(spark, _definitions(database, SUMMARY_TABLES))
+    _create_all(spark, database, SUMMARY_TABLES, location)
 
 
-def create_states(spark: SparkSession, database: str) -> None:
+def create_states(spark: SparkSession, database: str, location: str | None = None) -> None:
     """The summaries with mergeable states."""
-    _run_all(spark, _definitions(database, STATE_TABLES))
+    _create_all(spark, database, STATE_TABLES, location)
+
+
+def _at(location: str | None, name: str) -> str:
+    return f" LOCATION '{location}/{name}'" if location else ""
+
+
+def _found_partitions(
+    spark: SparkSession, tables: list[str], location: str | None
+) -> dict[str, str]:
+    """Statements that take over the files found at the location of tables yet to be made."""
+    if location is None:
+        return {}
+    new = [table for table in tables if not spark.catalog.tableExists(table)]
+    for table in new:
+        make_folder(spark, f"{location}/{table.split('.')[-1]}")
+    return {f"partitions of {table}": f"MSCK REPAIR TABLE {table}" for table in new}
+
+
+def _create_all(
+    spark: SparkSession, database: str, tables: tuple[SummaryTable, ...], location: str | None
+) -> None:
+    names = [f"{database}.{table.states}" for table in tables]
+    statements = _definitions(database, tables, location)
+    _run_all(spark, statements | _found_partitions(spark, names, location))
 
 
-def _definitions(database: str, tables: tuple[SummaryTable, ...]) -> dict[str, str]:
+def _definitions(
+    database: str, tables: tuple[SummaryTable, ...], location: str | None
+) -> dict[str, str]:
     statements = {}
     for table in tables:
         states = f"{database}.{table.states}"
@@ -102,6 +137,7 @@ def _definitions(database: str, tables: tuple[SummaryTable, ...]) -> dict[str, s
         statements[table.states] = (
             f"CREATE TABLE IF NOT EXISTS {states} ({ddl(table.summary.schema)}, {inserts}) "
             f"USING parquet PARTITIONED BY ({', '.join(table.partitions)})"
+            + _at(location, table.states)
         )
         if table.plain:
             statements[table.name] = (

@@ -1,4 +1,4 @@
-"""Scratch space for data that a query writes and reads back."""
+"""Folders: scratch space for data that a query writes and reads back, and their sizes."""
 
 from __future__ import annotations
 
@@ -34,9 +34,14 @@ def size_in_bytes(spark: SparkSession, path: str) -> int:
     return file_system.getContentSummary(target).getLength()
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    target, file_system = _file_system(spark, path)
+    file_system.mkdirs(target)
+
+
 def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    make_folder(spark, path)  # only an existing path can be marked
     target, file_system = _file_system(spark, path)
-    file_system.mkdirs(target)  # only an existing path can be marked
     file_system.deleteOnExit(target)
 
 

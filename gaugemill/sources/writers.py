@@ -40,6 +40,7 @@ def append_table(
     not_null: Sequence[str] = (),
     on_null: str = "raise",
     gather: bool = True,
+    fmt: str | None = None,
     options: Mapping[str, str] | None = None,
 ) -> None:
     """Write to a catalog table, matching columns by name.
@@ -48,6 +49,7 @@ def append_table(
     lets adaptive execution split a partition value that holds much of the data over many
     tasks, where a plain repartition would put it into one. Input that comes ordered by
     partition, such as a time-ordered feed, can do without that shuffle (``gather=False``).
+    ``fmt`` names the table's provider where it is not the session's default.
     """
     frame = require_values(frame, not_null, on_null)
     if partition_by and gather:
@@ -57,6 +59,8 @@ def append_table(
     writer = frame.write.options(**(options or {})).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if fmt:
+        writer = writer.format(fmt)
     writer.saveAsTable(table)
 
 

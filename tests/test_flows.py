@@ -45,6 +45,28 @@ def test_native_flow_twice(spark, database, tmp_path):
         )
 
 
+def test_native_flow_after_the_catalog_was_lost(spark, database, tmp_path):
+    documents = raw_documents(events(spark, SMALL))
+    readings = event_readings(events(spark, SMALL))
+    as_of = latest(readings)
+    location = str(tmp_path / "files")
+    for expected in (readings, readings.union(readings)):
+        found = run_native(
+            spark,
+            documents,
+            database,
+            str(tmp_path / "checkpoint"),
+            "run",
+            as_of=as_of,
+            location=location,
+        )
+        assert rows(found["high_risk"]) == rows(reports.high_risk(expected))
+        energy = spark.table(f"{database}.sp_energy_efficiency")
+        assert rounded(energy) == rounded(summaries.energy_efficiency(expected))
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+        spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path / 'again'}'")
+
+
 def test_native_flow_refuses_readings_without_time(spark, database, tmp_path):
     documents = raw_documents(events(spark, SMALL)).replace("Machine_1", "x")
     bad = documents.selectExpr("* EXCEPT (timestamp)", "'Date: bad' AS timestamp")

@@ -23,9 +23,9 @@ from gaugemill.plans.tables import (
 )
 from gaugemill.schemas import REQUIRED_COLUMNS, reading_table
 from gaugemill.session import build_session, register_catalog
+from gaugemill.sources.folders import new_staging_path, size_in_bytes
 from gaugemill.sources.readers import read_table
 from gaugemill.sources.sample_tables import event_readings, events, lineitem, shipment_readings
-from gaugemill.sources.staging import new_staging_path, size_in_bytes
 from gaugemill.sources.writers import append_jdbc, append_readings, append_table, require_values
 
 
@@ -94,6 +94,8 @@ def test_time_range_prunes_months(spark, table):
     assert "PartitionFilters: [isnotnull(month_partition" in plan
     assert "(month_partition#" in plan and ">= 2001-08-01" in plan
     assert "GreaterThanOrEqual(timestamp,2001-08-04" in plan
+    early = last_months(read_table(spark, table), 3, "2001-12-01 00:00:00")
+    assert ">= 2001-08-01" in plan_of(early.select("temperature"))
     report = daily_averages(read_table(spark, table))
     assert "EqualTo(machine_id,39)" in plan_of(report)
     assert "PartitionFilters: [isnotnull(month_partition" in plan_of(report)
@@ -126,6 +128,13 @@ def test_plain_table_append(spark, database):
     assert read_table(spark, name).count() == 6
 
 
+def test_other_provider(spark, database):
+    readings = event_readings(events(spark, SMALL))
+    create_readings(spark, f"{database}.other", provider="orc")
+    append_readings(readings, f"{database}.other", gather=False, fmt="orc")
+    assert rows(read_table(spark, f"{database}.other")) == rows(readings)
+
+
 def test_float_table(spark, database):
     create_readings(spark, f"{database}.narrow", "float")
     kinds = [kind for _, kind in read_table(spark, f"{database}.narrow").dtypes]
