@@ -39,7 +39,7 @@ from gaugemill.sources.sample_tables import (
     shipment_readings,
 )
 from gaugemill.sources.writers import append_documents, append_readings
-from gaugemill.streaming.views import catch_up
+from gaugemill.streaming.views import catch_up, fold_states
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +97,10 @@ def document_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_readings(read_documents(spark, path, schema=RAW_DOCUMENT))
 
 
+def document_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_readings(read_documents(spark, _stage_documents(spark, sf_dir)))
+
+
 def clean_double(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_readings(raw_documents(events(spark, sf_dir)))
 
@@ -175,7 +179,7 @@ def monthly_temp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _plain(name: str) -> Query:
-    """The summary's SQL view, fed by streaming ``lineitem`` or the event documents."""
+    """The summary's SQL view, fed by ``lineitem`` as a stream."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         table = _by_name(SUMMARY_TABLES, name)
@@ -191,15 +195,31 @@ def _state(name: str) -> Query:
     """The states of several inserts, merged."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        table = _by_name(STATE_TABLES, name)
-        database = _stage_database(spark, name)
-        create_states(spark, database)
-        _feed_from_documents(spark, sf_dir, table, database)
+        table, database = _states_of_inserts(spark, sf_dir, name)
         return rounded(table.read(spark, database))
 
     return query
 
 
+def state_energy_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The states of several inserts, folded into one and the run's last."""
+    table, database = _states_of_inserts(spark, sf_dir, "agg_energy_efficiency")
+    folded = _stage_database(spark, "folded")
+    create_states(spark, folded)
+    fold_states(spark, table, database, folded, RUN)
+    return rounded(table.read(spark, folded))
+
+
+def _states_of_inserts(
+    spark: SparkSession, sf_dir: str, name: str
+) -> tuple[SummaryTable, str]:
+    table = _by_name(STATE_TABLES, name)
+    database = _stage_database(spark, name)
+    create_states(spark, database)
+    _feed_from_documents(spark, sf_dir, table, database)
+    return table, database
+
+
 def _feed_from_lineitem(
     spark: SparkSession, sf_dir: str, table: SummaryTable, database: str
 ) -> None:
@@ -315,6 +335,7 @@ QUERIES: dict[str, Query] = {
     "failure_code": failure_codes,
     "nest_readings": nested_readings,
     "document_scan": document_scan,
+    "document_scan_inferred": document_scan_inferred,
     "clean_double": clean_double,
     "clean_float": clean_float,
     "table_scan": table_scan,
@@ -333,6 +354,7 @@ QUERIES: dict[str, Query] = {
     "state_anomaly": _state("agg_monthly_anomaly_counts"),
     "state_energy": _state("agg_energy_efficiency"),
     "state_temp": _state("agg_monthly_temp"),
+    "state_energy_folded": state_energy_folded,
     "ingest_run": ingest_run,
     "native_run": native_run,
     "native_energy": native_energy,

@@ -20,6 +20,7 @@ from gaugemill.plans.tables import (
     create_states,
     create_summaries,
 )
+from gaugemill.sources.folders import staged
 from gaugemill.sources.readers import read_csv, read_table, stream_table
 from gaugemill.sources.writers import append_documents, append_jdbc, append_readings
 from gaugemill.streaming.views import catch_up, write_states
@@ -85,10 +86,13 @@ def run_jdbc(
     as_of: AsOf = None,
     properties: Mapping[str, str] | None = None,
 ) -> None:
-    """Clean documents into a database table and add the states of this insert."""
-    readings = clean_readings(documents, "float")
-    append_jdbc(readings, url, table, properties=properties)
-    load_states(spark, readings, database, run_id, batch_id, location=location, as_of=as_of)
+    """Clean documents into a database table and add the states of this insert.
+
+    The cleaned readings are staged, so that the documents are parsed once for all of it.
+    """
+    with staged(clean_readings(documents, "float"), "readings") as readings:
+        append_jdbc(readings, url, table, properties=properties)
+        load_states(spark, readings, database, run_id, batch_id, location=location, as_of=as_of)
 
 
 def load_states(

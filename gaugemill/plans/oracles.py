@@ -137,6 +137,7 @@ ORACLES: dict[str, str] = {
             pressure, energy_consumption AS energy_use
         FROM e""",
     "document_scan": _cleaned(),
+    "document_scan_inferred": _cleaned(),
     "clean_double": _cleaned(),
     "clean_float": _cleaned("FLOAT"),
     "table_scan": _cleaned(extra=("_id", "strftime(month_partition, '%Y%m') AS yyyymm")),
@@ -162,6 +163,7 @@ ORACLES: dict[str, str] = {
     "state_anomaly": _anomalies(_E, "e", "DOUBLE"),
     "state_energy": _energy(_E, "e"),
     "state_temp": _temperature(_E, "e"),
+    "state_energy_folded": _energy(_E, "e"),
     "ingest_run": _cleaned(extra=()),
     "native_run": _daily(_E, "e"),
     "native_energy": _energy(_E, "e"),

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -17,6 +19,19 @@ def new_staging_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def staged(frame: DataFrame, name: str) -> Iterator[DataFrame]:
+    """The frame as Parquet files for as long as the block runs, to be read several times."""
+    spark = frame.sparkSession
+    path = new_staging_path(spark, name)
+    frame.write.mode("append").parquet(path)
+    try:
+        yield spark.read.schema(frame.schema).parquet(path)
+    finally:
+        target, file_system = _file_system(spark, path)
+        file_system.delete(target, True)
+
+
 def _shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:

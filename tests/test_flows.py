@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import glob
+import os
+
 import pytest
 from conftest import SMALL, rows
 from py4j.protocol import Py4JJavaError
@@ -12,6 +15,7 @@ from gaugemill.operators.clean import clean_readings
 from gaugemill.plans.flows import load_states, run_ingest, run_jdbc, run_native
 from gaugemill.plans.tables import STATE_TABLES
 from gaugemill.schemas import RAW_DOCUMENT
+from gaugemill.sources.folders import staged
 from gaugemill.sources.readers import read_documents
 from gaugemill.sources.sample_tables import csv_rows, event_readings, events, raw_documents
 
@@ -91,3 +95,13 @@ def test_a_failed_jdbc_write_leaves_no_states(spark, database):
     with pytest.raises(Py4JJavaError, match="No suitable driver"):
         run_jdbc(spark, documents, "jdbc:none://nowhere/db", database, "run", 0)
     assert not spark.catalog.tableExists(f"{database}.{STATE_TABLES[0].states}")
+    assert not glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/gaugemill/readings-*")
+
+
+def test_staged_readings_are_read_back_and_removed(spark):
+    narrow = clean_readings(raw_documents(events(spark, SMALL)), "float")
+    with staged(narrow, "readings") as stored:
+        assert stored.dtypes == narrow.dtypes
+        assert rows(stored) == rows(narrow)
+        (path,) = {os.path.dirname(file) for file in stored.inputFiles()}
+    assert not os.path.exists(path.removeprefix("file://"))
