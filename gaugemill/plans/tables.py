@@ -46,6 +46,11 @@ class SummaryTable:
     def partitions(self) -> list[str]:
         return [*INSERT_COLUMNS, *(["month"] if self.by_month else [])]
 
+    @property
+    def order(self) -> list[str]:
+        """How rows are sorted within a file."""
+        return [key for key in ("month", "machine_id") if key in self.summary.keys]
+
     def read(self, spark: SparkSession, database: str) -> DataFrame:
         """Final values, merged from the states of all inserts."""
         return self.summary.merge_states(spark.table(f"{database}.{self.states}"))

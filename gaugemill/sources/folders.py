@@ -33,7 +33,7 @@ def staged(frame: DataFrame, name: str) -> Iterator[DataFrame]:
 
 
 def _shared_folder(spark: SparkSession) -> str:
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -53,6 +53,7 @@ def _store(
 ) -> None:
     if table.by_month:
         states = states.hint("rebalance", F.col("month"))
+    states = states.sortWithinPartitions(*table.order)
     by_month = ", month" if table.by_month else ""
     states.sparkSession.sql(
         f"INSERT OVERWRITE TABLE {database}.{table.states} "
@@ -84,7 +85,7 @@ def maintain(
         write_states(batch, table, database, run_id, batch_id)
 
     return (
-        inputs.writeStream.queryName(f"{table.name}-{run_id}")
+        inputs.writeStream.queryName(f"{database}.{table.name} {run_id}")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .foreachBatch(insert)
@@ -100,10 +101,17 @@ def catch_up(
     run_id: str,
     as_of: AsOf = None,
 ) -> None:
-    """Bring several summaries up to date with all readings that have arrived."""
-    running = [
-        maintain(readings, table, database, f"{checkpoint}/{table.name}", run_id, as_of)
-        for table in tables
-    ]
-    for query in running:
-        query.awaitTermination()
+    """Bring several summaries up to date with all readings that have arrived.
+
+    If one fails, the others are stopped; all of them go on from their checkpoints.
+    """
+    running = []
+    try:
+        for table in tables:
+            folder = f"{checkpoint}/{table.name}"
+            running.append(maintain(readings, table, database, folder, run_id, as_of))
+        for query in running:
+            query.awaitTermination()
+    finally:
+        for query in running:
+            query.stop()

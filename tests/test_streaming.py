@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import glob
 from datetime import date, datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import MEDIUM, SMALL, rows
 from pyspark.errors import StreamingQueryException
@@ -138,6 +140,22 @@ def test_fold_without_the_run(spark, prepared, tmp_path):
     spark.sql(f"DROP DATABASE {target} CASCADE")
 
 
+@pytest.mark.parametrize("table", ALL_TABLES, ids=lambda table: table.name)
+def test_states_are_sorted_in_files(spark, prepared, tmp_path, table):
+    frame = shipment_readings(lineitem(spark, SMALL))
+    inputs = table.summary.select_inputs(frame, latest(frame))
+    write_states(inputs, table, prepared, "run", 0)
+    assert table.order == ["month", "machine_id"][-len(table.summary.keys) :]
+    pattern = f"{tmp_path}/tables/{table.states}/run_id=run/batch_id=0/**/*.parquet"
+    files = glob.glob(pattern, recursive=True)
+    assert files
+    for file in files:
+        content = pq.ParquetFile(file)
+        keys = [name for name in table.order if name in content.schema_arrow.names]
+        found = list(zip(*(content.read([key])[key].to_pylist() for key in keys)))
+        assert found == sorted(found)
+
+
 @pytest.mark.parametrize("table", ALL_TABLES, ids=lambda table: table.name)
 def test_repeated_insert_replaces_itself(spark, prepared, table):
     frame = shipment_readings(lineitem(spark, SMALL))
@@ -173,6 +191,48 @@ def test_restart_after_failure_counts_once(spark, prepared, tmp_path, monkeypatc
     assert rounded(table.read(spark, prepared)) == rounded(direct(table, frame, None))
 
 
+def test_a_failing_summary_stops_the_others(spark, prepared, tmp_path, monkeypatch):
+    frame = event_readings(events(spark, SMALL))
+    frame.write.parquet(f"{tmp_path}/parts")
+    stream = stream_documents(spark, f"{tmp_path}/parts", frame.schema, "parquet")
+    bad = STATE_TABLES[1]
+
+    def failing(inputs, table, database, run_id, batch_id):
+        if table is bad:
+            raise RuntimeError("no space")
+        write_states(inputs, table, database, run_id, batch_id)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(views, "write_states", failing)
+        with pytest.raises(StreamingQueryException, match="no space"):
+            catch_up(stream, STATE_TABLES, prepared, f"{tmp_path}/checkpoint", "run", NOW)
+    assert not spark.streams.active
+    catch_up(stream, STATE_TABLES, prepared, f"{tmp_path}/checkpoint", "run", NOW)
+    for table in STATE_TABLES:
+        assert rounded(table.read(spark, prepared)) == rounded(direct(table, frame, NOW))
+
+
+def test_continuous_trigger(spark, prepared, tmp_path):
+    name = f"{prepared}.{READINGS}"
+    frame = event_readings(events(spark, SMALL))
+    append_readings(frame, name)
+    table = STATE_TABLES[0]
+    query = maintain(
+        stream_table(spark, name),
+        table,
+        prepared,
+        f"{tmp_path}/checkpoint",
+        "run",
+        trigger={"processingTime": "0 seconds"},
+    )
+    query.processAllAvailable()
+    append_readings(frame, name)
+    query.processAllAvailable()
+    query.stop()
+    expected = summaries.anomaly_summary(frame.union(frame), "double")
+    assert rounded(table.read(spark, prepared)) == rounded(expected)
+
+
 def test_time_range_ends_at_the_recorded_batch_start(spark, prepared, tmp_path):
     now = datetime.now().replace(microsecond=0)
     frame = readings(

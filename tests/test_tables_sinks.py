@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+from unittest.mock import MagicMock
 
 import pyarrow.parquet as pq
 import pytest
@@ -190,6 +191,24 @@ def test_jdbc_needs_a_driver(spark):
         append_jdbc(spark.range(1), "jdbc:none://nowhere/db", "readings", connections=2)
 
 
+def test_jdbc_settings():
+    """No database is at hand, so the writer only records what it is told."""
+    frame = MagicMock()
+    writer = frame.write.format.return_value
+    writer.options.return_value = writer.option.return_value = writer
+    append_jdbc(frame, "jdbc:x://host/db", "readings", connections=4, properties={"user": "me"})
+    frame.write.format.assert_called_once_with("jdbc")
+    writer.options.assert_called_once_with(user="me")
+    assert {call.args for call in writer.option.call_args_list} == {
+        ("url", "jdbc:x://host/db"),
+        ("dbtable", "readings"),
+        ("batchsize", 10_000),
+        ("numPartitions", 4),
+    }
+    writer.mode.assert_called_once_with("append")
+    writer.mode.return_value.save.assert_called_once_with()
+
+
 def test_external_catalog_settings(spark):
     options = {"host": "store", "http_port": "8123"}
     assert register_catalog(spark, "store", "org.example.Catalog", options) == "store"
