@@ -15,7 +15,6 @@ from pyspark.sql.streaming import StreamingQuery
 from gaugemill.functions.timing import AsOf
 from gaugemill.plans.tables import INSERT_COLUMNS, SummaryTable
 
-
 FOLDED_RUN = "folded"
 
 
@@ -35,6 +34,8 @@ def fold_states(
     go on with the same checkpoint in ``target``. The run's last batch may yet be repeated
     and stays apart. The old table is left as it is, so folding can be repeated, too.
     """
+    if run_id == FOLDED_RUN:
+        raise ValueError(f"{FOLDED_RUN!r} names the folded states; give the stream's run_id")
     states = spark.table(f"{database}.{table.states}")
     this_run = F.col("run_id") == run_id
     last = states.where(this_run).agg(F.max("batch_id")).first()[0]

@@ -263,6 +263,25 @@ def test_streamed_scan_reads_what_the_summary_needs(spark, prepared, tmp_path):
     assert f"ReadSchema: {schema}" in query._jsq.explainInternal(False)
 
 
+@pytest.mark.parametrize("table", [SUMMARY_TABLES[0], STATE_TABLES[0]], ids=lambda t: t.name)
+def test_readings_without_time_or_machine(spark, prepared, table):
+    frame = readings(
+        spark,
+        {"timestamp": None, "anomaly_flag": True},
+        {"machine_id": None, "anomaly_flag": True},
+    )
+    for _ in range(2):
+        write_states(table.summary.select_inputs(frame), table, prepared, "run", 0)
+    month = NOW.date().replace(day=1)
+    found = table.read(spark, prepared).select("machine_id", "month", "anomaly_count")
+    assert rows(found) == [("39", None, 1), (None, month, 1)]
+
+
+def test_folded_run_is_reserved(spark, prepared):
+    with pytest.raises(ValueError, match="folded"):
+        fold_states(spark, STATE_TABLES[0], prepared, prepared, "folded")
+
+
 def test_uneven_batches_are_weighted(spark):
     def inserted(*temperatures):
         return TEMPERATURE.to_states(
