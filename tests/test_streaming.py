@@ -22,7 +22,13 @@ from gaugemill.plans.tables import (
     create_summaries,
 )
 from gaugemill.sources.readers import stream_documents, stream_table
-from gaugemill.sources.sample_tables import event_readings, events, lineitem, shipment_readings
+from gaugemill.sources.sample_tables import (
+    event_readings,
+    events,
+    lineitem,
+    lineitem_stream,
+    shipment_readings,
+)
 from gaugemill.sources.writers import append_readings
 from gaugemill.streaming import views
 from gaugemill.streaming.views import catch_up, fold_states, maintain, write_states
@@ -277,6 +283,17 @@ def test_readings_without_time_or_machine(spark, prepared, table):
     assert rows(found) == [("39", None, 1), (None, month, 1)]
 
 
+def test_a_table_of_many_files_streams_in_batches(spark, prepared, tmp_path):
+    whole = lineitem(spark, SMALL)
+    whole.repartition(5).write.parquet(f"{tmp_path}/lineitem.parquet")
+    table = SUMMARY_TABLES[0]
+    stream = shipment_readings(lineitem_stream(spark, str(tmp_path), max_bytes=1))
+    catch_up(stream, (table,), prepared, f"{tmp_path}/checkpoint", "run")
+    assert batches(spark, prepared, table) == list(range(5))
+    expected = summaries.anomaly_summary(shipment_readings(whole))
+    assert rounded(table.read(spark, prepared)) == rounded(expected)
+
+
 def test_folded_run_is_reserved(spark, prepared):
     with pytest.raises(ValueError, match="folded"):
         fold_states(spark, STATE_TABLES[0], prepared, prepared, "folded")
