@@ -4,9 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from tokenizers import Tokenizer
 
 from gaugemill.llm.decontaminate import contamination
+from gaugemill.llm.quality_classifier import score_documents, train
+from gaugemill.llm.quality_rules import judge_quality
+from gaugemill.llm.secret_scan import digests, scan_secrets
+from gaugemill.llm.token_files import read_token_files, write_token_files
+from gaugemill.sources.folders import new_staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +26,40 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staging = f"{new_staging_path(spark, 'votes')}/votes"
+    return judge_quality(table(spark, sf_dir, "documents"), staging)
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    path = new_staging_path(spark, "tokens")
+    write_token_files(
+        table(spark, sf_dir, "documents"),
+        f"{path}/files",
+        tokenizer,
+        Tokenizer.from_file(tokenizer).get_vocab_size(),
+        staging=f"{path}/ids",
+    )
+    return read_token_files(spark, f"{path}/files").select(
+        "doc_id", "start", "n_tokens", "ids_crc32"
+    )
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    _, scorer = train(docs, f"{new_staging_path(spark, 'votes')}/votes")
+    return score_documents(docs, scorer)
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(scan_secrets(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_quality_rules": op2_quality_rules,
+    "op3_token_files": op3_token_files,
     "op4_decontamination": op4_decontamination,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_secret_scan": op7_secret_scan,
 }
