@@ -42,6 +42,35 @@ SELECT
 FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 """
 
+# A host is compared with the rule's host and with its subdomains; the longest rule wins.
+URL_FILTER = r"""
+WITH parts AS (
+    SELECT
+        page_id,
+        translate(
+            coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'
+        ) AS host,
+        coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+        row_number() OVER () AS r
+    FROM pages
+),
+rules(rule_host, rule_path, verdict) AS (
+    VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+        ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+),
+fits AS (
+    SELECT r, rule_host || rule_path AS rule, verdict, row_number() OVER (
+        PARTITION BY r ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC
+    ) AS place
+    FROM parts JOIN rules
+        ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parts LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (r)
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_url_filter": URL_FILTER,
     "op4_decontamination": DECONTAMINATION,
 }

@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import count
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Tokenizer
 
 from gaugemill.llm.decontaminate import contamination
+from gaugemill.llm.packing import pack
+from gaugemill.llm.pii import replace_pii
+from gaugemill.llm.probminhash import near_duplicates
 from gaugemill.llm.quality_classifier import score_documents, train
 from gaugemill.llm.quality_rules import judge_quality
 from gaugemill.llm.secret_scan import digests, scan_secrets
 from gaugemill.llm.token_files import read_token_files, write_token_files
+from gaugemill.llm.url_filter import RULES, filter_urls, rule_table
 from gaugemill.sources.folders import new_staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,9 +31,19 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def folders(spark: SparkSession, name: str) -> Callable[[], str]:
+    """A function that names a new folder in shared storage at each call."""
+    root, numbers = new_staging_path(spark, name), count()
+    return lambda: f"{root}/{next(numbers)}"
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = rule_table(spark, RULES)
+    return filter_urls(table(spark, sf_dir, "pages"), rules, folders(spark, "urls")())
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staging = f"{new_staging_path(spark, 'votes')}/votes"
-    return judge_quality(table(spark, sf_dir, "documents"), staging)
+    return judge_quality(table(spark, sf_dir, "documents"), folders(spark, "votes")())
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +63,7 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    _, scorer = train(docs, f"{new_staging_path(spark, 'votes')}/votes")
+    _, scorer = train(docs, folders(spark, "votes")())
     return score_documents(docs, scorer)
 
 
@@ -56,10 +71,28 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced, _ = replace_pii(table(spark, sf_dir, "documents"), folders(spark, "pii"))
+    return replaced.select("doc_id", "text")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), folders(spark, "sizes")())
+
+
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), folders(spark, "dedup"))
+    return found.drop("row_key")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_url_filter": op1_url_filter,
     "op2_quality_rules": op2_quality_rules,
     "op3_token_files": op3_token_files,
     "op4_decontamination": op4_decontamination,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_secret_scan": op7_secret_scan,
+    "op8_pii": op8_pii,
+    "op9_packing": op9_packing,
+    "op10_near_dedup": op10_near_dedup,
 }
