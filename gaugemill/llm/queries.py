@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Tokenizer
 
+from gaugemill.llm import backoff_lm
 from gaugemill.llm.decontaminate import contamination
 from gaugemill.llm.packing import pack
 from gaugemill.llm.pii import replace_pii
@@ -61,6 +62,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_lm.score_documents(table(spark, sf_dir, "documents"), folders(spark, "lm"))
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     _, scorer = train(docs, folders(spark, "votes")())
@@ -90,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_token_files": op3_token_files,
     "op4_decontamination": op4_decontamination,
+    "op5_lm_scores": op5_lm_scores,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_secret_scan": op7_secret_scan,
     "op8_pii": op8_pii,
