@@ -14,19 +14,20 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gaugemill.llm.words import NO_SPACE, slices, spans_of
+
 END_ID = 1
 BLOCK_IDS = 1 << 18
-BATCH_BYTES = 2 << 20
-CACHED_CHUNKS = 600_000
+CACHED_PIECES = 2_000_000
 
 _TOKENS = "doc_id long, n_tokens long, crc long, ids binary"
 _BLOCK = (
@@ -39,16 +40,18 @@ _DOCUMENT = "shard int, doc_id long, first long, n_tokens long, ids_crc32 long"
 # Tokenizing
 
 
-class ChunkTokenizer:
-    """Token ids of texts, with the library asked once for what stands between spaces.
+class CachedTokenizer:
+    """Token ids of texts, with the library asked once for each piece.
 
-    This tokenizer drops white space and never joins over it, so the ids of a text are those
-    of its chunks. Letters A-Z can be lowered first, as it lowers all letters. A chunk of letters
-    and punctuation after them is two pieces. Pieces of letters are sent to the library
-    together, and told apart by the tokens that end a word.
+    This tokenizer drops white space and never joins over it, so the ids of a text are those of
+    what stands between spaces. It keeps runs of letters and runs of marks apart, so that such
+    a chunk of nothing else falls into these pieces; other chunks are pieces as they are. It
+    lowers all letters, so that A-Z can be lowered before. Pieces are known by their 64-bit
+    hashes, until too many have been seen. New ones are sent to the library together, and told
+    apart by the tokens that end a word.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, end_id: int) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -57,87 +60,144 @@ class ChunkTokenizer:
         for token, number in self.tokenizer.get_vocab().items():
             self.ends[number] = token.endswith("</w>")
         self.special = [
-            token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()
+            token.content.lower().encode()
+            for token in self.tokenizer.get_added_tokens_decoder().values()
         ]
-        self.chunks: dict[bytes, bytes] = {}
-        self.pieces: dict[bytes, bytes] = {}
+        self.end = np.array([end_id], "<u4")
+        self._forget()
 
-    def encode(self, text: str) -> bytes:
-        """The ids as little-endian 32-bit integers."""
-        return np.array(
-            self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4"
-        ).tobytes()
-
-    def encode_all(self, texts: list[bytes]) -> list[bytes]:
-        chunked = []
-        for text in texts:
-            special = b"<|" in text and any(token in text.lower() for token in self.special)
-            chunked.append(None if special else text.lower().split())
-        if len(self.chunks) > CACHED_CHUNKS:
-            self.chunks, self.pieces = {}, {}
-        missing: set[bytes] = set()
-        for chunks in chunked:
-            missing.update(chunks or ())
-        self._learn(missing.difference(self.chunks))
-        known = self.chunks.__getitem__
-        return [
-            self.encode(text.decode()) if chunks is None else b"".join(map(known, chunks))
-            for text, chunks in zip(texts, chunked)
-        ]
+    def _forget(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)  # ascending
+        self.first = np.zeros(0, np.int64)
+        self.sizes = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, "<u4")
 
-    def _learn(self, chunks: set[bytes]) -> None:
-        simple = {}
-        for chunk in chunks:
-            letters = chunk.rstrip(b".,!?;:%$&#*|")
-            if letters and not letters.decode().isalpha():
-                self.chunks[chunk] = self.encode(chunk.decode())
-            else:
-                simple[chunk] = letters, chunk[len(letters) :]
-        pieces = {piece for pair in simple.values() for piece in pair}
-        self._learn_pieces(sorted(pieces.difference(self.pieces)))
-        for chunk, (letters, rest) in simple.items():
-            self.chunks[chunk] = self.pieces[letters] + self.pieces[rest]
-
-    def _learn_pieces(self, pieces: list[bytes]) -> None:
-        self.pieces[b""] = b""
-        for begin in range(0, len(pieces), 1000):
-            run = [piece for piece in pieces[begin : begin + 1000] if piece]
-            joined = b" ".join(run).decode()
-            ids = np.frombuffer(self.encode(joined), "<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(run):
-                whole, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-                for piece, a, b in zip(run, cuts, cuts[1:]):
-                    self.pieces[piece] = whole[a:b]
-            else:  # a piece that is not one word for the library
-                self.pieces |= {piece: self.encode(piece.decode()) for piece in run}
-
-
-_TOKENIZERS: dict[str, ChunkTokenizer] = {}  # kept by a worker from task to task
+    def encode(self, text: bytes) -> np.ndarray:
+        return np.array(
+            self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4"
+        )
+
+    def encode_all(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts whose bytes lie one after the other, and how many each text has.
+
+        Each text ends with the end id.
+        """
+        low = data.tobytes().lower()
+        if any(token in low for token in self.special):  # to lower could make one
+            texts = [data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
+            found = [np.concatenate([self.encode(text), self.end]) for text in texts]
+            return np.concatenate(found), np.array([len(ids) for ids in found])
+        starts, ends, simple = _pieces(data, offsets)
+        hashes = NO_SPACE.hashes(data, starts, ends)
+        distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
+        place = self._places(distinct, starts[at], ends[at], simple[at], low)
+        # The end id as a last piece of each text.
+        texts, cuts = len(offsets) - 1, np.searchsorted(starts, offsets)
+        slot = np.arange(len(which)) + np.repeat(np.arange(texts), np.diff(cuts))
+        first = np.full(len(which) + texts, len(self.ids))
+        sizes = np.ones(len(which) + texts, np.int64)
+        first[slot], sizes[slot] = self.first[place][which], self.sizes[place][which]
+        after = np.cumsum(sizes)
+        source = np.repeat(first - (after - sizes), sizes) + np.arange(after[-1])
+        counts = np.diff(after[cuts[1:] + np.arange(texts)], prepend=0)
+        return np.append(self.ids, self.end)[source], counts
+
+    def _places(self, distinct, starts, ends, simple, low: bytes) -> np.ndarray:
+        """Where the ids of these hashes are kept; the library is asked for new ones."""
+        if len(self.hashes) > CACHED_PIECES:
+            self._forget()
+        place = np.searchsorted(self.hashes, distinct)
+        known = place < len(self.hashes)
+        known[known] = self.hashes[place[known]] == distinct[known]
+        if known.all():
+            return place
+        for some in (np.flatnonzero(~known & simple), np.flatnonzero(~known & ~simple)):
+            pieces = [low[a:b] for a, b in zip(starts[some].tolist(), ends[some].tolist())]
+            ids, sizes = self._asked(pieces, simple=bool(some.size and simple[some[0]]))
+            self.hashes = np.concatenate([self.hashes, distinct[some]])
+            self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.ids = np.concatenate([self.ids, ids])
+        order = np.argsort(self.hashes, kind="stable")
+        self.hashes, self.first = self.hashes[order], self.first[order]
+        self.sizes = self.sizes[order]
+        return np.searchsorted(self.hashes, distinct)
+
+    def _asked(self, pieces: list[bytes], simple: bool) -> tuple[np.ndarray, np.ndarray]:
+        found, sizes = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        step = 1000 if simple else 1
+        for begin in range(0, len(pieces), step):
+            run = pieces[begin : begin + step]
+            ids = self.encode(b" ".join(run))
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if simple and len(cuts) != len(run):  # a piece that is not one word for the library
+                each = [self.encode(piece) for piece in run]
+                ids, cuts = np.concatenate(each), np.cumsum([len(x) for x in each])
+            found.append(ids)
+            sizes.append(np.diff(cuts, prepend=0) if simple else np.array([len(ids)]))
+        return np.concatenate(found), np.concatenate(sizes)
+
+
+_MARK, _LATIN, _ODD = 1, 2, 3
+_CLASS = np.where(NO_SPACE.in_word, _ODD, 0).astype(np.uint8)
+_CLASS[list(b".,!?;:%$&#*|")] = _MARK
+# Latin letters in UTF-8: A-Z, a-z, and U+00C0 to U+024F but for two signs.
+_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xC0), *range(0xC3, 0xCA)]] = _LATIN
+_SIGNS = (0x97, 0xB7)  # after C3
+
+
+def _pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each piece, and whether it is letters only or marks only."""
+    starts, ends = spans_of(data, offsets, NO_SPACE)
+    kind = _CLASS[data]
+    before = np.flatnonzero(data[:-1] == 0xC3)
+    signs = before[np.isin(data[before + 1], _SIGNS)]
+    simple = np.ones(len(starts), bool)
+    for odd in (np.flatnonzero(kind == _ODD), signs):
+        simple[np.searchsorted(starts, odd, "right") - 1] = False
+    # Where letters meet marks inside of a simple chunk.
+    turn = np.flatnonzero((kind[1:] ^ kind[:-1]) == (_MARK ^ _LATIN)) + 1
+    chunk = np.searchsorted(starts, turn, "right") - 1
+    inside = (turn > starts[chunk]) & simple[chunk]
+    turn, chunk = turn[inside], chunk[inside]
+    at = chunk + 1 + np.arange(len(turn))  # of the new pieces
+    old = np.ones(len(starts) + len(turn), bool)
+    old[at] = False
+    first = np.empty(len(old), np.int64)
+    first[old], first[at] = starts, turn
+    whole = np.cumsum(old) - 1  # the chunk of each piece
+    is_last = np.append(old[1:], True)[: len(old)]
+    last = np.where(is_last, ends[whole], np.append(first[1:], 0)[: len(old)])
+    return first, last, simple[whole]
+
+
+@lru_cache(maxsize=1)
+def _tokenizer(path: str, end_id: int) -> CachedTokenizer:
+    """Kept by a worker from task to task."""
+    return CachedTokenizer(path, end_id)
 
 
 def tokenized(docs: DataFrame, path: str, end_id: int = END_ID, width: int = 4) -> DataFrame:
     """The ids of each document, ended by ``end_id``, in ``width`` bytes each."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _TOKENIZERS:
-            _TOKENIZERS[path] = ChunkTokenizer(path)
-        tokenizer = _TOKENIZERS[path]
-        end = np.array([end_id], "<u4").tobytes()
+        tokenizer = _tokenizer(path, end_id)
         for batch in batches:
-            texts = batch.column(1).fill_null("") if batch.column(1).null_count else batch.column(1)
-            for row, stop in _runs(texts):
-                part = texts.slice(row, stop - row).cast(pa.large_binary()).to_pylist()
-                ids = [found + end for found in tokenizer.encode_all(part)]
-                narrow = ids
-                if width == 2:
-                    narrow = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
+            for row, stop, data, offsets in slices(batch.column(1)):
+                ids, counts = tokenizer.encode_all(data, offsets)
+                ends = np.append(0, np.cumsum(counts))
+                cuts = ends.tolist()
+                narrow = ids.astype(f"<u{width}")
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(row, stop - row),
-                        pa.array([len(x) // 4 for x in ids], pa.int64()),
-                        pa.array([zlib.crc32(x) for x in ids], pa.int64()),
-                        pa.array(narrow, pa.binary()),
+                        pa.array(counts, pa.int64()),
+                        pa.array([zlib.crc32(ids[a:b]) for a, b in zip(cuts, cuts[1:])], pa.int64()),
+                        pa.Array.from_buffers(
+                            pa.large_binary(),
+                            stop - row,
+                            [None, pa.py_buffer(ends * width), pa.py_buffer(narrow)],
+                        ).cast(pa.binary()),
                     ],
                     names=["doc_id", "n_tokens", "crc", "ids"],
                 )
@@ -145,16 +205,6 @@ def tokenized(docs: DataFrame, path: str, end_id: int = END_ID, width: int = 4)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, _TOKENS)
 
 
-def _runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Rows in runs of limited size, a row at least."""
-    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
-    row, before = 0, 0
-    while row < len(texts):
-        stop = max(row + 1, int(np.searchsorted(sizes, before + BATCH_BYTES, "right")))
-        yield row, stop
-        row, before = stop, int(sizes[stop - 1])
-
-
 # Codes
 
 

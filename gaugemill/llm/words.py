@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,17 +29,11 @@ def _powers(base: np.uint64, count: int) -> np.ndarray:
     return np.multiply.accumulate(steps)
 
 
-class _Alphabet:
+class Alphabet:
     """Which bytes belong to words, and a random number for each; A-Z count as a-z."""
 
-    def __init__(self) -> None:
-        code = np.arange(256)
-        self.in_word = (
-            ((code >= 0x30) & (code <= 0x39))
-            | ((code >= 0x41) & (code <= 0x5A))
-            | ((code >= 0x61) & (code <= 0x7A))
-            | (code >= 0x80)
-        )
+    def __init__(self, pattern: bytes) -> None:
+        self.in_word = np.array([re.fullmatch(pattern, bytes([x])) is not None for x in range(256)])
         random = np.random.default_rng(_SEED)
         self.number = random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2)
         self.number[0x41:0x5B] = self.number[0x61:0x7B]
@@ -52,8 +47,18 @@ class _Alphabet:
             self.backward = _powers(self.inverse, count)
         return self.forward, self.backward
 
+    def hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of byte ranges; they don't depend on where a range stands."""
+        size = len(data)
+        forward, backward = self.powers(size + 1)
+        sums = np.zeros(size + 1, np.uint64)
+        np.cumsum(self.number[data] * forward[:size], out=sums[1:])
+        lengths = (ends - starts).astype(np.uint64)
+        return mix((sums[ends] - sums[starts]) * backward[starts] + lengths * _ODD)
 
-_ALPHABET = _Alphabet()
+
+LETTERS_AND_DIGITS = Alphabet(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]|[A-Z]")
+NO_SPACE = Alphabet(rb"[^\x20\x09-\x0D]")
 
 
 @dataclass(frozen=True)
@@ -74,24 +79,25 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A-Z lower-cased, of texts whose bytes
-    lie one after the other in ``data``."""
-    alphabet, size = _ALPHABET, len(data)
+def spans_of(
+    data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet
+) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start and end, of texts whose bytes lie one after the other in ``data``."""
     inside = alphabet.in_word[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     stops = inside.copy()
     stops[:-1] &= ~inside[1:]
-    edges = offsets[(offsets > 0) & (offsets < size)]  # texts are not separated by anything
+    edges = offsets[(offsets > 0) & (offsets < len(data))]  # nothing stands between texts
     begins[edges] = inside[edges]
     stops[edges - 1] = inside[edges - 1]
-    starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-    forward, backward = alphabet.powers(size + 1)
-    sums = np.zeros(size + 1, np.uint64)
-    np.cumsum(alphabet.number[data] * forward[:size], out=sums[1:])
-    lengths = (ends - starts).astype(np.uint64)
-    hashes = mix((sums[ends] - sums[starts]) * backward[starts] + lengths * _ODD)
+    return np.flatnonzero(begins), np.flatnonzero(stops) + 1
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A-Z lower-cased."""
+    starts, ends = spans_of(data, offsets, LETTERS_AND_DIGITS)
+    hashes = LETTERS_AND_DIGITS.hashes(data, starts, ends)
     return Words(hashes, starts, ends, np.searchsorted(starts, offsets))
 
 
