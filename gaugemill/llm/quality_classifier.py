@@ -31,7 +31,7 @@ from gaugemill.llm.weak_labels import LabelModel, fit_label_model, pattern_count
 SAMPLE = 6000
 SAMPLE_WORDS = 2000
 BUCKETS = 1 << 18
-EPOCHS = 12
+STEPS = 5000  # gradient steps at least, and every row of the sample ten times at least
 BATCH = 64
 RATE = 0.5
 L2 = 1e-5
@@ -116,7 +116,8 @@ def train_scorer(rows: list[tuple[np.ndarray, np.ndarray, float]]) -> Scorer:
     share = np.clip(labels.mean(), 0.01, 0.99) if len(rows) else 0.99
     intercept, square = float(np.log(share / (1 - share))), 1e-2
     random = np.random.default_rng(11)
-    for _ in range(EPOCHS if rows else 0):
+    epochs = max(10, -(-STEPS * BATCH // len(rows))) if rows else 0
+    for _ in range(epochs):
         for batch in np.array_split(random.permutation(len(rows)), -(-len(rows) // BATCH)):
             buckets = np.concatenate([rows[i][0] for i in batch])
             values = np.concatenate([rows[i][1] for i in batch])
