@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from conftest import plan_of, rows
+from llm_support import paths
+
+from gaugemill.llm.url_filter import RULES, filter_urls, rule_table
+
+
+def parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    end = min((rest.find(c) for c in "/?#" if c in rest), default=len(rest))
+    host, tail = rest[:end], rest[end:]
+    stop = min((tail.find(c) for c in "?#" if c in tail), default=len(tail))
+    return host.translate({c: c + 32 for c in range(65, 91)}), tail[:stop]
+
+
+def expected(pages, rules, default="allow"):
+    result = []
+    for page, url in pages:
+        host, path = parts(url)
+        fits = [
+            (len(h + p), len(h), h + p, verdict)
+            for h, p, verdict in rules
+            if (host == h or host.endswith("." + h)) and path.startswith(p)
+        ]
+        best = max(fits, key=lambda x: x[:2], default=(0, 0, None, default))
+        result.append((page, host, path, best[2], best[3]))
+    return sorted(result, key=repr)
+
+
+def found(spark, pages, rules, tmp_path, **more):
+    frame = spark.createDataFrame(pages, "page_id long, url string")
+    return rows(filter_urls(frame, rule_table(spark, rules), paths(tmp_path)(), **more))
+
+
+ODD = [
+    "http://example.net/en/1",
+    "HTTP://WWW.Example.NET/en",
+    "https://a.b.example.net/en/?x=/de/",
+    "net/",
+    "://net/",
+    "http://net",
+    "http://net/",
+    "http://xnet/",
+    "http://example.net.org/fr/",
+    "http://example.com/de/#://net/",
+    "http://u@example.com:80/de/",
+    "http://..net//",
+    "http://пример.net/",
+    "http://\nnet/a\nb",
+    "",
+    None,
+]
+
+
+def test_rules_of_the_query(spark, tmp_path):
+    pages = [(i, url) for i, url in enumerate(ODD)] + [(0, ODD[0]), (None, ODD[1]), (None, None)]
+    assert found(spark, pages, RULES, tmp_path) == expected(pages, RULES)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_nested_rules(spark, tmp_path, seed):
+    chance = random.Random(seed)
+    hosts = ["net", "a.net", "b.a.net", "c.b.a.net", "org", "a.org", "et", "x.et"]
+    paths_ = ["", "/", "/e", "/en", "/en/", "/en/a/", "/en/a/b", "/z"]
+    rules = {}
+    for host in hosts:
+        for path in chance.sample(paths_, 5):
+            rules[host, path] = chance.choice(["block", "allow"])
+    rules = [(*key, verdict) for key, verdict in rules.items()]
+    pages = []
+    for page in range(400):
+        host = ".".join(chance.choices(["a", "b", "c"], k=chance.randrange(3)) + [chance.choice(hosts)])
+        pages.append((page, f"https://{host}{chance.choice(paths_)}{chance.choice(['', 'q', '?q'])}"))
+    got = [(page, host, path, rule and len(rule)) for page, host, path, rule, _ in found(spark, pages, rules, tmp_path)]
+    wanted = [(page, host, path, rule and len(rule)) for page, host, path, rule, _ in expected(pages, rules)]
+    assert got == wanted
+
+
+def test_a_hot_url_is_spread_over_ranges(spark, tmp_path):
+    pages = [(i, "http://a.example.net/en/x") for i in range(3000)] + [(i, "http://b.org/") for i in range(9)]
+    path = paths(tmp_path)()
+    frame = spark.createDataFrame(pages, "page_id long, url string").repartition(8)
+    assert rows(filter_urls(frame, rule_table(spark, RULES), path)) == expected(pages, RULES)
+    sizes = [row["count"] for row in spark.read.parquet(path).groupBy("range").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)
+
+
+def test_no_rules_no_pages_and_another_default(spark, tmp_path):
+    pages = [(1, "http://example.net/en/1")]
+    none = rule_table(spark, RULES).where("false")
+    frame = spark.createDataFrame(pages, "page_id long, url string")
+    new = paths(tmp_path)
+    assert rows(filter_urls(frame, none, new())) == expected(pages, [])
+    assert rows(filter_urls(frame.where("false"), rule_table(spark, RULES), new())) == []
+    assert rows(filter_urls(frame, none, new(), default="block"))[0][-1] == "block"
+
+
+def test_equal_rules_block_and_other_columns_do_no_harm(spark, tmp_path):
+    frame = spark.createDataFrame(
+        [(1, "http://a.net/", "h", 5)], "page_id long, url string, host string, key int"
+    )
+    rules = rule_table(spark, [("net", "/", "allow"), ("net", "/", "block")])
+    result = filter_urls(frame, rules, paths(tmp_path)())
+    assert rows(result) == [(1, "a.net", "/", "net/", "block")]
+    assert "Python" not in plan_of(result) and "Arrow" not in plan_of(result)
