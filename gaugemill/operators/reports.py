@@ -11,8 +11,12 @@ from gaugemill.functions.timing import AsOf
 from gaugemill.operators.filters import last_days, of_machine
 
 
+# The machine and the days of the report.
+MACHINE, DAYS = 39, 45
+
+
 def daily_averages(
-    readings: DataFrame, machine_id: int = 39, days: int = 45, as_of: AsOf = None
+    readings: DataFrame, machine_id: int = MACHINE, days: int = DAYS, as_of: AsOf = None
 ) -> DataFrame:
     """Average temperature and vibration per day of one machine, by day."""
     return (

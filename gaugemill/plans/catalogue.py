@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugemill.functions.labels import failure_code, label, label_timestamp
 from gaugemill.functions.parsing import HUMIDITY_LABEL, MACHINE_LABEL, parse_timestamp
-from gaugemill.functions.timing import fixed, latest, year_month
+from gaugemill.functions.timing import days_before, fixed, latest, year_month
 from gaugemill.operators import reports, summaries
 from gaugemill.operators.clean import clean_readings
 from gaugemill.operators.ingest import flatten_documents, nest_readings, type_readings
@@ -27,25 +28,27 @@ from gaugemill.plans.tables import (
 )
 from gaugemill.schemas import MONTH_PARTITION, RAW_DOCUMENT, reading_table
 from gaugemill.session import pin_utc
-from gaugemill.sources.folders import new_staging_path, size_in_bytes
+from gaugemill.sources.folders import new_staging_path
 from gaugemill.sources.readers import read_csv, read_documents, read_table, stream_documents
 from gaugemill.sources.sample_tables import (
     csv_rows,
     event_readings,
     events,
     lineitem,
-    lineitem_stream,
     raw_documents,
+    shipment_documents,
     shipment_readings,
+    spoiled_csv_rows,
+    spoiled_documents,
 )
 from gaugemill.sources.writers import append_documents, append_readings
-from gaugemill.streaming.views import catch_up, fold_states
+from gaugemill.streaming.views import catch_up, fold_states, write_states
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN = "first"
-STREAM_BATCH = 2 * 1024**4  # bytes of input per micro-batch
-INSERTS = 3
+# Shares of the rows, out of 16, that each insert brings.
+INSERTS = (9, 2, 5)
 
 
 def rounded(frame: DataFrame) -> DataFrame:
@@ -70,6 +73,13 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return type_readings(read_csv(spark, _stage_csv(spark, sf_dir)))
 
 
+def csv_ingest_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_staging_path(spark, "csv")
+    rows = spoiled_csv_rows(events(spark, sf_dir))
+    rows.write.mode("append").option("header", True).csv(path)
+    return type_readings(read_csv(spark, path))
+
+
 def label_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = type_readings(csv_rows(events(spark, sf_dir)))
     return typed.select(
@@ -109,9 +119,25 @@ def clean_float(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_readings(raw_documents(events(spark, sf_dir)), "float")
 
 
+def clean_double_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_readings(spoiled_documents(events(spark, sf_dir)))
+
+
+def clean_float_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_readings(spoiled_documents(events(spark, sf_dir)), "float")
+
+
 # Tables
 
 
+def table_dropped_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings without a required value are left out of the table."""
+    table = f"{_stage_database(spark, 'table_dropped_nulls')}.{READINGS}"
+    create_readings(spark, table)
+    append_readings(clean_double_dirty(spark, sf_dir), table, on_null="drop")
+    return read_table(spark, table)
+
+
 def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned events appended to the readings table and read back in SQL."""
     table = f"{_stage_database(spark, 'table_scan')}.{READINGS}"
@@ -138,8 +164,12 @@ def table_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    readings = event_readings(events(spark, sf_dir))
-    return rounded(reports.daily_averages(readings, as_of=latest(readings)))
+    source = events(spark, sf_dir)
+    as_of = latest(event_readings(source))
+    # The time in whole seconds hides the bound from the scan, so it is set on the raw time,
+    # too. It is in whole seconds itself: both keep the same rows.
+    recent = source.where(F.col("ts") >= days_before(as_of, reports.DAYS))
+    return rounded(reports.daily_averages(event_readings(recent), as_of=as_of))
 
 
 def daily_averages_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,38 +236,75 @@ def state_energy_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, database = _states_of_inserts(spark, sf_dir, "agg_energy_efficiency")
     folded = _stage_database(spark, "folded")
     create_states(spark, folded)
-    fold_states(spark, table, database, folded, RUN)
+    fold_states(spark, table, database, folded)
+    return rounded(table.read(spark, folded))
+
+
+def state_anomaly_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shipments dealt to two runs; both are folded, then one repeats its last batch there."""
+    table = _by_name(STATE_TABLES, "agg_monthly_anomaly_counts")
+    database, folded = _stage_database(spark, "two_runs"), _stage_database(spark, "two_folded")
+    create_states(spark, database)
+    create_states(spark, folded)
+    parts = _parts(lineitem(spark, sf_dir))
+    inserts = [table.summary.select_inputs(shipment_readings(part)) for part in parts]
+    for run_id, batch_id, part in (("a", 0, 0), ("b", 0, 1), ("b", 1, 2)):
+        write_states(inserts[part], table, database, run_id, batch_id)
+    fold_states(spark, table, database, folded)
+    write_states(inserts[2], table, folded, "b", 1)
     return rounded(table.read(spark, folded))
 
 
 def _states_of_inserts(
     spark: SparkSession, sf_dir: str, name: str
 ) -> tuple[SummaryTable, str]:
+    """States over months come from shipments, which span many; the others from events."""
     table = _by_name(STATE_TABLES, name)
     database = _stage_database(spark, name)
     create_states(spark, database)
-    _feed_from_documents(spark, sf_dir, table, database)
+    if "month" in table.summary.keys:
+        documents = shipment_documents(lineitem(spark, sf_dir))
+        as_of = _end_of(table, shipment_readings(lineitem(spark, sf_dir)))
+    else:
+        documents, as_of = raw_documents(events(spark, sf_dir)), None
+    path = new_staging_path(spark, "documents")
+    stream = clean_readings(stream_documents(spark, path, RAW_DOCUMENT))
+    _insert_parts(spark, documents, path, "json", stream, table, database, as_of)
     return table, database
 
 
 def _feed_from_lineitem(
     spark: SparkSession, sf_dir: str, table: SummaryTable, database: str
 ) -> None:
-    readings = shipment_readings(lineitem_stream(spark, sf_dir, STREAM_BATCH))
-    as_of = _end_of(table, shipment_readings(lineitem(spark, sf_dir)))
+    source = lineitem(spark, sf_dir)
+    path = new_staging_path(spark, "lineitem")
+    stream = shipment_readings(stream_documents(spark, path, source.schema, "parquet"))
+    as_of = _end_of(table, shipment_readings(source))
+    _insert_parts(spark, source, path, "parquet", stream, table, database, as_of)
+
+
+def _insert_parts(
+    spark: SparkSession,
+    source: DataFrame,
+    path: str,
+    fmt: str,
+    stream: DataFrame,
+    table: SummaryTable,
+    database: str,
+    as_of: str | None,
+) -> None:
+    """Append the source to a folder part by part, and catch up after each."""
     checkpoint = new_staging_path(spark, "checkpoint")
-    catch_up(readings, (table,), database, checkpoint, RUN, as_of)
+    for part in _parts(source):
+        part.write.mode("append").format(fmt).save(path)
+        catch_up(stream, (table,), database, checkpoint, RUN, as_of)
 
 
-def _feed_from_documents(
-    spark: SparkSession, sf_dir: str, table: SummaryTable, database: str
-) -> None:
-    path = _stage_documents(spark, sf_dir, inserts=INSERTS)
-    per_batch = min(STREAM_BATCH, max(1, size_in_bytes(spark, path) // INSERTS))
-    documents = stream_documents(spark, f"{path}/*", RAW_DOCUMENT, max_bytes=per_batch)
-    as_of = _end_of(table, event_readings(events(spark, sf_dir)))
-    checkpoint = new_staging_path(spark, "checkpoint")
-    catch_up(clean_readings(documents), (table,), database, checkpoint, RUN, as_of)
+def _parts(source: DataFrame) -> list[DataFrame]:
+    """All rows, dealt unevenly."""
+    share = F.pmod(F.xxhash64(*source.columns[:3]), F.lit(sum(INSERTS)))
+    ends = list(accumulate(INSERTS))
+    return [source.where((share >= end - size) & (share < end)) for size, end in zip(INSERTS, ends)]
 
 
 def _end_of(table: SummaryTable, readings: DataFrame) -> str | None:
@@ -254,35 +321,38 @@ def ingest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def native_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, results = _run_native(spark, sf_dir)
+    source = lineitem(spark, sf_dir)
+    _, results = _run_native(spark, shipment_documents(source), shipment_readings(source))
     return rounded(results["daily_averages"])
 
 
 def native_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    database, _ = _run_native(spark, sf_dir)
+    source = events(spark, sf_dir)
+    database, _ = _run_native(spark, raw_documents(source), event_readings(source))
     return rounded(spark.table(f"{database}.sp_energy_efficiency"))
 
 
 def float_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The float readings of one insert as states, as they go along with a JDBC write."""
     database = _stage_database(spark, "float_states")
-    readings = clean_float(spark, sf_dir)
-    as_of = latest(event_readings(events(spark, sf_dir)))
+    source = lineitem(spark, sf_dir)
+    readings = clean_readings(shipment_documents(source), "float")
+    as_of = fixed(latest(shipment_readings(source)))
     flows.load_states(spark, readings, database, RUN, 0, as_of=as_of)
     return rounded(_by_name(STATE_TABLES, "agg_monthly_temp").read(spark, database))
 
 
-def _run_native(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame]]:
+def _run_native(
+    spark: SparkSession, documents: DataFrame, readings: DataFrame
+) -> tuple[str, dict[str, DataFrame]]:
     database = _stage_database(spark, "native")
-    source = events(spark, sf_dir)
     results = flows.run_native(
         spark,
-        raw_documents(source),
+        documents,
         database,
         new_staging_path(spark, "checkpoint"),
         RUN,
-        as_of=fixed(latest(event_readings(source))),
-        max_bytes=STREAM_BATCH,
+        as_of=fixed(latest(readings)),
     )
     return database, results
 
@@ -296,22 +366,22 @@ def _stage_csv(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def _stage_documents(spark: SparkSession, sf_dir: str, inserts: int | None = None) -> str:
-    """The event documents as JSON; with ``inserts``, in so many folders."""
+def _stage_documents(spark: SparkSession, sf_dir: str) -> str:
+    """The event documents as JSON."""
     path = new_staging_path(spark, "documents")
-    documents = raw_documents(events(spark, sf_dir))
-    if inserts is None:
-        append_documents(documents, path)
-    else:
-        insert = F.pmod(F.xxhash64("_id"), F.lit(inserts))
-        documents.withColumn("insert", insert).write.mode("append").partitionBy("insert").json(
-            path
-        )
+    append_documents(raw_documents(events(spark, sf_dir)), path)
     return path
 
 
+_STAGED: dict[tuple[str, str], str] = {}  # the database of each query's last run
+
+
 def _stage_database(spark: SparkSession, name: str) -> str:
-    database = f"{name}_{uuid.uuid4().hex}"
+    """A database of this run. That of the query's run before goes, with its tables' files."""
+    key = spark.sparkContext.applicationId, name
+    if key in _STAGED:
+        spark.sql(f"DROP DATABASE IF EXISTS {_STAGED[key]} CASCADE")
+    _STAGED[key] = database = f"{name}_{uuid.uuid4().hex}"
     create_database(spark, database, new_staging_path(spark, name))
     return database
 
@@ -331,6 +401,7 @@ def _by_name(tables: tuple[SummaryTable, ...], name: str) -> SummaryTable:
 
 QUERIES: dict[str, Query] = {
     "csv_ingest": csv_ingest,
+    "csv_ingest_dirty": csv_ingest_dirty,
     "label_values": label_values,
     "failure_code": failure_codes,
     "nest_readings": nested_readings,
@@ -338,7 +409,10 @@ QUERIES: dict[str, Query] = {
     "document_scan_inferred": document_scan_inferred,
     "clean_double": clean_double,
     "clean_float": clean_float,
+    "clean_double_dirty": clean_double_dirty,
+    "clean_float_dirty": clean_float_dirty,
     "table_scan": table_scan,
+    "table_dropped_nulls": table_dropped_nulls,
     "table_months": table_months,
     "daily_averages": daily_averages,
     "daily_averages_shipments": daily_averages_shipments,
@@ -355,6 +429,7 @@ QUERIES: dict[str, Query] = {
     "state_energy": _state("agg_energy_efficiency"),
     "state_temp": _state("agg_monthly_temp"),
     "state_energy_folded": state_energy_folded,
+    "state_anomaly_two_runs": state_anomaly_two_runs,
     "ingest_run": ingest_run,
     "native_run": native_run,
     "native_energy": native_energy,

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugemill.functions.timing import AsOf
+from gaugemill.functions.timing import AsOf, resolved
 from gaugemill.operators.clean import clean_readings
 from gaugemill.operators.ingest import nest_readings, type_readings
 from gaugemill.operators.reports import all_reports
@@ -19,6 +19,7 @@ from gaugemill.plans.tables import (
     create_readings,
     create_states,
     create_summaries,
+    quoted_name,
 )
 from gaugemill.sources.folders import staged
 from gaugemill.sources.readers import read_csv, read_table, stream_table
@@ -53,7 +54,9 @@ def run_native(
     """Clean documents into the readings table, update the summaries, return the reports.
 
     With the same ``checkpoint`` and ``run_id``, a later call summarises only the readings
-    that were appended since. Where the catalog does not outlive the driver, give a
+    that were appended since. It appends the documents it is given, so a call that failed is
+    not repeated as it is: where ``append_readings`` had failed, nothing was written; where
+    it had ended, go on with ``summarise_native``. Where the catalog does not outlive the driver, give a
     ``location``, so that a later session finds the tables' files again.
     """
     table = f"{database}.{READINGS}"
@@ -61,6 +64,23 @@ def run_native(
     create_readings(spark, table, location=location)
     create_summaries(spark, database, location)
     append_readings(clean_readings(documents), table, on_null=on_null)
+    return summarise_native(
+        spark, database, checkpoint, run_id, as_of=as_of, max_bytes=max_bytes
+    )
+
+
+def summarise_native(
+    spark: SparkSession,
+    database: str,
+    checkpoint: str,
+    run_id: str,
+    *,
+    as_of: AsOf = None,
+    max_bytes: int | None = None,
+) -> dict[str, DataFrame]:
+    """The second half of ``run_native``: can be repeated, and appends nothing."""
+    table = quoted_name(f"{database}.{READINGS}")
+    as_of = resolved(as_of)
     catch_up(
         stream_table(spark, table, max_bytes=max_bytes),
         SUMMARY_TABLES,
@@ -88,7 +108,10 @@ def run_jdbc(
 ) -> None:
     """Clean documents into a database table and add the states of this insert.
 
-    The cleaned readings are staged, so that the documents are parsed once for all of it.
+    The cleaned readings are staged, so that the documents are parsed once for all of it. A
+    database keeps what it was sent: after a failure, clear the table of this insert's rows
+    before repeating the call, or, if only the states are missing, call ``load_states`` with
+    the same ``batch_id``, which replaces them.
     """
     with staged(clean_readings(documents, "float"), "readings") as readings:
         append_jdbc(readings, url, table, properties=properties)

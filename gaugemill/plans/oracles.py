@@ -105,7 +105,59 @@ def _temperature(cte: str, source: str, value: str = "temperature") -> str:
     GROUP BY ALL"""
 
 
+# The spoiled rows, with what is to become of each text written out.
+_SPOILED_CSV = f"""{_E}
+    SELECT
+        CASE event_id % 8 WHEN 0 THEN TIMESTAMP '2024-01-05 06:07:08' WHEN 1 THEN NULL
+            WHEN 2 THEN NULL WHEN 3 THEN NULL WHEN 4 THEN NULL ELSE "timestamp" END AS "timestamp",
+        CASE event_id % 8 WHEN 0 THEN 7 WHEN 1 THEN 12 WHEN 2 THEN NULL WHEN 3 THEN NULL
+            WHEN 4 THEN NULL WHEN 5 THEN NULL WHEN 6 THEN -1 ELSE machine_id END AS machine_id,
+        CASE event_id % 8 WHEN 0 THEN 1000.0 WHEN 1 THEN 3.5 WHEN 2 THEN NULL WHEN 3 THEN NULL
+            WHEN 4 THEN NULL WHEN 5 THEN cast('-0' AS DOUBLE) ELSE temperature END AS temperature,
+        vibration, humidity, pressure, energy_consumption,
+        CASE event_id % 8 WHEN 0 THEN NULL WHEN 1 THEN 0 WHEN 2 THEN 2 WHEN 3 THEN 4
+            WHEN 4 THEN NULL ELSE cast(machine_status AS INTEGER) END AS machine_status,
+        cast(anomaly_flag AS INTEGER) AS anomaly_flag,
+        remaining_life AS predicted_remaining_life,
+        CASE event_id % 8 WHEN 0 THEN NULL WHEN 1 THEN 'normal' WHEN 2 THEN 'Criticality'
+            ELSE failure_type END AS failure_type,
+        cast(downtime_risk AS INTEGER) AS downtime_risk,
+        cast(maintenance_required AS INTEGER) AS maintenance_required
+    FROM e JOIN events ON _id = cast(event_id AS VARCHAR)"""
+
+
+def _spoiled(float_type: str = "DOUBLE", where: str = "true") -> str:
+    """Cleaned readings of the spoiled documents."""
+    return f"""{_E},
+    typed AS (
+        SELECT _id, event_id % 8 AS r,
+            CASE event_id % 8 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 3 THEN NULL
+                WHEN 2 THEN TIMESTAMP '2024-01-05 06:07:08' ELSE "timestamp" END AS "timestamp",
+            CASE event_id % 8 WHEN 0 THEN 12 WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 3 THEN NULL
+                WHEN 4 THEN NULL ELSE machine_id END AS machine_id,
+            CASE event_id % 8 WHEN 0 THEN NULL WHEN 1 THEN 5.5 WHEN 2 THEN NULL WHEN 3 THEN NULL
+                WHEN 4 THEN NULL ELSE humidity END AS humidity,
+            CASE event_id % 8 WHEN 5 THEN true WHEN 6 THEN NULL ELSE anomaly_flag END
+                AS anomaly_flag,
+            CASE event_id % 8 WHEN 6 THEN NULL ELSE remaining_life END AS remaining_life,
+            CASE event_id % 8 WHEN 6 THEN NULL ELSE failure_code END AS failure_code,
+            CASE event_id % 8 WHEN 6 THEN NULL ELSE temperature END AS temperature,
+            vibration, pressure, energy_consumption, downtime_risk, machine_status,
+            maintenance_required
+        FROM e JOIN events ON _id = cast(event_id AS VARCHAR)
+    )
+    SELECT _id, "timestamp", anomaly_flag, failure_code, remaining_life, machine_id,
+        machine_status, maintenance_required,
+        {", ".join(f"cast({name} AS {float_type}) AS {name}" for name in _DOUBLES)},
+        cast(date_trunc('month', "timestamp") AS DATE) AS month_partition
+    FROM typed WHERE {where}"""
+
+
 ORACLES: dict[str, str] = {
+    "csv_ingest_dirty": _SPOILED_CSV,
+    "clean_double_dirty": _spoiled(),
+    "clean_float_dirty": _spoiled("FLOAT"),
+    "table_dropped_nulls": _spoiled(where='"timestamp" IS NOT NULL'),
     "csv_ingest": f"""{_E}
         SELECT "timestamp", machine_id, temperature, vibration, humidity, pressure,
             energy_consumption, cast(machine_status AS INTEGER) AS machine_status,
@@ -160,12 +212,13 @@ ORACLES: dict[str, str] = {
     "mv_anomaly": _anomalies(_L, "l"),
     "mv_energy": _energy(_L, "l"),
     "mv_monthly_temp": _temperature(_L, "l"),
-    "state_anomaly": _anomalies(_E, "e", "DOUBLE"),
+    "state_anomaly": _anomalies(_L, "l", "DOUBLE"),
     "state_energy": _energy(_E, "e"),
-    "state_temp": _temperature(_E, "e"),
+    "state_temp": _temperature(_L, "l"),
     "state_energy_folded": _energy(_E, "e"),
     "ingest_run": _cleaned(extra=()),
-    "native_run": _daily(_E, "e"),
+    "state_anomaly_two_runs": _anomalies(_L, "l", "DOUBLE"),
+    "native_run": _daily(_L, "l"),
     "native_energy": _energy(_E, "e"),
-    "float_states": _temperature(_E, "e", "cast(cast(temperature AS FLOAT) AS DOUBLE)"),
+    "float_states": _temperature(_L, "l", "cast(cast(temperature AS FLOAT) AS DOUBLE)"),
 }

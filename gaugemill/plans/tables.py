@@ -23,7 +23,10 @@ READINGS_JDBC = "sensor_data_jdbc"
 
 # Every insert leaves its states in a partition of its own, so that repeating it replaces
 # them. See ``streaming.views``.
-INSERT_COLUMNS = {"run_id": "STRING", "batch_id": "BIGINT"}
+# ``stream_id`` is the identity that a stream keeps in its checkpoint, so that another stream
+# cannot take over a run; inserts without a stream share one.
+INSERT_COLUMNS = {"run_id": "STRING", "stream_id": "STRING", "batch_id": "BIGINT"}
+NO_STREAM = "none"
 
 
 @dataclass(frozen=True)
@@ -52,8 +55,16 @@ class SummaryTable:
         return [key for key in ("month", "machine_id") if key in self.summary.keys]
 
     def read(self, spark: SparkSession, database: str) -> DataFrame:
-        """Final values, merged from the states of all inserts."""
-        return self.summary.merge_states(spark.table(f"{database}.{self.states}"))
+        """Final values, merged from the states of all inserts.
+
+        Streams write in sessions of their own; the file list of this one is renewed.
+        """
+        states = self.qualified(database)
+        spark.catalog.refreshTable(states)
+        return self.summary.merge_states(spark.table(states))
+
+    def qualified(self, database: str) -> str:
+        return quoted_name(f"{database}.{self.states}")
 
 
 # The names under which the summaries are published.
@@ -69,9 +80,20 @@ STATE_TABLES = (
 )
 
 
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def quoted_name(name: str) -> str:
+    """A name of several parts, divided by dots, for SQL. Parts may be quoted already."""
+    parts = (part.strip("`").replace("`", "``") for part in name.split("."))
+    return ".".join(f"`{part}`" for part in parts)
+
+
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
-    at = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{at}")
+    at = f" LOCATION {quoted(location)}" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted_name(database)}{at}")
 
 
 # With a ``location``, tables keep their files in folders of that name there, and files
@@ -88,9 +110,11 @@ def create_readings(
     location: str | None = None,
 ) -> None:
     """The readings table, partitioned by month; ``properties`` are the provider's own."""
-    extra = ", ".join(f"'{key}' = '{value}'" for key, value in (properties or {}).items())
+    extra = ", ".join(
+        f"{quoted(key)} = {quoted(value)}" for key, value in (properties or {}).items()
+    )
     statements = {
-        table: f"CREATE TABLE IF NOT EXISTS {table} ({ddl(reading_table(float_type))}) "
+        table: f"CREATE TABLE IF NOT EXISTS {quoted_name(table)} ({ddl(reading_table(float_type))}) "
         f"USING {provider} PARTITIONED BY ({MONTH_PARTITION})"
         + _at(location, table.split(".")[-1])
         + (f" TBLPROPERTIES ({extra})" if extra else "")
@@ -109,7 +133,7 @@ def create_states(spark: SparkSession, database: str, location: str | None = Non
 
 
 def _at(location: str | None, name: str) -> str:
-    return f" LOCATION '{location}/{name}'" if location else ""
+    return " LOCATION " + quoted(f"{location}/{name}") if location else ""
 
 
 def _found_partitions(
@@ -121,7 +145,7 @@ def _found_partitions(
     new = [table for table in tables if not spark.catalog.tableExists(table)]
     for table in new:
         make_folder(spark, f"{location}/{table.split('.')[-1]}")
-    return {f"partitions of {table}": f"MSCK REPAIR TABLE {table}" for table in new}
+    return {f"partitions of {table}": f"MSCK REPAIR TABLE {quoted_name(table)}" for table in new}
 
 
 def _create_all(
@@ -137,7 +161,7 @@ def _definitions(
 ) -> dict[str, str]:
     statements = {}
     for table in tables:
-        states = f"{database}.{table.states}"
+        states = table.qualified(database)
         inserts = ", ".join(f"{name} {kind}" for name, kind in INSERT_COLUMNS.items())
         statements[table.states] = (
             f"CREATE TABLE IF NOT EXISTS {states} ({ddl(table.summary.schema)}, {inserts}) "
@@ -146,7 +170,7 @@ def _definitions(
         )
         if table.plain:
             statements[table.name] = (
-                f"CREATE VIEW IF NOT EXISTS {database}.{table.name} AS "
+                f"CREATE VIEW IF NOT EXISTS {quoted_name(f'{database}.{table.name}')} AS "
                 f"{table.summary.merge_sql(states)}"
             )
     return statements

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -10,6 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 def new_staging_path(spark: SparkSession, name: str) -> str:
@@ -33,20 +33,10 @@ def staged(frame: DataFrame, name: str) -> Iterator[DataFrame]:
 
 
 def _shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder, or else one in the warehouse, which all executors write, too."""
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="gaugemill-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
-
-
-def size_in_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the files under a path, from the file system's own metadata."""
-    target, file_system = _file_system(spark, path)
-    return file_system.getContentSummary(target).getLength()
+    folder = folder or f"{spark.conf.get(WAREHOUSE_DIR)}/_staged"
+    return folder.rstrip("/")
 
 
 def make_folder(spark: SparkSession, path: str) -> None:

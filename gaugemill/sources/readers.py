@@ -6,11 +6,17 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from gaugemill.schemas import CSV_READING
 
 Options = Mapping[str, str] | None
 
+# The engine forgets files older than a week, by modification time, and never reads them. A
+# backfill copied with its times kept must count, too, so no file is too old here. In return,
+# the names of all files ever read are kept with the checkpoint.
+MAX_FILE_AGE = "36500d"
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = CSV_READING) -> DataFrame:
     """CSV with a header row; the schema is given, so the files are read once."""
@@ -46,12 +52,15 @@ def stream_documents(
     fmt: str = "json",
     max_files: int | None = None,
     max_bytes: int | None = None,
+    max_age: str = MAX_FILE_AGE,
 ) -> DataFrame:
     """New files of a collection as a stream, so much per batch at most.
 
-    ``path`` is a directory or a glob pattern.
+    ``path`` is a directory or a glob pattern. Files whose modification time lies ``max_age``
+    before the newest one are left out for good.
     """
-    return _limited(spark.readStream.schema(schema), max_files, max_bytes).format(fmt).load(path)
+    reader = limited(spark.readStream.schema(schema), max_files, max_bytes, max_age)
+    return reader.format(fmt).load(path)
 
 
 def stream_table(
@@ -59,12 +68,20 @@ def stream_table(
     table: str,
     max_files: int | None = None,
     max_bytes: int | None = None,
+    max_age: str = MAX_FILE_AGE,
 ) -> DataFrame:
-    """Rows appended to a table as a stream."""
-    return _limited(spark.readStream, max_files, max_bytes).table(table)
+    """Rows appended to a table as a stream; ``max_age`` as in ``stream_documents``."""
+    return limited(spark.readStream, max_files, max_bytes, max_age).table(table)
 
 
-def _limited(reader, max_files, max_bytes):
+def limited(
+    reader: DataStreamReader,
+    max_files: int | None = None,
+    max_bytes: int | None = None,
+    max_age: str = MAX_FILE_AGE,
+) -> DataStreamReader:
+    """A reader of files with its limits per batch."""
+    reader = reader.option("maxFileAge", max_age)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:

@@ -1,68 +1,130 @@
 """Incremental summaries over Structured Streaming.
 
 Each micro-batch is one insert: it is reduced to states and stored in the partition
-``(run_id, batch_id)``. A batch that is run again after a failure has the same ``batch_id``
+``(run_id, stream_id, batch_id)``. A batch that is run again after a failure has the same ids
 and replaces its own states, so every reading counts once. A new checkpoint starts at batch 0
-again and needs a ``run_id`` of its own.
+again, as another stream, and needs a ``run_id`` of its own: a run that another stream has
+begun is refused.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gaugemill.functions.timing import AsOf
-from gaugemill.plans.tables import INSERT_COLUMNS, SummaryTable
+from gaugemill.functions.timing import AsOf, resolved
+from gaugemill.plans.tables import INSERT_COLUMNS, NO_STREAM, SummaryTable, quoted
 
 FOLDED_RUN = "folded"
 
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+_STREAM_ID = "sql.streaming.queryId"  # what the engine calls the running stream
+
 
 def write_states(
     inputs: DataFrame, table: SummaryTable, database: str, run_id: str, batch_id: int
 ) -> None:
     """Store the states of one insert, replacing those of an earlier attempt."""
-    _store(table.summary.to_states(inputs), table, database, run_id, batch_id)
-
-
-def fold_states(
-    spark: SparkSession, table: SummaryTable, database: str, target: str, run_id: str
-) -> None:
+    spark = inputs.sparkSession
+    stream_id = spark.sparkContext.getLocalProperty(_STREAM_ID) or NO_STREAM
+    _refuse_foreign_run(spark, table, database, run_id, stream_id)
+    _store(table.summary.to_states(inputs), table, database, (run_id, stream_id, batch_id))
+
+
+def inserts_of(
+    spark: SparkSession, table: SummaryTable, database: str, run_id: str | None = None
+) -> set[tuple[str, str, int]]:
+    """run_id, stream_id and batch_id of the inserts in a table, from its list of partitions."""
+    only = "" if run_id is None else f" PARTITION (run_id = {quoted(run_id)})"
+    found = spark.sql(f"SHOW PARTITIONS {table.qualified(database)}{only}").collect()
+    result = set()
+    for row in found:
+        parts = dict(part.split("=", 1) for part in row[0].split("/"))
+        run, stream, batch = (unquote(parts[name]) for name in INSERT_COLUMNS)
+        result.add((run, stream, int(batch)))
+    return result
+
+
+_OWN: set[tuple] = set()  # runs that a stream of this driver has been found to own
+
+
+def _refuse_foreign_run(spark, table, database, run_id: str, stream_id: str) -> None:
+    """Looked up once per stream, as the list of partitions grows with its batches."""
+    owned = stream_id, run_id, table.qualified(database)
+    if owned in _OWN:
+        return
+    streams = {stream for _, stream, _ in inserts_of(spark, table, database, run_id)}
+    if streams - {stream_id}:
+        raise ValueError(
+            f"run {run_id!r} of {table.name} belongs to another stream: "
+            "give a new checkpoint a run_id of its own"
+        )
+    if stream_id != NO_STREAM:
+        _OWN.add(owned)
+
+
+def fold_states(spark: SparkSession, table: SummaryTable, database: str, target: str) -> None:
     """Combine the states of many inserts into one, in the table of another database.
 
-    State tables grow by a row per key and insert. Stop the stream of ``run_id``, fold, and
-    go on with the same checkpoint in ``target``. The run's last batch may yet be repeated
-    and stays apart. The old table is left as it is, so folding can be repeated, too.
+    State tables grow by a row per key and insert. Stop the streams, fold, and go on with the
+    same checkpoints in ``target``. The last batch of each run may yet be repeated and stays
+    apart. The old table is left as it is, so folding can be repeated, too.
     """
-    if run_id == FOLDED_RUN:
-        raise ValueError(f"{FOLDED_RUN!r} names the folded states; give the stream's run_id")
-    states = spark.table(f"{database}.{table.states}")
-    this_run = F.col("run_id") == run_id
-    last = states.where(this_run).agg(F.max("batch_id")).first()[0]
-    if last is None:
-        older = states
-    else:
-        is_last = this_run & (F.col("batch_id") == last)
-        older = states.where(~is_last)
+    last: dict[tuple[str, str], int] = {}
+    for run_id, stream_id, batch_id in inserts_of(spark, table, database):
+        if run_id != FOLDED_RUN:
+            key = run_id, stream_id
+            last[key] = max(batch_id, last.get(key, batch_id))
+    spark.catalog.refreshTable(table.qualified(database))
+    states = spark.table(table.qualified(database))
+    older = states
+    for (run_id, stream_id), batch_id in last.items():
+        is_last = (
+            (F.col("run_id") == run_id)
+            & (F.col("stream_id") == stream_id)
+            & (F.col("batch_id") == batch_id)
+        )
+        older = older.where(~is_last)
         kept = states.where(is_last).drop(*INSERT_COLUMNS)
-        _store(kept, table, target, run_id, last)
-    _store(table.summary.combine_states(older), table, target, FOLDED_RUN, 0)
+        _store(kept, table, target, (run_id, stream_id, batch_id))
+    _store(table.summary.combine_states(older), table, target, (FOLDED_RUN, NO_STREAM, 0))
 
 
 def _store(
-    states: DataFrame, table: SummaryTable, database: str, run_id: str, batch_id: int
+    states: DataFrame, table: SummaryTable, database: str, insert: tuple[str, str, int]
 ) -> None:
+    """Replace one insert, with all its months, whatever the session's overwrite mode."""
     if table.by_month:
         states = states.hint("rebalance", F.col("month"))
     states = states.sortWithinPartitions(*table.order)
     by_month = ", month" if table.by_month else ""
-    states.sparkSession.sql(
-        f"INSERT OVERWRITE TABLE {database}.{table.states} "
-        f"PARTITION (run_id = :run_id, batch_id = :batch_id{by_month}) "
-        "BY NAME SELECT * FROM {states}",
-        args={"run_id": run_id, "batch_id": batch_id},
-        states=states,
-    )
+    spark = states.sparkSession
+    with _setting(spark, _OVERWRITE_MODE, "static"):
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table.qualified(database)} PARTITION "
+            f"(run_id = :run_id, stream_id = :stream_id, batch_id = :batch_id{by_month}) "
+            "BY NAME SELECT * FROM {states}",
+            args=dict(zip(INSERT_COLUMNS, insert)),
+            states=states,
+        )
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def maintain(
@@ -78,9 +140,12 @@ def maintain(
 
     Rows and columns are selected before ``foreachBatch``, where the scan can still use it.
     Without ``as_of`` the time range ends at the batch's recorded start, which stays the same
-    when the batch is run again.
+    when the batch is run again. A frame is looked up once, here: all batches of this stream
+    have the same range, and one that is started later on the same checkpoint moves on.
     """
-    inputs = table.summary.select_inputs(readings, as_of)
+    if run_id == FOLDED_RUN:
+        raise ValueError(f"{FOLDED_RUN!r} names the folded states; give another run_id")
+    inputs = table.summary.select_inputs(readings, resolved(as_of))
 
     def insert(batch: DataFrame, batch_id: int) -> None:
         write_states(batch, table, database, run_id, batch_id)
@@ -104,8 +169,11 @@ def catch_up(
 ) -> None:
     """Bring several summaries up to date with all readings that have arrived.
 
-    If one fails, the others are stopped; all of them go on from their checkpoints.
+    If one fails, the others are stopped; all of them go on from their checkpoints. Each table
+    has a stream, which reads the source by itself: of a readings table only its own columns,
+    of JSON documents all of them, so that several summaries are better fed from the table.
     """
+    as_of = resolved(as_of)
     running = []
     try:
         for table in tables:
@@ -116,3 +184,5 @@ def catch_up(
     finally:
         for query in running:
             query.stop()
+        for table in tables:  # written in the streams' own sessions
+            readings.sparkSession.catalog.refreshTable(table.qualified(database))

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import glob
+import os
+import time
 from datetime import date, datetime, timedelta
 
 import pyarrow.parquet as pq
@@ -17,9 +19,11 @@ from gaugemill.plans.tables import (
     READINGS,
     STATE_TABLES,
     SUMMARY_TABLES,
+    create_database,
     create_readings,
     create_states,
     create_summaries,
+    quoted_name,
 )
 from gaugemill.sources.readers import stream_documents, stream_table
 from gaugemill.sources.sample_tables import (
@@ -123,7 +127,7 @@ def test_folded_states_go_on(spark, prepared, tmp_path, table):
     create_states(spark, target)
     twice = frame.union(frame)
     for _ in range(2):
-        fold_states(spark, table, prepared, target, "run")
+        fold_states(spark, table, prepared, target)
         assert batches(spark, target, table) == [0, 3]
         assert rounded(table.read(spark, target)) == rounded(direct(table, twice, as_of))
     frame.coalesce(1).write.mode("append").parquet(source)
@@ -134,14 +138,14 @@ def test_folded_states_go_on(spark, prepared, tmp_path, table):
     spark.sql(f"DROP DATABASE {target} CASCADE")
 
 
-def test_fold_without_the_run(spark, prepared, tmp_path):
+def test_fold_of_inserts_without_a_stream(spark, prepared, tmp_path):
     frame = event_readings(events(spark, SMALL))
     table = STATE_TABLES[1]
     write_states(table.summary.select_inputs(frame), table, prepared, "old", 5)
     target = f"{prepared}_folded"
     spark.sql(f"CREATE DATABASE {target} LOCATION '{tmp_path}/folded'")
     create_states(spark, target)
-    fold_states(spark, table, prepared, target, "new")
+    fold_states(spark, table, prepared, target)
     assert rounded(table.read(spark, target)) == rounded(direct(table, frame, None))
     spark.sql(f"DROP DATABASE {target} CASCADE")
 
@@ -152,7 +156,7 @@ def test_states_are_sorted_in_files(spark, prepared, tmp_path, table):
     inputs = table.summary.select_inputs(frame, latest(frame))
     write_states(inputs, table, prepared, "run", 0)
     assert table.order == ["month", "machine_id"][-len(table.summary.keys) :]
-    pattern = f"{tmp_path}/tables/{table.states}/run_id=run/batch_id=0/**/*.parquet"
+    pattern = f"{tmp_path}/tables/{table.states}/run_id=run/stream_id=none/batch_id=0/**/*.parquet"
     files = glob.glob(pattern, recursive=True)
     assert files
     for file in files:
@@ -294,9 +298,135 @@ def test_a_table_of_many_files_streams_in_batches(spark, prepared, tmp_path):
     assert rounded(table.read(spark, prepared)) == rounded(expected)
 
 
-def test_folded_run_is_reserved(spark, prepared):
+def test_folded_run_is_reserved(spark, prepared, tmp_path):
+    frame = event_readings(events(spark, SMALL))
+    frame.write.parquet(f"{tmp_path}/parts")
+    stream = stream_documents(spark, f"{tmp_path}/parts", frame.schema, "parquet")
     with pytest.raises(ValueError, match="folded"):
-        fold_states(spark, STATE_TABLES[0], prepared, prepared, "folded")
+        maintain(stream, STATE_TABLES[0], prepared, f"{tmp_path}/checkpoint", "folded")
+
+
+def aged(folder, days, known=()):
+    """Set new files of a folder back in time."""
+    for file in set(glob.glob(f"{folder}/**/*.parquet", recursive=True)) - set(known):
+        past = time.time() - days * 86_400
+        os.utime(file, (past, past))
+
+
+@pytest.mark.parametrize("source", ["documents", "table"])
+def test_files_of_any_age_are_read(spark, prepared, tmp_path, source):
+    frame = event_readings(events(spark, SMALL))
+    name, table = f"{prepared}.{READINGS}", STATE_TABLES[1]
+    folder = f"{tmp_path}/parts" if source == "documents" else f"{tmp_path}/tables/{READINGS}"
+    for days in (0, 30):
+        known = glob.glob(f"{folder}/**/*.parquet", recursive=True)
+        if source == "documents":
+            frame.coalesce(1).write.mode("append").parquet(folder)
+            stream = stream_documents(spark, folder, frame.schema, "parquet")
+        else:
+            append_readings(frame, name)
+            stream = stream_table(spark, name)
+        aged(folder, days, known)
+        catch_up(stream, (table,), prepared, f"{tmp_path}/checkpoint", "run")
+    assert rounded(table.read(spark, prepared)) == rounded(direct(table, frame.union(frame), None))
+
+
+def test_a_run_of_another_checkpoint_is_refused(spark, prepared, tmp_path):
+    frame = event_readings(events(spark, SMALL))
+    frame.write.parquet(f"{tmp_path}/parts")
+    table = STATE_TABLES[1]
+    stream = stream_documents(spark, f"{tmp_path}/parts", frame.schema, "parquet")
+    catch_up(stream, (table,), prepared, f"{tmp_path}/checkpoint", "run")
+    before = rounded(table.read(spark, prepared))
+    with pytest.raises(StreamingQueryException, match="belongs to another stream"):
+        catch_up(stream, (table,), prepared, f"{tmp_path}/other", "run")
+    with pytest.raises(ValueError, match="belongs to another stream"):
+        write_states(table.summary.select_inputs(frame), table, prepared, "run", 7)
+    assert rounded(table.read(spark, prepared)) == before
+
+
+def test_fold_keeps_the_last_batch_of_each_run(spark, prepared, tmp_path):
+    frame = event_readings(events(spark, SMALL))
+    table = STATE_TABLES[1]
+    inputs = table.summary.select_inputs(frame)
+    for run_id, batch_id in (("a", 0), ("a", 1), ("b", 0)):
+        write_states(inputs, table, prepared, run_id, batch_id)
+    target = f"{prepared}_folded"
+    spark.sql(f"CREATE DATABASE {target} LOCATION '{tmp_path}/folded'")
+    create_states(spark, target)
+    fold_states(spark, table, prepared, target)
+    for run_id, batch_id in (("a", 1), ("b", 0)):
+        write_states(inputs, table, target, run_id, batch_id)
+    thrice = frame.union(frame).union(frame)
+    assert rounded(table.read(spark, target)) == rounded(direct(table, thrice, None))
+    spark.sql(f"DROP DATABASE {target} CASCADE")
+
+
+def test_reading_between_a_failure_and_its_repetition(spark, prepared, tmp_path, monkeypatch):
+    frame = event_readings(events(spark, SMALL))
+    frame.write.parquet(f"{tmp_path}/parts")
+    table = SUMMARY_TABLES[1]
+    stream = stream_documents(spark, f"{tmp_path}/parts", frame.schema, "parquet")
+
+    def failing(*args):
+        write_states(*args)
+        raise RuntimeError("lost after the write")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(views, "write_states", failing)
+        with pytest.raises(StreamingQueryException, match="lost after the write"):
+            catch_up(stream, (table,), prepared, f"{tmp_path}/checkpoint", "run")
+    expected = rounded(direct(table, frame, None))
+    view = f"{prepared}.{table.name}"
+    assert rounded(spark.table(view)) == rounded(table.read(spark, prepared)) == expected
+    catch_up(stream, (table,), prepared, f"{tmp_path}/checkpoint", "run")
+    assert rounded(spark.table(view)) == rounded(table.read(spark, prepared)) == expected
+
+
+@pytest.mark.parametrize("table", [SUMMARY_TABLES[2], STATE_TABLES[0]], ids=lambda t: t.name)
+def test_a_repeated_insert_with_fewer_months_in_dynamic_mode(spark, prepared, setting, table):
+    setting("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    frame = shipment_readings(lineitem(spark, SMALL))
+    inputs = table.summary.select_inputs(frame, latest(frame))
+    write_states(inputs, table, prepared, "run", 0)
+    month = inputs.agg(F.max("month_partition")).first()[0]
+    fewer = inputs.where(F.col("month_partition") == month)
+    write_states(fewer, table, prepared, "run", 0)
+    months = table.read(spark, prepared).select("month").distinct()
+    assert rows(months) == [(month,)]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "dynamic"
+
+
+def test_a_frame_as_end_is_looked_up_once(spark, prepared, tmp_path):
+    frame = event_readings(events(spark, SMALL))
+    frame.write.parquet(f"{tmp_path}/parts")
+    stream = stream_documents(spark, f"{tmp_path}/parts", frame.schema, "parquet")
+    table = SUMMARY_TABLES[2]
+    query = maintain(stream, table, prepared, f"{tmp_path}/checkpoint", "run", latest(frame))
+    query.awaitTermination()
+    assert "ubquery" not in query._jsq.explainInternal(False)
+    assert rounded(table.read(spark, prepared)) == rounded(direct(table, frame, latest(frame)))
+
+
+def test_places_with_quotes_and_names_that_are_keywords(spark, tmp_path):
+    database, place = "order", f"{tmp_path}/it's here"
+    create_database(spark, database, place)
+    create_states(spark, database, f"{place}/tables")
+    create_summaries(spark, database, f"{place}/tables")
+    create_readings(spark, f"{database}.{READINGS}", properties={"a'b": "c'd"}, location=place)
+    table = STATE_TABLES[1]
+    frame = event_readings(events(spark, SMALL))
+    write_states(table.summary.select_inputs(frame), table, database, "it's", 0)
+    assert rounded(table.read(spark, database)) == rounded(direct(table, frame, None))
+    spark.sql(f"DROP DATABASE {quoted_name(database)} CASCADE")
+
+
+def test_the_newest_time_is_looked_up_in_the_newest_month(spark, prepared):
+    frame = shipment_readings(lineitem(spark, SMALL))
+    append_readings(frame, f"{prepared}.{READINGS}")
+    table = spark.table(f"{prepared}.{READINGS}")
+    assert rows(latest(table, partitioned=True)) == rows(latest(frame))
+    assert rows(latest(table.where("false"), partitioned=True)) == [(None,)]
 
 
 def test_uneven_batches_are_weighted(spark):

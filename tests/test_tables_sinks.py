@@ -24,7 +24,8 @@ from gaugemill.plans.tables import (
 )
 from gaugemill.schemas import REQUIRED_COLUMNS, reading_table
 from gaugemill.session import build_session, register_catalog
-from gaugemill.sources.folders import new_staging_path, size_in_bytes
+from gaugemill.sources import folders
+from gaugemill.sources.folders import new_staging_path
 from gaugemill.sources.readers import read_table
 from gaugemill.sources.sample_tables import event_readings, events, lineitem, shipment_readings
 from gaugemill.sources.writers import append_jdbc, append_readings, append_table, require_values
@@ -228,4 +229,10 @@ def test_staging_is_in_the_named_folder(spark):
     assert first != second
     assert first.startswith(spark.conf.get("spark.checkpoint.dir"))
     spark.range(10).write.mode("append").parquet(first)
-    assert size_in_bytes(spark, first) > 0
+    assert spark.read.parquet(first).count() == 10
+
+
+def test_staging_without_a_named_folder_is_in_the_warehouse(spark, monkeypatch):
+    monkeypatch.setattr(folders, "CHECKPOINT_DIR", "gaugemill.none")
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda _: None)
+    assert new_staging_path(spark, "x").startswith(spark.conf.get("spark.sql.warehouse.dir"))
