@@ -39,7 +39,8 @@ _TEXT, _INT, _DOUBLE = T.StringType(), T.IntegerType(), T.DoubleType()
 
 CSV_READING = struct(**dict.fromkeys(CSV_COLUMNS, _TEXT))
 
-# A document as the ingest step writes it: labelled text, nested measurements.
+# A document as the ingest step writes it, with labelled text and nested
+# measurements.
 RAW_DOCUMENT = struct(
     _id=_TEXT,
     timestamp=_TEXT,
@@ -66,7 +67,10 @@ REQUIRED_COLUMNS = ("_id", "timestamp", MONTH_PARTITION)
 
 
 def reading_table(float_type: str = "double") -> T.StructType:
-    """The cleaned reading in table order; ``float_type`` is ``double`` or ``float``."""
+    """The cleaned reading in table order; ``float_type`` is ``double`` or ``float``.
+
+    Names, types and order are fixed values.
+    """
     kinds = {"double": T.DoubleType(), "float": T.FloatType()}
     if float_type not in kinds:
         raise ValueError(f"float_type must be 'double' or 'float', not {float_type!r}")

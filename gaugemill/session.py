@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A failed write is a failed task: it is tried three more times, at once. Waiting between
+    # tries is left to connectors that offer it; pass their settings as ``options``.
     "spark.task.maxFailures": "4",
 }
 

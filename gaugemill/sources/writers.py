@@ -94,7 +94,8 @@ def append_jdbc(
 
     Each task opens a connection and commits its rows at once, so a retried task adds
     nothing twice unless it was lost after its commit. ``connections`` bounds how many
-    tasks write, and with them the load on the database.
+    tasks write, and with them the load on the database; a frame that is not staged is also
+    computed by no more tasks, back to its last shuffle, so stage it first (``staged``).
     """
     writer = (
         frame.write.format("jdbc")
