@@ -56,8 +56,8 @@ def run_native(
     With the same ``checkpoint`` and ``run_id``, a later call summarises only the readings
     that were appended since. It appends the documents it is given, so a call that failed is
     not repeated as it is: where ``append_readings`` had failed, nothing was written; where
-    it had ended, go on with ``summarise_native``. Where the catalog does not outlive the driver, give a
-    ``location``, so that a later session finds the tables' files again.
+    it had ended, go on with ``summarise_native``. Where the catalog does not outlive the
+    driver, give a ``location``, so that a later session finds the tables' files again.
     """
     table = f"{database}.{READINGS}"
     create_database(spark, database)
