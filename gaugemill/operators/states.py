@@ -48,6 +48,11 @@ class Summary:
         states = inputs.groupBy(*keys).agg(*_columns(self.states))
         return states.withColumn("machine_id", F.col("machine_id").cast("string"))
 
+    def summarise(self, readings: DataFrame, as_of: AsOf = None) -> DataFrame:
+        """Final values per key from all readings at once."""
+        states = self.to_states(self.select_inputs(readings, as_of))
+        return states.select(*self.keys, *_columns(self.finals))
+
     def combine_states(self, states: DataFrame) -> DataFrame:
         """One row of states per key from any number of rows."""
         return states.groupBy(*self.keys).agg(*_columns(self.combined))
@@ -88,7 +93,7 @@ def _average(state: str) -> str:
 _AVERAGE = struct(sum=T.DoubleType(), count=T.LongType())
 
 
-def _anomalies(count_type: str) -> Summary:
+def anomalies(count_type: str) -> Summary:
     return Summary(
         name="anomalies",
         keys=("machine_id", "month"),
@@ -102,8 +107,8 @@ def _anomalies(count_type: str) -> Summary:
     )
 
 
-ANOMALIES = _anomalies("int")
-ANOMALIES_AS_DOUBLE = _anomalies("double")
+ANOMALIES = anomalies("int")
+ANOMALIES_AS_DOUBLE = anomalies("double")
 
 _ENERGY = "cast(energy_consumption AS double)"
 _STATUS = "try_cast(machine_status AS double)"

@@ -1,44 +1,25 @@
-"""Summaries computed from all readings at once."""
+"""Summaries computed from all readings at once, by the definitions of their states."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from dataclasses import replace
+
+from pyspark.sql import DataFrame
 
 from gaugemill.functions.timing import AsOf
-from gaugemill.operators.filters import last_months
-from gaugemill.schemas import MONTH_PARTITION
+from gaugemill.operators.states import ENERGY, TEMPERATURE, anomalies
+
 
 def anomaly_summary(readings: DataFrame, count_type: str = "int") -> DataFrame:
     """Anomalies per machine and month, including months without any."""
-    count = F.count_if(F.col("anomaly_flag")).cast(count_type)
-    grouped = readings.groupBy("machine_id", _month())
-    return _with_text_id(grouped.agg(count.alias("anomaly_count")))
+    return anomalies(count_type).summarise(readings)
 
 
 def energy_efficiency(readings: DataFrame) -> DataFrame:
     """Highest and average energy, and average status, per machine."""
-    energy = F.col("energy_consumption").cast("double")
-    return _with_text_id(
-        readings.groupBy("machine_id").agg(
-            F.max(energy).alias("max_energy"),
-            F.avg(energy).alias("avg_energy"),
-            F.avg(F.col("machine_status").try_cast("double")).alias("avg_machine_status"),
-        )
-    )
+    return ENERGY.summarise(readings)
 
 
 def monthly_temp(readings: DataFrame, months: int = 3, as_of: AsOf = None) -> DataFrame:
     """Average temperature per machine and month over the last months."""
-    temperature = F.col("temperature").cast("double")
-    grouped = last_months(readings, months, as_of).groupBy(_month(), "machine_id")
-    return _with_text_id(grouped.agg(F.avg(temperature).alias("avg_temperature")))
-
-
-def _month() -> Column:
-    return F.col(MONTH_PARTITION).alias("month")
-
-
-def _with_text_id(summary: DataFrame) -> DataFrame:
-    """Summaries show ids as text; grouping by the number moves and compares less."""
-    return summary.withColumn("machine_id", F.col("machine_id").cast("string"))
+    return replace(TEMPERATURE, months=months).summarise(readings, as_of)
