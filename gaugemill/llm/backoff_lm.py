@@ -11,9 +11,11 @@ What travels is packed. Documents are cut into chunks once; a chunk asks each pa
 distinct n-grams, sorted, and gets their counts back in the same order, so that an n-gram
 travels once per chunk, whatever the number of its documents, and without naming itself on the
 way back. Hashes spread evenly, so no partition is hot, however frequent a word is.
+``CHUNK_WORDS`` and ``PARTITION_WORDS`` bound what a task holds. With a very large corpus, raise
+both as far as memory goes: the fewer partitions, the more n-grams a chunk sends to each.
 
-Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A-Z lower-cased. NULL texts and texts without
-words have a NULL score. Copies are other documents: what occurs twice is known. Repeated rows
+Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A-Z lower-cased. NULL texts and texts
+without words have a NULL score. Copies are other documents: what occurs twice is known. Repeated rows
 are scored one by one. An empty table gives an empty result. Only ``doc_id`` and ``text`` are
 read.
 """
@@ -71,9 +73,10 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = ([chunk], [ids], [np.concatenate(counts)], [len(words)])
         kinds = (pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.int64())
         arrays = [pa.array(value, kind) for value, kind in zip(values, kinds)]
-        blobs = (vocabulary[order].tobytes(), control, data)
+        for blob in (vocabulary[order].tobytes(), control, data):
+            arrays.append(pa.array([blob], pa.binary()))
         names = ["chunk", "doc_ids", "n_words", "size", "vocabulary", "control", "data"]
-        return pa.RecordBatch.from_arrays([*arrays, *(pa.array([b], pa.binary()) for b in blobs)], names)
+        return pa.RecordBatch.from_arrays(arrays, names)
 
     for batch in batches:
         for row, end, data, offsets in slices(batch.column(1)):

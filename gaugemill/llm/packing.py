@@ -11,8 +11,8 @@ a bin is opened.
 
 A document of more than ``CAPACITY`` words is cut: full pieces fill bins of their own, the rest
 is packed like a document. NULL text, and text without words, takes no space and gets no bin:
-its row has a NULL bin. A NULL source or cluster conflicts with none. Repeated rows are copies and are
-packed each, in different bins. An empty table gives an empty result. Only ``doc_id``, ``text``,
+its row has a NULL bin. A NULL source or cluster conflicts with none. Repeated rows are copies
+and are packed each, in different bins. An empty table gives an empty result. Only ``doc_id``, ``text``,
 ``source`` and the cluster column are read.
 """
 

@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from string import ascii_lowercase, digits
 
 import pandas as pd
 import pyarrow as pa
@@ -74,6 +75,7 @@ PATTERNS = {
 MAYBE = rf"[0-9][0-9 .-]?[(]?[0-9]|[0-9]\)|@|(?:{_TITLE})\.? [{_CAPITAL}]"
 
 MENTION = "array<struct<start: int, end: int, kind: string, entity: string>>"
+_MENTION_FIELDS = ("start", "end", "kind", "entity")
 _MENTIONS = pa.list_(
     pa.struct(
         [
@@ -155,25 +157,27 @@ def surrogate(kind: str, entity: str, attempt: int, key: bytes = KEY) -> str:
 
 def _alike(text: str, draw: Stream, longer: int = 0) -> str:
     """Letters for letters, digits for digits; marks stay. Later attempts have more room."""
-    drawn = [
-        draw.of("0123456789") if c.isdigit() else draw.of("abcdefghijklmnopqrstuvwxyz") if c.isalpha() else c
-        for c in text
-    ]
-    return "".join(drawn) + "".join(draw.of("abcdefghijklmnopqrstuvwxyz") for _ in range(longer))
 
+    def like(character: str) -> str:
+        if character.isdigit():
+            return draw.of(digits)
+        return draw.of(ascii_lowercase) if character.isalpha() else character
 
-def _card(digits: str, draw: Stream) -> str:
+    return "".join(map(like, text)) + "".join(draw.of(ascii_lowercase) for _ in range(longer))
+
+
+def _card(number: str, draw: Stream) -> str:
     """The first digit stays, and so does whether the check digit is right."""
-    body = digits[0] + "".join(str(draw.below(10)) for _ in digits[1:-1])
-    right = next(d for d in "0123456789" if _luhn(body + d))
-    if _luhn(digits):
+    body = number[0] + "".join(draw.of(digits) for _ in number[1:-1])
+    right = next(digit for digit in digits if _luhn(body + digit))
+    if _luhn(number):
         return body + right
-    return body + draw.of([d for d in "0123456789" if d != right])
+    return body + draw.of(digits.replace(right, ""))
 
 
-def _luhn(digits: str) -> bool:
+def _luhn(number: str) -> bool:
     total = 0
-    for place, digit in enumerate(map(int, reversed(digits))):
+    for place, digit in enumerate(map(int, reversed(number))):
         total += digit if place % 2 == 0 else (2 * digit - 1) % 9 + 1 if digit else 0
     return total % 10 == 0
 
@@ -196,14 +200,16 @@ def _name(gender: str, name: str, draw: Stream, attempt: int) -> str:
 def formatted(kind: str, mention: str, drawn: str) -> str:
     """A surrogate in the shape of a mention: its separators, or its capitals."""
     if kind in ("card", "phone"):
-        digits = iter(drawn)
-        return "".join(next(digits) if c in "0123456789" else c for c in mention)
+        rest = iter(drawn)
+        return "".join(next(rest) if c in digits else c for c in mention)
     if kind == "email" and mention.isupper():
         return drawn.upper()
     return drawn
 
 
-def distinct_surrogates(entities: DataFrame, new_path: Callable[[], str], key: bytes = KEY) -> DataFrame:
+def distinct_surrogates(
+    entities: DataFrame, new_path: Callable[[], str], key: bytes = KEY
+) -> DataFrame:
     """kind, entity, surrogate: each surrogate given once, and none that is itself an entity.
 
     Entities draw, all at once. Those that collide draw again, but for one of each surrogate;
@@ -239,7 +245,8 @@ def distinct_surrogates(entities: DataFrame, new_path: Callable[[], str], key: b
         given = free.groupBy("domain", "surrogate").agg(winner)
         given = kept(given.select("domain", "surrogate", "winner.kind", "winner.entity"))
         settled = given if settled is None else settled.unionByName(given)
-        waiting = kept(waiting.join(given, ["kind", "entity"], "left_anti").select("kind", "entity"))
+        rest = waiting.join(given, ["kind", "entity"], "left_anti")
+        waiting = kept(rest.select("kind", "entity"))
         if waiting.isEmpty():
             return settled.select("kind", "entity", "surrogate")
         attempt += 1
@@ -260,8 +267,8 @@ def mentions_of(docs: DataFrame, text_column: str = "text") -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [
-                [dict(zip(("start", "end", "kind", "entity"), each)) for each in find_entities(t.as_py())]
-                for t in batch.column(1)
+                [dict(zip(_MENTION_FIELDS, each)) for each in find_entities(text.as_py())]
+                for text in batch.column(1)
             ]
             some = pa.array([bool(each) for each in found], pa.bool_())
             yield pa.RecordBatch.from_arrays(
@@ -274,7 +281,9 @@ def mentions_of(docs: DataFrame, text_column: str = "text") -> DataFrame:
     )
 
 
-def replace_pii(docs: DataFrame, new_path: Callable[[], str], key: bytes = KEY) -> tuple[DataFrame, DataFrame]:
+def replace_pii(
+    docs: DataFrame, new_path: Callable[[], str], key: bytes = KEY
+) -> tuple[DataFrame, DataFrame]:
     """The documents with surrogates in their texts, and the table of surrogates.
 
     ``new_path`` names a new folder in shared storage at each call.
@@ -285,14 +294,15 @@ def replace_pii(docs: DataFrame, new_path: Callable[[], str], key: bytes = KEY)
     found.write.parquet(path)
     found = spark.read.schema(found.schema).parquet(path)
     once = found.groupBy("content").agg(F.first("mentions").alias("mentions"))
-    each = once.select("content", F.explode("mentions").alias("mention")).select("content", "mention.*")
+    each = once.select("content", F.inline("mentions"))
     path = new_path()
     distinct_surrogates(each.select("kind", "entity").distinct(), new_path, key).write.parquet(path)
     table = spark.read.parquet(path)
+    mention = F.struct("start", "end", "kind", "surrogate")
     replacements = (
         each.join(table, ["kind", "entity"])
-        .groupBy("content")
-        .agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind", "surrogate"))).alias("__pii_list"))
+        .groupBy("content")  # as many rows as a text has mentions
+        .agg(F.sort_array(F.collect_list(mention)).alias("__pii_list"))
         .withColumnRenamed("content", "__pii_content")
     )
 
@@ -314,6 +324,7 @@ def _replaced(text: str, mentions) -> str:
     parts, before = [], 0
     for mention in mentions:
         start, end = mention["start"], mention["end"]
-        parts += [text[before:start], formatted(mention["kind"], text[start:end], mention["surrogate"])]
+        drawn = formatted(mention["kind"], text[start:end], mention["surrogate"])
+        parts += [text[before:start], drawn]
         before = end
     return "".join([*parts, text[before:]])

@@ -6,7 +6,8 @@ over hashed features of the text's words learns from them and scores every docum
 on which the labellers are silent.
 
 The scorer is trained on a bounded sample: at most ``SAMPLE`` distinct texts of 1 to
-``SAMPLE_WORDS`` words on which a labeller speaks, those with the smallest hashes. Everything else covers all documents.
+``SAMPLE_WORDS`` words on which a labeller speaks, those with the smallest hashes. Everything
+else covers all documents.
 
 NULL text counts as empty: it has no features and its score is that of the intercept alone.
 Repeated documents get equal scores. An empty table gives an empty result. Other columns,

@@ -53,7 +53,8 @@ def judge_quality(docs: DataFrame, staging: str) -> DataFrame:
     spark = docs.sparkSession
     counted = with_features(docs)
     votes = rules()
-    counted.withColumns({f"vote_{name}": vote for name, vote in votes.items()}).write.parquet(staging)
+    counted = counted.withColumns({f"vote_{name}": vote for name, vote in votes.items()})
+    counted.write.parquet(staging)
     voted = spark.read.parquet(staging)
     names = [f"vote_{name}" for name in votes]
     model = fit_label_model(*pattern_counts(voted, names))

@@ -188,11 +188,12 @@ def tokenized(docs: DataFrame, path: str, end_id: int = END_ID, width: int = 4)
                 ends = np.append(0, np.cumsum(counts))
                 cuts = ends.tolist()
                 narrow = ids.astype(f"<u{width}")
+                crc = [zlib.crc32(ids[a:b]) for a, b in zip(cuts, cuts[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(row, stop - row),
                         pa.array(counts, pa.int64()),
-                        pa.array([zlib.crc32(ids[a:b]) for a, b in zip(cuts, cuts[1:])], pa.int64()),
+                        pa.array(crc, pa.int64()),
                         pa.Array.from_buffers(
                             pa.large_binary(),
                             stop - row,

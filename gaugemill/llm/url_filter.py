@@ -166,7 +166,8 @@ def _with_depth(events: DataFrame) -> DataFrame:
     events = events.withColumn("step", step)
     totals = events.groupBy("range").agg(F.sum("step").alias("total"))  # a row per range
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select("range", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("open"))
+    opened = F.coalesce(F.sum("total").over(before), F.lit(0))
+    carried = totals.select("range", opened.alias("open"))
     within = Window.partitionBy("range").orderBy(*_IN_ORDER)
     return (
         events.withColumn("inner", F.sum("step").over(within))
