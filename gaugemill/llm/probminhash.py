@@ -8,10 +8,12 @@ probability Jaccard similarity. Texts that agree in all registers of a band are
 those whose exact similarity is ``THRESHOLD`` or more are linked, and classes are what links
 connect.
 
-Equal texts are one before banding. In a band bucket all texts are held against one of them
-first; as long as the bucket then holds several classes, against twice as many, until each pair
-has been tried or joined by other links. So no pair of a bucket is lost, and a large group of
-near copies costs one comparison each.
+Equal texts are one before banding. Each bucket of a band has a centre, the text with the
+least of its own, and each text is held against the best centre of its buckets first. As long as
+a bucket then holds several classes, its texts are held against more of them in each round, until each pair has been tried, joined by other links, or
+excluded. What a text shares with no other candidate bounds its similarity to any of them;
+texts that this keeps below the threshold leave the bucket first. So no link of a bucket is lost, and a large
+group of near copies costs about one comparison each.
 
 NULL texts and texts without words are linked to none. Rows of equal id and text are in one
 class; ``first_of_each`` keeps one of them. NULL ids come last when the representative of a
@@ -34,9 +36,13 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 32
 ROWS = 4  # registers of a band
+GROWTH = 16  # how many times as many centres each further round of comparisons has
 
 NewPath = Callable[[], str]
 
+# What is known of a text as a member of a bucket.
+_MEMBER = ("content", "size", "distinct", "own", "label", "bands")
+
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = np.uint64(0xD6E8FEB86659FD93)
 
@@ -183,13 +189,86 @@ def _kept(frame: DataFrame, new_path: NewPath) -> DataFrame:
 
 def _buckets(signed: DataFrame) -> DataFrame:
     """bucket, content: the band buckets that hold several texts."""
-    texts = signed.where(F.col("bands").isNotNull()).groupBy("content")
-    banded = texts.agg(F.first("bands").alias("bands"))
-    banded = banded.select("content", F.explode("bands").alias("bucket"))
+    banded = _banded(signed).select("content", F.explode("bands").alias("bucket"))
     several = banded.groupBy("bucket").agg(F.min("content").alias("a"), F.max("content").alias("b"))
     return banded.join(several.where("a <> b").select("bucket"), "bucket")
 
 
+def _banded(signed: DataFrame) -> DataFrame:
+    texts = signed.where(F.col("bands").isNotNull()).groupBy("content")
+    return texts.agg(F.first("bands").alias("bands"))
+
+
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row, _, data, offsets in slices(batch.column(1)):
+            hashes, text, counts = shingle_counts(words_of(data, offsets))
+            owner = batch.column(0).take(pa.array(text + row))
+            arrays = [owner, pa.array(hashes.view(np.int64)), pa.array(counts)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["content", "shingle", "times"])
+
+
+def _sizes(texts: DataFrame, new_path: NewPath) -> DataFrame:
+    """content, and of its shingles: all (size), distinct, and those that no other text has."""
+    kinds = "content binary, shingle long, times long"
+    shingles = _kept(texts.select("content", "text").mapInArrow(_exploded, kinds), new_path)
+    own = shingles.groupBy("shingle").agg(
+        F.count("*").alias("holders"),
+        F.first("content").alias("content"),
+        F.first("times").alias("times"),
+    )
+    own = own.where("holders = 1").groupBy("content").agg(F.sum("times").alias("own"))
+    sizes = shingles.groupBy("content").agg(
+        F.sum("times").alias("size"), F.count("*").alias("distinct")
+    )
+    return sizes.join(own, "content", "left").fillna(0, ["own"])
+
+
+def _at_most(
+    size: Column, own: Column, other_size: Column, other_distinct: Column, other_own: Column
+) -> Column:
+    """A bound on the similarity of two texts.
+
+    Let u and v be the shares of each text that the other lacks; the similarity is at most
+    (1-u)(1-v)/(1-uv). A text lacks what only the other has; and it can't hold more distinct
+    shingles of the other than it has shingles that are not its own.
+    """
+    u = own / size
+    v = F.greatest(other_own, other_distinct - (size - own)) / other_size
+    v = F.greatest(v, F.lit(0.0))
+    # u = v = 1 would divide by zero, and be no link either.
+    return F.try_divide((1 - u) * (1 - v), 1 - u * v) + 1e-9
+
+
+def _can_link(members: DataFrame) -> DataFrame:
+    """Without the members that can't be similar enough to any text of their bucket."""
+    least = members.groupBy("bucket").agg(
+        F.min("distinct").alias("least_distinct"), F.max("size").alias("most_size")
+    )
+    bound = _at_most(
+        F.col("size"), F.col("own"), F.col("most_size"), F.col("least_distinct"), F.lit(0)
+    )
+    kept = members.join(least, "bucket").where(bound >= THRESHOLD)
+    return kept.drop("least_distinct", "most_size")
+
+
+def _pairs(members: DataFrame, centres: DataFrame) -> DataFrame:
+    """Pairs u < v of a centre and a member of its bucket that may be linked.
+
+    Of the buckets that two texts share, only the first makes a pair of them.
+    """
+    centres = centres.select(*(F.col(name).alias(f"c_{name}") for name in ("bucket", *_MEMBER)))
+    own, other = ("size", "own"), ("size", "distinct", "own")
+    one = _at_most(*(F.col(x) for x in own), *(F.col(f"c_{x}") for x in other))
+    two = _at_most(*(F.col(f"c_{x}") for x in own), *(F.col(x) for x in other))
+    may = (F.col("label") != F.col("c_label")) & (F.least(one, two) >= THRESHOLD)
+    shared = F.get(F.array_intersect("bands", "c_bands"), 0)
+    here = (F.col("bucket") == F.col("c_bucket")) & (F.col("bucket") == shared)
+    both = members.join(centres, here & may)
+    low, high = F.least("content", "c_content"), F.greatest("content", "c_content")
+    return both.select(low.alias("u"), high.alias("v")).distinct()
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     u = texts.select(F.col("content").alias("u"), F.col("text").alias("text_u"))
     v = texts.select(F.col("content").alias("v"), F.col("text").alias("text_v"))
@@ -197,41 +276,68 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(_similar, "u binary, v binary")
 
 
-def _labels(docs: DataFrame, buckets: DataFrame, new_path: NewPath) -> DataFrame:
+def _first_pairs(members: DataFrame, order: Column) -> DataFrame:
+    """Each text with one other: the best of the centres of its buckets."""
+    centres = members.groupBy("bucket").agg(F.min(order).alias("centre"))
+    chosen = members.join(centres, "bucket").groupBy("content")
+    chosen = chosen.agg(F.min("centre").alias("best")).select("content", "best.content_of")
+    chosen = chosen.where("content_of <> content").withColumnRenamed("content_of", "c")
+    low, high = F.least("content", "c"), F.greatest("content", "c")
+    return chosen.select(low.alias("u"), high.alias("v")).distinct()
+
+
+def _joined(labels: DataFrame, links: DataFrame, new_path: NewPath) -> DataFrame:
+    """Labels after further links: of the components, as far as they are joined."""
+    ends = links.select(F.explode(F.array("u", "v")).alias("content")).distinct()
+    every = labels.join(ends, "content", "full")
+    every = _kept(every.withColumn("label", F.coalesce("label", "content")), new_path)
+    low = every.select(F.col("content").alias("u"), F.col("label").alias("label_u"))
+    high = every.select(F.col("content").alias("v"), F.col("label").alias("label_v"))
+    across = links.join(low, "u").join(high, "v")
+    across = across.select(F.col("label_u").alias("u"), F.col("label_v").alias("v")).distinct()
+    moved = connected_components(_kept(across, new_path), new_path)
+    moved = moved.select(F.col("node").alias("label"), F.col("label").alias("new"))
+    every = every.join(moved, "label", "left")
+    return _kept(every.select("content", F.coalesce("new", "label").alias("label")), new_path)
+
+
+def _labels(docs: DataFrame, signed: DataFrame, new_path: NewPath) -> DataFrame:
     """content, label: equal labels for texts that links connect, where there are any."""
+    buckets = _kept(_buckets(signed), new_path)
     wanted = buckets.select("content").distinct()
     texts = docs.select(_content().alias("content"), "text").join(wanted, "content")
     texts = _kept(texts.groupBy("content").agg(F.first("text").alias("text")), new_path)
-    centre = buckets.groupBy("bucket").agg(F.min("content").alias("u"))
-    pairs = buckets.join(centre, "bucket").where("u <> content")
-    tried = _kept(pairs.select("u", F.col("content").alias("v")).distinct(), new_path)
+    sizes = _sizes(texts, new_path).withColumn("label", F.col("content"))
+    sizes = sizes.join(_banded(signed), "content")
+    members = _kept(_can_link(buckets.join(sizes, "content")), new_path)
+    # The members with the least of their own come first: what others were made from.
+    order = F.struct(
+        (F.col("own") / F.col("size")).alias("share"), F.col("content").alias("content_of")
+    )
+    tried = _kept(_first_pairs(members, order), new_path)
     links = _kept(_verified(tried, texts), new_path)
-    centres = 1
+    labels = members.select("content", "label").where("false")
+    labels, centres = _joined(labels, links, new_path), 0
     while True:
-        labels = _kept(connected_components(links, new_path).select(
-            F.col("node").alias("content"), "label"), new_path)
-        labelled = buckets.join(labels, "content", "left")
-        labelled = labelled.withColumn("label", F.coalesce("label", "content"))
-        mixed = labelled.groupBy("bucket").agg(
+        members = members.drop("label").join(labels, "content", "left")
+        members = members.withColumn("label", F.coalesce("label", "content"))
+        mixed = members.groupBy("bucket").agg(
             F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("members")
         )
         # With as many centres as members, less one, all pairs of a bucket have been tried.
         mixed = mixed.where((F.col("a") != F.col("b")) & (F.col("members") > centres + 1))
-        left = _kept(labelled.join(mixed.select("bucket"), "bucket"), new_path)
-        if left.isEmpty():
+        members = _kept(members.join(mixed.select("bucket"), "bucket"), new_path)
+        if members.isEmpty():
             return labels
-        centres *= 2
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy("content"))
-        first = left.withColumn("place", place).where(F.col("place") <= centres)
-        first = first.select("bucket", F.col("content").alias("u"), F.col("label").alias("label_u"))
-        pairs = left.join(first, "bucket").where("u < content AND label_u <> label")
-        pairs = pairs.select("u", F.col("content").alias("v")).distinct()
-        pairs = _kept(pairs.join(tried, ["u", "v"], "left_anti"), new_path)
+        centres = GROWTH * max(1, centres)
+        place = F.row_number().over(Window.partitionBy("bucket").orderBy(order))
+        first = members.withColumn("place", place).where(F.col("place") <= centres)
+        pairs = _pairs(members, first).join(tried, ["u", "v"], "left_anti")
+        pairs = _kept(pairs, new_path)
         tried = tried.unionByName(pairs)
-        buckets = left.select("bucket", "content")
         more = _kept(_verified(pairs, texts), new_path)
-        star = labels.select(F.col("content").alias("u"), F.col("label").alias("v"))
-        links = star.where("u <> v").unionByName(more)
+        if not more.isEmpty():
+            labels = _joined(labels, more, new_path)
 
 
 def near_duplicates(docs: DataFrame, new_path: NewPath) -> DataFrame:
@@ -248,7 +354,7 @@ def near_duplicates(docs: DataFrame, new_path: NewPath) -> DataFrame:
     )
     kinds = "doc_id long, row_key binary, content binary, bands array<long>"
     signed = _kept(keyed.mapInArrow(_bands, kinds), new_path)
-    labels = _labels(docs, _kept(_buckets(signed), new_path), new_path)
+    labels = _labels(docs, signed, new_path)
     rows = signed.select("doc_id", "row_key", "content", F.col("bands").isNull().alias("alone"))
     rows = rows.join(labels, "content", "left")
     # Rows without words are classes of their own.

@@ -95,7 +95,7 @@ def test_chains_in_one_bucket_are_followed(spark, tmp_path):
     text, pairs = " ".join(f"c{i}" for i in range(70)), []
     for i in chance.sample(range(1000), 16):
         pairs.append((i, text))
-        text = changed(text, chance, 0.03)
+        text = changed(text, chance, 0.015)
     expected = classes(pairs)
     assert len({row[1] for row in expected}) < 8
     found = near_duplicates(make_documents(spark, pairs), paths(tmp_path))
