@@ -10,10 +10,11 @@ connect.
 
 Equal texts are one before banding. Each bucket of a band has a centre, the text with the
 least of its own, and each text is held against the best centre of its buckets first. As long as
-a bucket then holds several classes, its texts are held against more of them in each round, until each pair has been tried, joined by other links, or
-excluded. What a text shares with no other candidate bounds its similarity to any of them;
-texts that this keeps below the threshold leave the bucket first. So no link of a bucket is lost, and a large
-group of near copies costs about one comparison each.
+a bucket then holds several classes, its texts are held against more of them in each round,
+until each pair has been tried, joined by other links, or excluded. What a text shares with no
+other candidate bounds its similarity to any of them; texts that this keeps below the threshold
+leave the bucket first. So no link of a bucket is lost, and a large group of near copies costs
+about one comparison each.
 
 NULL texts and texts without words are linked to none. Rows of equal id and text are in one
 class; ``first_of_each`` keeps one of them. NULL ids come last when the representative of a
