@@ -10,7 +10,8 @@ the whole corpus less the document's own.
 What travels is packed. Documents are cut into chunks once; a chunk asks each partition for its
 distinct n-grams, sorted, and gets their counts back in the same order, so that an n-gram
 travels once per chunk, whatever the number of its documents, and without naming itself on the
-way back. Hashes spread evenly, so no partition is hot, however frequent a word is.
+way back; sorted hashes travel as their differences. Chunks lie in buckets on disk, so that
+they are not shuffled to meet their answers. Hashes spread evenly, so no partition is hot, however frequent a word is.
 ``CHUNK_WORDS`` and ``PARTITION_WORDS`` bound what a task holds. With a very large corpus, raise
 both as far as memory goes: the fewer partitions, the more n-grams a chunk sends to each.
 
@@ -23,6 +24,7 @@ read.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from gaugemill.llm.token_files import decode_codes, encode_codes
 from gaugemill.llm.words import mix, slices, words_of
 
-ORDER = 2
+ORDER = 3  # of the query
 BACKOFF = 0.4
 CHUNK_WORDS = 2 << 20
 PARTITION_WORDS = 2 << 20  # words of the corpus per partition of a count table
@@ -124,6 +126,49 @@ def _distinct(words: np.ndarray, document: np.ndarray, order: int) -> tuple[np.n
     return np.unique(found[found > 0], return_counts=True)
 
 
+# What travels
+
+
+def _coded(codes: np.ndarray) -> tuple[bytes, bytes]:
+    control, data = encode_codes(codes)
+    return _zipped(control), _zipped(data)
+
+
+def _decoded(control: bytes, data: bytes, count: int) -> np.ndarray:
+    return decode_codes(_unzipped(control), _unzipped(data), count)
+
+
+def _zipped(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _unzipped(data: bytes) -> bytes:
+    size = int.from_bytes(data[:8], "little")
+    return pa.decompress(data[8:], size, "zstd", asbytes=True) if size else b""
+
+
+def _coded_ngrams(ngrams: np.ndarray) -> bytes:
+    """Ascending n-grams by their differences: the upper bits zipped, the rest as it is."""
+    steps = np.diff(ngrams, prepend=np.uint64(0)).astype("<u8")
+    control, data = _coded(steps >> np.uint64(_LOW * 8))
+    sizes = b"".join(len(part).to_bytes(8, "little") for part in (control, data))
+    low = steps.view(np.uint8).reshape(-1, 8)[:, :_LOW].tobytes()
+    return sizes + control + data + low
+
+
+def _decoded_ngrams(blob: bytes) -> np.ndarray:
+    middle = 16 + int.from_bytes(blob[:8], "little")
+    end = middle + int.from_bytes(blob[8:16], "little")
+    low = np.frombuffer(blob, np.uint8, offset=end).reshape(-1, _LOW)
+    steps = np.zeros((len(low), 8), np.uint8)
+    steps[:, :_LOW] = low
+    upper = _decoded(blob[16:middle], blob[middle:end], len(low)).astype(np.uint64)
+    return np.cumsum(steps.reshape(-1).view("<u8") + (upper << np.uint64(_LOW * 8)), dtype=np.uint64)
+
+
+_LOW = 5  # bytes of a difference that are noise
+
+
 # Count tables
 
 
@@ -135,8 +180,8 @@ def _requests(order: int, parts: int):
                 part = _part_of(ngrams, parts)
                 used, first = np.unique(part, return_index=True)
                 cuts = [*first.tolist(), len(ngrams)]
-                coded = [encode_codes(times[a:b]) for a, b in zip(cuts, cuts[1:])]
-                blobs = [ngrams[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+                coded = [_coded(times[a:b]) for a, b in zip(cuts, cuts[1:])]
+                blobs = [_coded_ngrams(ngrams[a:b]) for a, b in zip(cuts, cuts[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(used, pa.int32()),
@@ -153,15 +198,15 @@ def _requests(order: int, parts: int):
 
 def _answer(rows: pd.DataFrame) -> pd.DataFrame:
     """One partition of the count tables: sum what all chunks hold, and tell each chunk."""
-    asked = [np.frombuffer(blob, np.uint64) for blob in rows["ngrams"]]
+    asked = [_decoded_ngrams(blob) for blob in rows["ngrams"]]
     times = [
-        decode_codes(control, data, len(ngrams))
+        _decoded(control, data, len(ngrams))
         for control, data, ngrams in zip(rows["control"], rows["data"], asked)
     ]
     distinct, which = np.unique(np.concatenate(asked), return_inverse=True)
     totals = np.bincount(which, np.concatenate(times), len(distinct)).astype(np.int64)
     answers = np.split(totals[which], np.cumsum([len(ngrams) for ngrams in asked])[:-1])
-    coded = [encode_codes(np.minimum(answer, _MOST)) for answer in answers]
+    coded = [_coded(np.minimum(answer, _MOST)) for answer in answers]
     return pd.DataFrame(
         {
             "chunk": rows["chunk"],
@@ -189,7 +234,7 @@ def _score(order: int, parts: int, corpus: int):
             [
                 np.zeros(0, np.int64),
                 *(
-                    decode_codes(control, data, int(sizes[part]))
+                    _decoded(control, data, int(sizes[part]))
                     for part, control, data in zip(
                         answers["part"], answers["control"], answers["data"]
                     )
@@ -240,17 +285,28 @@ def _others(words, document, order: int, ngrams, totals) -> np.ndarray:
     return result
 
 
-def score_documents(docs: DataFrame, new_path: NewPath, order: int = ORDER) -> DataFrame:
+def _bucketed(chunks: DataFrame, path: str) -> DataFrame:
+    """The chunks, written to a folder in buckets by their number."""
+    spark = chunks.sparkSession
+    name = f"lm_chunks_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = chunks.write.option("path", path).option("compression", "zstd")
+    writer.format("parquet").bucketBy(buckets, "chunk").saveAsTable(name)
+    found = spark.table(name)
+    found.schema  # looked up here, so that the name is free to go; the files stay
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
+def score_documents(docs: DataFrame, new_path: NewPath, order: int = 2) -> DataFrame:
     """Per document: its words, those whose full n-gram others hold, and its mean log score.
 
     Chunks are written to a folder of ``new_path``, so that texts are read once.
     """
     spark = docs.sparkSession
-    path = new_path()
     # Ids as text: numbers that can be NULL would become floats in pandas.
     named = docs.select(F.col("doc_id").cast("long").cast("string"), "text")
-    named.mapInArrow(_chunks, _CHUNK).write.option("compression", "zstd").parquet(path)
-    chunks = spark.read.schema(_CHUNK).parquet(path)
+    chunks = _bucketed(named.mapInArrow(_chunks, _CHUNK), new_path())
     corpus = chunks.agg(F.sum("size")).first()[0] or 0
     parts = -(-corpus // PARTITION_WORDS) or 1
     requests = chunks.mapInArrow(_requests(order, parts), _REQUEST)

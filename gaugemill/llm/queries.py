@@ -63,7 +63,8 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff_lm.score_documents(table(spark, sf_dir, "documents"), folders(spark, "lm"))
+    docs = table(spark, sf_dir, "documents")
+    return backoff_lm.score_documents(docs, folders(spark, "lm"), backoff_lm.ORDER)
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,11 +3,12 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
-from conftest import SMALL
+from conftest import SMALL, plan_of
 from llm_support import ODD_PAIRS, make_documents, paths, words
 
-from gaugemill.llm import backoff_lm
+from gaugemill.llm import backoff_lm, queries
 from gaugemill.llm.backoff_lm import score_documents
 
 
@@ -70,3 +71,32 @@ def test_empty_table_and_one_document(spark, tmp_path):
 def test_a_hot_word(spark, tmp_path):
     pairs = [(i, "the " * 30 + f"x{i}") for i in range(50)]
     assert_same(score_documents(make_documents(spark, pairs), paths(tmp_path)), expected(pairs, 2))
+
+
+def test_the_query_knows_contexts_of_two_words(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    pairs = [tuple(row) for row in docs.collect()]
+    assert_same(queries.op5_lm_scores(spark, SMALL), expected(pairs, 3))
+
+
+def test_common_pairs_in_an_unlikely_order_score_less(spark, tmp_path):
+    known = ["x a b y", "z b c w", "a b d e", "q b c r"] * 3
+    pairs = list(enumerate([*known, "a b d", "a b c"]))
+    found = score_documents(make_documents(spark, pairs), paths(tmp_path), backoff_lm.ORDER)
+    scores = {row.doc_id: (row.n_known, row.log_score) for row in found.collect()}
+    assert scores[len(known)][0] == 1 and scores[len(known) + 1][0] == 0
+    assert scores[len(known)][1] > scores[len(known) + 1][1]
+
+
+def test_chunks_are_not_shuffled(spark, tmp_path):
+    docs = make_documents(spark, [(i, f"a b c{i}") for i in range(20)])
+    plan = plan_of(score_documents(docs, paths(tmp_path)))
+    assert plan.count("Exchange hashpartitioning") == 2  # requests and answers
+
+
+def test_coded_ngrams_come_back():
+    chance = np.random.default_rng(2)
+    for size in (0, 1, 3, 1000):
+        ngrams = np.unique(chance.integers(0, 1 << 64, size, dtype=np.uint64))
+        ngrams = np.append(ngrams, np.uint64((1 << 64) - 1))[: len(ngrams) + size % 2]
+        assert (backoff_lm._decoded_ngrams(backoff_lm._coded_ngrams(ngrams)) == ngrams).all()
