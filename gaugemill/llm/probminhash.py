@@ -24,6 +24,7 @@ class is chosen. An empty table gives an empty result. Only ``doc_id`` and ``tex
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,8 @@ from gaugemill.llm.words import Words, mix, slices, windows_of, words_of
 
 SHINGLE = 5
 THRESHOLD = 0.8
+EXACT = Fraction(4, 5)  # the threshold, where floats are too coarse
+SLACK = 1e-9  # more than floats are off by
 BANDS = 32
 ROWS = 4  # registers of a band
 GROWTH = 16  # how many times as many centres each further round of comparisons has
@@ -141,14 +144,37 @@ def _text() -> Column:
 def probability_jaccard(
     keys_a: np.ndarray, counts_a: np.ndarray, keys_b: np.ndarray, counts_b: np.ndarray
 ) -> float:
-    """Exact similarity of two weighted sets, in the time of a sort.
+    """Similarity of two weighted sets, in the time of a sort."""
+    above, below = _terms(keys_a, counts_a, keys_b, counts_b)
+    return float((above / below).sum())
+
+
+def is_similar(
+    keys_a: np.ndarray, counts_a: np.ndarray, keys_b: np.ndarray, counts_b: np.ndarray
+) -> bool:
+    """Whether the similarity is the threshold or more; exact where floats can't tell."""
+    above, below = _terms(keys_a, counts_a, keys_b, counts_b)
+    found = float((above / below).sum())
+    if abs(found - THRESHOLD) > SLACK:
+        return found > THRESHOLD
+    divisor = np.gcd(above, below)
+    terms = np.stack([above // divisor, below // divisor])
+    terms, times = np.unique(terms, axis=1, return_counts=True)
+    total = sum(Fraction(a * n, b) for a, b, n in zip(*terms.tolist(), times.tolist()))
+    return total >= EXACT
+
+
+def _terms(
+    keys_a: np.ndarray, counts_a: np.ndarray, keys_b: np.ndarray, counts_b: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Whole numbers whose quotients sum up to the similarity, one for each common key.
 
     It is the sum over common keys i of 1 / sum_j max(a_j / a_i, b_j / b_i). The first quotient
     is the larger for the j with b_j / a_j below b_i / a_i: with keys ordered by that ratio, the
     inner sum is one of a up to i, and one of b after it.
     """
     keys = np.union1d(keys_a, keys_b)
-    a, b = np.zeros(len(keys)), np.zeros(len(keys))
+    a, b = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
     a[np.searchsorted(keys, keys_a)] = counts_a
     b[np.searchsorted(keys, keys_b)] = counts_b
     ratio = np.divide(b, a, out=np.full(len(keys), np.inf), where=a > 0)
@@ -158,14 +184,14 @@ def probability_jaccard(
     after = b.sum() - np.cumsum(b)
     common = (a > 0) & (b > 0)
     a, b, up_to, after = a[common], b[common], up_to[common], after[common]
-    return float((1 / (up_to / a + after / b)).sum())
+    return a * b, up_to * b + after * a
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of pairs u, v with their texts, those that are similar enough."""
     for batch in batches:
         left, right = _each(batch.column(2)), _each(batch.column(3))
-        keep = [probability_jaccard(*a, *b) >= THRESHOLD for a, b in zip(left, right)]
+        keep = [is_similar(*a, *b) for a, b in zip(left, right)]
         yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -238,7 +264,7 @@ def _at_most(
     v = F.greatest(other_own, other_distinct - (size - own)) / other_size
     v = F.greatest(v, F.lit(0.0))
     # u = v = 1 would divide by zero, and be no link either.
-    return F.try_divide((1 - u) * (1 - v), 1 - u * v) + 1e-9
+    return F.try_divide((1 - u) * (1 - v), 1 - u * v) + SLACK
 
 
 def _can_link(members: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from llm_support import ODD_PAIRS, PROSE, make_documents, paths, words
 from gaugemill.llm.components import connected_components
 from gaugemill.llm.probminhash import (
     first_of_each,
+    is_similar,
     near_duplicates,
     prob_min_hash,
     probability_jaccard,
@@ -175,3 +176,32 @@ def test_components(spark, tmp_path, seed):
     expected = sorted((i, root(i)) for i in touched)
     frame = spark.createDataFrame(edges, "u long, v long")
     assert sorted(rows(connected_components(frame, paths(tmp_path)))) == expected
+
+
+@pytest.mark.parametrize("common, every", [(12, 15), (48, 60), (80, 100), (160, 200), (1596, 1995)])
+def test_exact_ties_are_similar(common, every):
+    """One key more in all, or one less in common, is below the threshold."""
+    keys = np.arange(1, every + 2, dtype=np.uint64)
+    ones = np.ones(len(keys), np.int64)
+    a, b = keys[:common], keys[:every]
+    assert is_similar(a, ones[:common], b, ones[:every])
+    assert is_similar(b, ones[:every], a, ones[:common])
+    assert not is_similar(a, ones[:common], keys, ones)
+    assert not is_similar(a[1:], ones[1:common], b, ones[:every])
+
+
+def test_ties_of_repeated_shingles():
+    keys = np.arange(1, 4, dtype=np.uint64)
+    two = np.array([7, 1])
+    assert is_similar(keys, np.array([7, 1, 2]), keys[:2], two)  # 7 / 10 + 1 / 10
+    assert not is_similar(keys, np.array([7, 1, 3]), keys[:2], two)
+
+
+def test_texts_of_exactly_the_threshold_are_linked(spark, tmp_path):
+    first = [f"t{i}" for i in range(94)]
+    second = [*first]
+    second[20], second[60] = "other", "another"
+    pairs = [(1, " ".join(first)), (2, " ".join(second)), (3, " ".join(first[:50]))]
+    assert similarity(shingles(pairs[0][1]), shingles(pairs[1][1])) == pytest.approx(0.8, abs=1e-12)
+    found = near_duplicates(make_documents(spark, pairs), paths(tmp_path))
+    assert rows(found.select("doc_id", "class_id")) == [(1, 1), (2, 1), (3, 3)]
