@@ -1,7 +1,9 @@
 """Personal data replaced by surrogates that keep type, format, script and gender.
 
 Entities are e-mail addresses, phone numbers, card numbers, IP addresses and names after a
-title. A surrogate is drawn with a secret key from the entity itself, so that the same entity
+title. A text's own names are looked for again in it without title, whole and by their last word,
+and get the same surrogate or its last word; a family name after a title is that of the full name
+of the same gender that the text has nearest before it, or else first after it. A surrogate is drawn with a secret key from the entity itself, so that the same entity
 gets the same surrogate in every document (coreference). All distinct entities of the corpus are
 then held against each other: if two share a surrogate, or a surrogate is another entity that
 occurs, the entity with the larger keyed order draws again, until all surrogates are distinct.
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect
 from collections.abc import Callable, Iterator
 from string import ascii_lowercase, digits
 
@@ -50,8 +53,10 @@ TITLES = {
     "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "Κυρία"),
     "m": ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος"),
 }
+RANKS = ("Dr", "Prof")  # of any gender; they may follow another title
 
-_TITLE = "|".join(title for titles in TITLES.values() for title in titles)
+_TITLE = "|".join([*(title for titles in TITLES.values() for title in titles), *RANKS])
+_RANKS = "|".join(RANKS)
 _CAPITAL, _SMALL = "A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΩА-ЯЁ", "a-zß-öø-ÿά-ώа-яё"
 _NAME = f"[{_CAPITAL}][{_SMALL}]+(?:[-'’][{_CAPITAL}][{_SMALL}]+)?"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -66,10 +71,18 @@ PATTERNS = {
     "phone": re.compile(
         r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[.-])"
         r"[0-9]{3,4}[ .-][0-9]{3,4}(?![\w-])"
-        r"|(?<![\w+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![\w-])",
+        r"|(?<![\w+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![\w-])"
+        # Without a country's code: 614 555 8001; 030 1234567, (030) 1234567, 020 7946 0958;
+        # 01 42 68 53 00.
+        r"|(?<![\w+.-])[0-9]{3} [0-9]{3} [0-9]{4}(?![\w-])"
+        r"|(?<![\w+.-])(?:0[0-9]{1,4}[ /.-]|\(0[0-9]{1,4}\) ?)"
+        r"(?:[0-9]{6,8}|[0-9]{3,4} [0-9]{3,4})(?![\w-])"
+        r"|(?<![\w+.-])0[0-9](?: [0-9]{2}){4}(?![\w-])",
         re.ASCII,
     ),
-    "name": re.compile(rf"\b(?:{_TITLE})\.? ({_NAME}(?: {_NAME}){{0,2}})"),
+    "name": re.compile(
+        rf"\b(?:{_TITLE})\.? (?:(?:{_RANKS})\.? )*({_NAME}(?: {_NAME}){{0,2}})"
+    ),
 }
 # What any of them needs: a digit pair, an at sign, or a title. Wider than the patterns.
 MAYBE = rf"[0-9][0-9 .-]?[(]?[0-9]|[0-9]\)|@|(?:{_TITLE})\.? [{_CAPITAL}]"
@@ -99,14 +112,56 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
             start, end = match.span(1 if kind == "name" else 0)
             if all(end <= a or b <= start for a, b, *_ in found):
                 found.append((start, end, *_entity(kind, match, text[start:end])))
-    return sorted(found)
+    found.sort()
+    return _same_names(text, found) if any(_is_name(each) for each in found) else found
+
+
+def _is_name(mention: tuple[int, int, str, str]) -> bool:
+    return mention[2].startswith("name")
+
+
+def _same_names(
+    text: str, found: list[tuple[int, int, str, str]]
+) -> list[tuple[int, int, str, str]]:
+    """Mentions of the text's names with their parts: family names, and names without title."""
+    # By name and by last word: where names of one entity are, in order.
+    whole: dict[str, list[tuple[int, str, str]]] = {}
+    family: dict[str, list[tuple[int, str, str]]] = {}
+    for start, _, kind, name in filter(_is_name, found):
+        whole.setdefault(name, []).append((start, kind, name))
+        if " " in name:
+            family.setdefault(name.rpartition(" ")[2], []).append((start, kind, name))
+
+    def nearest(options: list[tuple[int, str, str]], start: int) -> tuple[str, str]:
+        return options[max(0, bisect(options, (start,)) - 1)][1:]
+
+    result, extra = [], []
+    for start, end, kind, entity in found:
+        if kind.startswith("name"):
+            ranks = kind == "name_x"
+            alike = [each for each in family.get(entity, []) if ranks or each[1] in (kind, "name_x")]
+            alike = alike or [each for each in whole[entity] if ranks and each[1] != kind]
+            if alike:
+                kind, entity = nearest(alike, start)
+        result.append((start, end, kind, entity))
+    names = sorted({*whole, *family}, key=len, reverse=True)
+    again = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, names))})(?!\w)")
+    starts = [start for start, *_ in result]
+    for match in again.finditer(text):
+        start, end = match.span()
+        before = bisect(starts, start)
+        free = before == len(starts) or end <= starts[before]
+        if free and (before == 0 or result[before - 1][1] <= start):
+            options = family.get(match[0]) or whole[match[0]]
+            extra.append((start, end, *nearest(options, start)))
+    return sorted(result + extra)
 
 
 def _entity(kind: str, match: re.Match, text: str) -> tuple[str, str]:
     """Mentions of one entity have one form: digits of numbers, addresses in lower case."""
     if kind == "name":
-        title = match[0][: match.start(1) - match.start()].rstrip(". ")
-        gender = next(gender for gender, titles in TITLES.items() if title in titles)
+        title = match[0].split(" ")[0].rstrip(".")
+        gender = next((gender for gender, titles in TITLES.items() if title in titles), "x")
         return f"name_{gender}", text
     if kind == "email":
         return kind, text.lower()
@@ -193,17 +248,21 @@ def _name(gender: str, name: str, draw: Stream, attempt: int) -> str:
     script = script_of(name)
     words = name.split(" ")
     family = "".join(draw.of(PARTS[script]) for _ in range(2 + attempt)).capitalize()
-    given = [draw.of(GIVEN[script, gender]) for _ in words[1:]]
+    genders = "fm" if gender == "x" else gender
+    options = [given for each in genders for given in GIVEN[script, each]]
+    given = [draw.of(options) for _ in words[1:]]
     return " ".join([*given, family])
 
 
 def formatted(kind: str, mention: str, drawn: str) -> str:
-    """A surrogate in the shape of a mention: its separators, or its capitals."""
+    """A surrogate in the shape of a mention: its separators, its capitals, or its part."""
     if kind in ("card", "phone"):
         rest = iter(drawn)
         return "".join(next(rest) if c in digits else c for c in mention)
     if kind == "email" and mention.isupper():
         return drawn.upper()
+    if kind.startswith("name"):  # the family name of a full name
+        return " ".join(drawn.split(" ")[-len(mention.split(" ")) :])
     return drawn
 
 

@@ -134,3 +134,57 @@ def test_given_documents_against_brute_force(spark, tmp_path):
             parts += [texts[doc][before:a], formatted(kind, texts[doc][a:b], surrogates[kind, entity])]
             before = b
         assert text == "".join([*parts, texts[doc][before:]])
+
+
+@pytest.mark.parametrize(
+    "mention",
+    ["614 555 8001", "030 1234567", "(030) 1234567", "0171/1234567", "020 7946 0958", "01 42 68 53 00"],
+)
+def test_national_phone_numbers(mention):
+    text = f"call {mention}, or not"
+    assert [(text[a:b], kind) for a, b, kind, _ in find_entities(text)] == [(mention, "phone")]
+    assert re.search(pii.MAYBE, text)
+    ((*_, kind, entity),) = find_entities(mention)
+    assert [k for *_, k, _ in find_entities(formatted(kind, mention, surrogate(kind, entity, 0)))] == [kind]
+
+
+def test_names_are_found_again_without_title():
+    text = "Mrs. Anna Schmidt came. Anna Schmidt said so; Schmidt's car. Mrs. Schmidt left. Schmidtke stayed"
+    found = [(text[a:b], kind, entity) for a, b, kind, entity in find_entities(text)]
+    assert found == [(part, "name_f", "Anna Schmidt") for part in ("Anna Schmidt", "Anna Schmidt", "Schmidt", "Schmidt")]
+    assert formatted("name_f", "Schmidt", "Klara Barcor") == "Barcor"
+
+
+def test_the_name_in_question():
+    text = "Mr. Paul Green and Mrs. Eva Green. Mr. Green sat, Mrs. Green stood. Green sang. Mr. White and White"
+    found = [(text[a:b], kind, entity) for a, b, kind, entity in find_entities(text)]
+    assert found[2:] == [
+        ("Green", "name_m", "Paul Green"),
+        ("Green", "name_f", "Eva Green"),
+        ("Green", "name_f", "Eva Green"),
+        ("White", "name_m", "White"),
+        ("White", "name_m", "White"),
+    ]
+
+
+@pytest.mark.parametrize(
+    "text, kind", [("Dr. Anna Weber", "name_x"), ("Prof. Dr. Weber", "name_x"), ("Frau Dr. Weber", "name_f")]
+)
+def test_ranks(text, kind):
+    ((start, _, found, entity),) = find_entities(text)
+    assert (found, entity) == (kind, text[start:]) and entity.endswith("Weber")
+    assert len(surrogate(kind, entity, 0).split()) == len(entity.split())
+    assert re.search(pii.MAYBE, text)
+
+
+def test_coreference_within_a_document(spark, tmp_path):
+    text = "Mrs. Anna Schmidt came. Anna Schmidt said that Mrs. Schmidt or Schmidt called 614 555 8001 and 030 1234567"
+    replaced, _ = replace_pii(make_documents(spark, [(1, text)]), paths(tmp_path))
+    ((found,),) = replaced.select("text").collect()
+    given, family = re.match(r"Mrs\. (\w+) (\w+) came", found).groups()
+    assert re.fullmatch(
+        rf"Mrs\. {given} {family} came\. {given} {family} said that Mrs\. {family} or {family} "
+        r"called \d{3} \d{3} \d{4} and 0\d\d \d{7}",
+        found,
+    )
+    assert not any(old in found for old in ("Anna", "Schmidt", "555 8001", "1234567"))
