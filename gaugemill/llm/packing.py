@@ -1,7 +1,7 @@
 """Best-fit packing of documents into training sequences, with conflicts.
 
 A bin holds ``CAPACITY`` words. Two documents conflict if they come from one source or are
-copies of each other; they never share a bin. Documents are spread evenly over groups of bounded
+copies of each other, or near copies; they never share a bin. Documents are spread evenly over groups of bounded
 size by a hash of their row, whatever their source, and each group is packed by itself, longest
 first. Within a group, bins are kept by residual space. Each residual has a bitmap of its bins,
 and so has each source and each duplicate cluster: the bins at a residual that can take a
@@ -13,19 +13,22 @@ A document of more than ``CAPACITY`` words is cut: full pieces fill bins of thei
 is packed like a document. NULL text, and text without words, takes no space and gets no bin:
 its row has a NULL bin. A NULL source or cluster conflicts with none. Repeated rows are copies
 and are packed each, in different bins. An empty table gives an empty result. Only ``doc_id``, ``text``,
-``source`` and the cluster column are read.
+``source`` and the cluster column are read. Without a cluster column, near copies are no
+conflict, but texts that are equal but for case always are.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugemill.llm.probminhash import near_duplicate_keys
+
 CAPACITY = 1024
 GROUP = 4096  # documents packed together, about
 
@@ -47,9 +50,11 @@ class Bins:
         self.of_source: dict[object, int] = defaultdict(int)
         self.of_cluster: dict[object, int] = defaultdict(int)
 
-    def place(self, size: int, source: object, cluster: object) -> int | None:
+    def place(self, size: int, source: object, *clusters: object) -> int | None:
         """Put a document into the tightest compatible bin, if there is one."""
-        taken = self.of_cluster.get(cluster, 0) | self.of_source.get(source, 0)
+        taken = self.of_source.get(source, 0)
+        for cluster in enumerate(clusters):
+            taken |= self.of_cluster.get(cluster, 0)
         later = self.levels >> size << size
         while later:
             level = later & -later
@@ -58,16 +63,16 @@ class Bins:
             if free:
                 chosen = free & -free
                 self._move(chosen, residual, residual - size)
-                self._mark(chosen, source, cluster)
+                self._mark(chosen, source, *clusters)
                 return chosen.bit_length() - 1
             later ^= level
         return None
 
-    def open(self, residual: int, source: object, cluster: object) -> int:
+    def open(self, residual: int, source: object, *clusters: object) -> int:
         chosen = 1 << self.count
         self.count += 1
         self._move(chosen, None, residual)
-        self._mark(chosen, source, cluster)
+        self._mark(chosen, source, *clusters)
         return self.count - 1
 
     def _move(self, chosen: int, before: int | None, after: int) -> None:
@@ -78,22 +83,23 @@ class Bins:
         self.at[after] |= chosen
         self.levels |= 1 << after
 
-    def _mark(self, chosen: int, source: object, cluster: object) -> None:
+    def _mark(self, chosen: int, source: object, *clusters: object) -> None:
         if source is not None:
             self.of_source[source] |= chosen
-        if cluster is not None:
-            self.of_cluster[cluster] |= chosen
+        for kind, cluster in enumerate(clusters):
+            if cluster is not None:
+                self.of_cluster[kind, cluster] |= chosen
 
 
 def best_fit(
-    documents: Iterable[tuple[int, object, object]], capacity: int
+    documents: Iterable[tuple], capacity: int
 ) -> Iterator[tuple[int, int]]:
-    """The bin of each (size, source, cluster), in the order given."""
+    """The bin of each (size, source, cluster...), in the order given."""
     bins = Bins()
-    for size, source, cluster in documents:
-        found = bins.place(size, source, cluster)
+    for size, source, *clusters in documents:
+        found = bins.place(size, source, *clusters)
         if found is None:
-            found = bins.open(capacity - size, source, cluster)
+            found = bins.open(capacity - size, source, *clusters)
         yield found, size
 
 
@@ -106,11 +112,11 @@ def pack(
 ) -> DataFrame:
     """A row per piece: its document, where it begins and how long it is, its bin and its place.
 
-    ``cluster`` names the duplicate cluster; without it, texts are copies if they are equal but
-    for the case of letters. Sizes are written to ``staging``, so that texts are read once.
+    ``cluster`` names the cluster of near duplicates; texts that are equal but for the case of
+    letters are copies besides. Sizes are written to ``staging``, so that texts are read once.
     """
     if cluster is None:
-        cluster = F.xxhash64(F.lower("text"))
+        cluster = F.lit(None)
     spark = docs.sparkSession
     words = F.regexp_count("text", F.lit(WORD)).cast("long")
     # Ids and clusters as text: numbers that can be NULL would become floats in pandas.
@@ -118,6 +124,7 @@ def pack(
         F.col("doc_id").cast("string").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         cluster.cast("string").alias("cluster"),
+        F.xxhash64(F.lower("text")).cast("string").alias("copies"),
         words.alias("words"),
         # Equal rows are told apart, so that copies of one document spread over the groups.
         F.xxhash64("doc_id", F.monotonically_increasing_id()).alias("spread"),
@@ -134,7 +141,7 @@ def pack(
         "rest", F.col("words") - F.col("full") * capacity
     )
     packed = (
-        rests.select("group", "spread", "doc_id", "source", "cluster", "full", "rest")
+        rests.select("group", "spread", "doc_id", "source", "cluster", "copies", "full", "rest")
         .groupBy("group")
         .applyInPandas(_pack_group(capacity), PACKED)
     )
@@ -166,6 +173,14 @@ def pack(
     return every.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
+def pack_apart(docs: DataFrame, new_path: Callable[[], str], **sizes: int) -> DataFrame:
+    """``pack`` with the classes of near-duplicates as clusters."""
+    key, classes = near_duplicate_keys(docs, new_path)
+    named = docs.select("doc_id", "text", "source", key.alias("row_key"))
+    named = named.join(classes, "row_key", "left")
+    return pack(named, new_path(), cluster=F.hex("class_key"), **sizes)
+
+
 def _pack_group(capacity: int):
     def pack_group(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(
@@ -175,6 +190,7 @@ def _pack_group(capacity: int):
             rows["rest"].tolist(),
             [None if pd.isna(source) else source for source in rows["source"]],
             [None if pd.isna(cluster) else cluster for cluster in rows["cluster"]],
+            rows["copies"],
         )
         bins = np.fromiter((found for found, _ in best_fit(documents, capacity)), np.int64)
         sizes = rows["rest"].to_numpy(np.int64)

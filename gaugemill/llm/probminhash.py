@@ -395,9 +395,16 @@ def near_duplicates(docs: DataFrame, new_path: NewPath) -> DataFrame:
         "class_size",
         (F.col("row_key") == F.col("first.row_key")).alias("kept"),
         "row_key",
+        F.col("first.row_key").alias("class_key"),
     )
 
 
+def near_duplicate_keys(docs: DataFrame, new_path: NewPath) -> tuple[Column, DataFrame]:
+    """A key of rows, and for the keys in classes of several rows: row_key, class_key."""
+    several = near_duplicates(docs, new_path).where("class_size > 1")
+    return _row_key(), _kept(several.select("row_key", "class_key").distinct(), new_path)
+
+
 def first_of_each(docs: DataFrame, new_path: NewPath) -> DataFrame:
     """One document of each class, with all its columns, whatever their names."""
     winners = near_duplicates(docs, new_path).where("kept").select("row_key").distinct()

@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from gaugemill.llm import backoff_lm
 from gaugemill.llm.decontaminate import contamination
-from gaugemill.llm.packing import pack
+from gaugemill.llm.packing import pack_apart
 from gaugemill.llm.pii import replace_pii
 from gaugemill.llm.probminhash import near_duplicates
 from gaugemill.llm.quality_classifier import score_documents, train
@@ -83,12 +83,12 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), folders(spark, "sizes")())
+    return pack_apart(table(spark, sf_dir, "documents"), folders(spark, "sizes"))
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), folders(spark, "dedup"))
-    return found.drop("row_key")
+    return found.drop("row_key", "class_key")
 
 
 QUERIES: dict[str, Query] = {

@@ -7,7 +7,7 @@ import pytest
 from llm_support import ODD_PAIRS, make_documents, paths
 
 from gaugemill.llm.features import _WORD
-from gaugemill.llm.packing import best_fit, pack
+from gaugemill.llm.packing import best_fit, pack, pack_apart
 
 
 def brute_force(documents, capacity):
@@ -98,3 +98,30 @@ def test_large_ids_are_exact(spark, tmp_path):
 
 def test_empty_table(spark, tmp_path):
     assert pack(make_documents(spark, []), paths(tmp_path)()).count() == 0
+
+
+def test_near_copies_of_different_sources_are_apart(spark, tmp_path):
+    chance = random.Random(7)
+    base = [f"b{i}" for i in range(120)]
+    pairs = []
+    for i in range(12):
+        text = [*base]
+        text[chance.randrange(120)] = f"edit{i}"
+        pairs.append((i, (" " if i % 2 else "  ").join(text)))
+    pairs += [(100 + i, " ".join(f"o{i}w{k}" for k in range(60))) for i in range(12)]
+    pairs += [(200, "É u"), (201, "é u"), (None, None), (202, "?!"), (203, "?!")]
+    sources = [f"s{i}" for i in range(len(pairs))]
+    found = pack_apart(make_documents(spark, pairs, sources), paths(tmp_path), capacity=1024).collect()
+    check(pairs[:-3] + pairs[-2:], sources[:-3] + sources[-2:], [r for r in found if r.doc_id is not None], 1024)
+    near = [row.bin for row in found if row.doc_id is not None and row.doc_id < 12]
+    assert len(set(near)) == len(near) == 12
+    assert len({row.bin for row in found if row.bin}) == 12  # and nothing else is kept apart
+
+
+def test_repeated_near_copies_and_empty_table(spark, tmp_path):
+    docs = make_documents(spark, ODD_PAIRS, [None])
+    found = pack_apart(docs, paths(tmp_path)).collect()
+    assert sum(row.n_words for row in found) == sum(len(_WORD.findall(t or "")) for _, t in ODD_PAIRS)
+    prose = [row.bin for row in found if row.doc_id in (1, 9) or row.doc_id is None and row.bin]
+    assert len(set(prose)) == len(prose) == 4
+    assert pack_apart(make_documents(spark, []), paths(tmp_path / "none")).count() == 0
