@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Tokenizer
 
-from gaugemill.llm import backoff_lm
+from gaugemill.llm import backoff_lm, conversation_repair
 from gaugemill.llm.decontaminate import contamination
 from gaugemill.llm.packing import pack_apart
 from gaugemill.llm.pii import replace_pii
@@ -91,6 +91,12 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("row_key", "class_key")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    repaired = conversation_repair.repair_conversations(rows, folders(spark, "turns"))
+    return conversation_repair.digests(repaired)
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_quality_rules": op2_quality_rules,
@@ -102,4 +108,5 @@ QUERIES: dict[str, Query] = {
     "op8_pii": op8_pii,
     "op9_packing": op9_packing,
     "op10_near_dedup": op10_near_dedup,
+    "op12_conversation_repair": op12_conversation_repair,
 }
