@@ -17,6 +17,7 @@ from gaugemill.llm.probminhash import near_duplicates
 from gaugemill.llm.quality_classifier import score_documents, train
 from gaugemill.llm.quality_rules import judge_quality
 from gaugemill.llm.secret_scan import digests, scan_secrets
+from gaugemill.llm.token_alignment import align_documents
 from gaugemill.llm.token_files import read_token_files, write_token_files
 from gaugemill.llm.url_filter import RULES, filter_urls, rule_table
 from gaugemill.sources.folders import new_staging_path
@@ -97,6 +98,15 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.digests(repaired)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+        folders(spark, "links"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_quality_rules": op2_quality_rules,
@@ -109,4 +119,5 @@ QUERIES: dict[str, Query] = {
     "op9_packing": op9_packing,
     "op10_near_dedup": op10_near_dedup,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_token_alignment": op13_token_alignment,
 }

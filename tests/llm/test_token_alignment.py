@@ -1,0 +1,163 @@
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from conftest import SMALL
+from llm_support import ODD_PAIRS, make_documents, paths
+
+from gaugemill.llm import token_alignment
+from gaugemill.llm.queries import QUERIES
+from gaugemill.llm.token_alignment import align_documents, aligned_texts, gallop
+
+PATH_A = public_tokenizers.path("byte_bpe_50k.json")
+PATH_B = public_tokenizers.path("piece_bpe_32k.model")
+NAMES = "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256".split()
+
+
+class Plain:
+    """Both libraries on whole texts, and links by comparing all ranges in order."""
+
+    def __init__(self):
+        self.a = Tokenizer.from_file(PATH_A)
+        self.a.encode_special_tokens = True
+        self.b = sentencepiece.SentencePieceProcessor(model_file=PATH_B)
+        seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [x for x in range(256) if x not in seen]
+        self.letters = dict(zip(map(chr, seen), seen))
+        self.letters |= {chr(256 + i): x for i, x in enumerate(hidden)}
+
+    def tokens(self, text):
+        a = self.a.encode(" " + text, add_special_tokens=False)
+        a = [(i, bytes(self.letters[x] for x in token)) for i, token in zip(a.ids, a.tokens)]
+        b = []
+        for i in self.b.encode(text):
+            piece = self.b.id_to_piece(i)
+            is_byte = self.b.is_byte(i)
+            b.append((i, bytes([int(piece[3:5], 16)]) if is_byte else piece.replace("▁", " ").encode()))
+        return a, b
+
+    def aligned(self, text):
+        """Ids of each group, and all links."""
+        if not text:
+            return [], []
+        a, b = self.tokens(text)
+        whole = (" " + text).encode()
+        if any(b"".join(x for _, x in side) != whole for side in (a, b)):
+            return [], []
+        spans = []
+        for side in (a, b):
+            ends = np.cumsum([len(x) for _, x in side]).tolist()
+            spans.append([(i, end - len(x), end) for (i, x), end in zip(side, ends)])
+        links, first = [], 0
+        for i, begin, end in spans[0]:
+            while spans[1][first][2] <= begin:
+                first += 1
+            for j, start, _ in spans[1][first:]:
+                if start >= end:
+                    break
+                links.append((i, j))
+        common = sorted({x[2] for x in spans[0]} & {x[2] for x in spans[1]})
+        groups = []
+        for begin, end in zip([0, *common], common):
+            groups.append([[i for i, s, e in side if begin <= s and e <= end] for side in spans])
+        return groups, links
+
+    def results(self, pairs):
+        found = [(name, *self.aligned(text)) for name, text in pairs]
+        held = Counter(link for _, _, links in found for link in set(links))
+        top = {}
+        for (i, _), n in held.items():
+            top[i] = max(top.get(i, 0), n)
+        rows = []
+        for name, groups, links in found:
+            listed = ";".join("|".join(",".join(map(str, side)) for side in x) for x in groups)
+            rows.append(
+                (
+                    name,
+                    sum(len(x[0]) for x in groups),
+                    sum(len(x[1]) for x in groups),
+                    len(groups),
+                    len(links),
+                    sum(held[link] == top[link[0]] for link in links),
+                    sum(held[link] for link in links),
+                    hashlib.sha256(listed.encode()).hexdigest() if groups else "",
+                )
+            )
+        return sorted(rows, key=repr)
+
+
+@pytest.fixture(scope="module")
+def plain():
+    return Plain()
+
+
+def odd_texts(count=250):
+    rng = random.Random(5)
+    bits = [
+        " ", "  ", "   ", "\n", "\n\n", "\t", "\r\n", " ", " ", "\x1c", "\x85", "\x00",
+        "the", "water", "Straße", "1234", "9", "don't", "I'll", "...", "!?", "<|endoftext|>", "</s>",
+        "<0x41>", "日本語", "é", "é", "\U0001f600", "▁", "ﬁ", "Ā", "Ġ", "a", "Z", "_", "-",
+        "​", "İ", "ſ", "²", "½", "א", "ا", "﻿", "", "'s",
+    ]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(1, 30))) for _ in range(count)]
+    return [*texts, " ", "  ", " a", "a ", "<s>", "a  b", "a\n b", "a\n  b", "x \n y", "x\x1c y"]
+
+
+def test_gallop_finds_first_places():
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        longer = np.cumsum(rng.integers(1, 4, rng.integers(1, 60)))
+        targets = np.sort(rng.integers(1, longer[-1] + 1, rng.integers(1, 40)))
+        size = len(targets)
+        low, high = np.zeros(size, np.int64), np.full(size, len(longer))
+        guess = rng.integers(0, len(longer), size)
+        found = gallop(targets, longer, guess, low, high)
+        assert (found == np.searchsorted(longer, targets)).all()
+
+
+@pytest.mark.parametrize("slice_chars", [1 << 20, 40])
+def test_parts_equal_whole_texts(plain, monkeypatch, slice_chars):
+    monkeypatch.setattr(token_alignment, "SLICE_CHARS", slice_chars)
+    monkeypatch.setattr(token_alignment, "CACHED_CHUNKS", 50)
+    both = token_alignment.TwoTokenizers(PATH_A, PATH_B)
+    texts = odd_texts()
+    for text, found in zip(texts, aligned_texts(texts, both)):
+        groups, links = plain.aligned(text)
+        expected = Counter(links)
+        assert (found.n_groups, found.n_links) == (len(groups), len(links)), repr(text)
+        if groups:
+            pairs = {(x >> both.bits, x & ((1 << both.bits) - 1)) for x in found.pairs.tolist()}
+            assert pairs == set(expected)
+            assert sorted(found.times.tolist()) == sorted(expected.values())
+            listed = ";".join("|".join(",".join(map(str, side)) for side in x) for x in groups)
+            assert found.listing.hexdigest() == hashlib.sha256(listed.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("held", [token_alignment.HELD, 20, 1])
+def test_equals_comparing_all_ranges(spark, tmp_path, plain, held):
+    pairs = [(i, text) for i, text in ODD_PAIRS if len(text or "") < 10_000]
+    pairs += [(100 + i, text) for i, text in enumerate(odd_texts(60))]
+    docs = make_documents(spark, pairs)
+    found = align_documents(docs, PATH_A, PATH_B, paths(tmp_path), held)
+    rows = [tuple(row[name] for name in NAMES) for row in found.collect()]
+    assert sorted(rows, key=repr) == plain.results(pairs)
+
+
+def test_no_documents(spark, tmp_path):
+    found = align_documents(make_documents(spark, []), PATH_A, PATH_B, paths(tmp_path))
+    assert found.collect() == [] and set(NAMES) <= set(found.columns)
+
+
+def test_whole_table(spark, plain):
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    found = QUERIES["op13_token_alignment"](spark, SMALL).select(*NAMES).collect()
+    expected = plain.results([tuple(row) for row in rows])
+    assert sorted((tuple(row) for row in found), key=repr) == expected
