@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 from gaugemill.llm import backoff_lm, conversation_repair
 from gaugemill.llm.decontaminate import contamination
+from gaugemill.llm.license_scan import scan_licenses
 from gaugemill.llm.packing import pack_apart
 from gaugemill.llm.pii import replace_pii
 from gaugemill.llm.probminhash import near_duplicates
@@ -92,6 +93,10 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("row_key", "class_key")
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
     repaired = conversation_repair.repair_conversations(rows, folders(spark, "turns"))
@@ -118,6 +123,7 @@ QUERIES: dict[str, Query] = {
     "op8_pii": op8_pii,
     "op9_packing": op9_packing,
     "op10_near_dedup": op10_near_dedup,
+    "op11_license_scan": op11_license_scan,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_token_alignment": op13_token_alignment,
 }
