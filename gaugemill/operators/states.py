@@ -16,7 +16,7 @@ from gaugemill.functions.timing import AsOf
 from gaugemill.operators.filters import last_months
 from gaugemill.schemas import MONTH_PARTITION, struct
 
-_KEY_INPUTS = {"machine_id": "machine_id", "month": MONTH_PARTITION}
+KEY_INPUTS = {"machine_id": "machine_id", "month": MONTH_PARTITION}
 
 
 @dataclass(frozen=True)
@@ -44,7 +44,7 @@ class Summary:
 
     def to_states(self, inputs: DataFrame) -> DataFrame:
         """One row of states per key; ids become text after grouping by the number."""
-        keys = (F.col(_KEY_INPUTS[key]).alias(key) for key in self.keys)
+        keys = (F.col(KEY_INPUTS[key]).alias(key) for key in self.keys)
         states = inputs.groupBy(*keys).agg(*_columns(self.states))
         return states.withColumn("machine_id", F.col("machine_id").cast("string"))
 

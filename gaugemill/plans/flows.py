@@ -23,8 +23,14 @@ from gaugemill.plans.tables import (
 )
 from gaugemill.sources.folders import staged
 from gaugemill.sources.readers import read_csv, read_table, stream_table
-from gaugemill.sources.writers import append_documents, append_jdbc, append_readings
-from gaugemill.streaming.views import catch_up, write_states
+from gaugemill.sources.writers import (
+    append_documents,
+    append_insert,
+    append_jdbc,
+    append_readings,
+)
+from gaugemill.streaming.one_scan import catch_up_together
+from gaugemill.streaming.views import write_states
 
 
 def run_ingest(
@@ -33,10 +39,11 @@ def run_ingest(
     target: str | None = None,
     fmt: str = "json",
     options: Mapping[str, str] | None = None,
+    insert_id: str | None = None,
 ) -> None:
-    """CSV rows, typed and nested, appended to a document collection."""
+    """CSV rows, typed and nested, appended to a document collection; with ``insert_id`` once."""
     documents = nest_readings(type_readings(read_csv(spark, csv_path)))
-    append_documents(documents, target, fmt, options=options)
+    append_documents(documents, target, fmt, options=options, insert_id=insert_id)
 
 
 def run_native(
@@ -50,20 +57,28 @@ def run_native(
     as_of: AsOf = None,
     on_null: str = "raise",
     max_bytes: int | None = None,
+    insert_id: str | None = None,
 ) -> dict[str, DataFrame]:
     """Clean documents into the readings table, update the summaries, return the reports.
 
     With the same ``checkpoint`` and ``run_id``, a later call summarises only the readings
-    that were appended since. It appends the documents it is given, so a call that failed is
-    not repeated as it is: where ``append_readings`` had failed, nothing was written; where
-    it had ended, go on with ``summarise_native``. Where the catalog does not outlive the
-    driver, give a ``location``, so that a later session finds the tables' files again.
+    that were appended since. With an ``insert_id`` for these documents a call that failed
+    anywhere is repeated as it is: readings are stored once and count once. Without one it
+    appends the documents it is given, so that a call that failed is not repeated: where
+    ``append_readings`` had failed, nothing was written; where it had ended, go on with
+    ``summarise_native``. A table takes inserts of one kind only. Where the catalog does not
+    outlive the driver, give a ``location``, so that a later session finds the tables' files
+    again.
     """
     table = f"{database}.{READINGS}"
     create_database(spark, database)
-    create_readings(spark, table, location=location)
+    create_readings(spark, table, location=location, by_insert=insert_id is not None)
     create_summaries(spark, database, location)
-    append_readings(clean_readings(documents), table, on_null=on_null)
+    cleaned = clean_readings(documents)
+    if insert_id is None:
+        append_readings(cleaned, table, on_null=on_null)
+    else:
+        append_insert(cleaned, quoted_name(table), insert_id, on_null)
     return summarise_native(
         spark, database, checkpoint, run_id, as_of=as_of, max_bytes=max_bytes
     )
@@ -81,7 +96,7 @@ def summarise_native(
     """The second half of ``run_native``: can be repeated, and appends nothing."""
     table = quoted_name(f"{database}.{READINGS}")
     as_of = resolved(as_of)
-    catch_up(
+    catch_up_together(
         stream_table(spark, table, max_bytes=max_bytes),
         SUMMARY_TABLES,
         database,

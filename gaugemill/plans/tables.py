@@ -17,6 +17,7 @@ from gaugemill.operators.states import (
 )
 from gaugemill.schemas import MONTH_PARTITION, ddl, reading_table
 from gaugemill.sources.folders import make_folder
+from gaugemill.sources.inserts import INSERT_ID, quoted
 
 READINGS = "sensor_data"
 READINGS_JDBC = "sensor_data_jdbc"
@@ -25,7 +26,14 @@ READINGS_JDBC = "sensor_data_jdbc"
 # them. See ``streaming.views``.
 # ``stream_id`` is the identity that a stream keeps in its checkpoint, so that another stream
 # cannot take over a run; inserts without a stream share one.
-INSERT_COLUMNS = {"run_id": "STRING", "stream_id": "STRING", "batch_id": "BIGINT"}
+# ``until`` is the batch after the last one in it: the next one, but for merged inserts, which
+# ``streaming.compaction`` makes.
+INSERT_COLUMNS = {
+    "run_id": "STRING",
+    "stream_id": "STRING",
+    "batch_id": "BIGINT",
+    "until": "BIGINT",
+}
 NO_STREAM = "none"
 
 
@@ -34,6 +42,7 @@ class SummaryTable:
     """Where the states of a summary are kept.
 
     A ``plain`` table shows final values under its name; its states are in ``<name>_states``.
+    The view ``live`` leaves out what merged inserts have replaced.
     """
 
     name: str
@@ -55,17 +64,23 @@ class SummaryTable:
         return [key for key in ("month", "machine_id") if key in self.summary.keys]
 
     def read(self, spark: SparkSession, database: str) -> DataFrame:
-        """Final values, merged from the states of all inserts.
+        """Final values, merged from the states of all inserts."""
+        return self.summary.merge_states(self.live_states(spark, database))
+
+    def live_states(self, spark: SparkSession, database: str) -> DataFrame:
+        """The states of all inserts, each once.
 
         Streams write in sessions of their own; the file list of this one is renewed.
         """
-        states = self.qualified(database)
-        spark.catalog.refreshTable(states)
-        return self.summary.merge_states(spark.table(states))
+        spark.catalog.refreshTable(self.qualified(database))
+        return spark.table(self.live(database))
 
     def qualified(self, database: str) -> str:
         return quoted_name(f"{database}.{self.states}")
 
+    def live(self, database: str) -> str:
+        return quoted_name(f"{database}.{self.states}_live")
+
 
 # The names under which the summaries are published.
 SUMMARY_TABLES = (
@@ -80,11 +95,6 @@ STATE_TABLES = (
 )
 
 
-def quoted(text: str) -> str:
-    """A SQL string literal."""
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def quoted_name(name: str) -> str:
     """A name of several parts, divided by dots, for SQL. Parts may be quoted already."""
     parts = (part.strip("`").replace("`", "``") for part in name.split("."))
@@ -108,14 +118,21 @@ def create_readings(
     provider: str = "parquet",
     properties: Mapping[str, str] | None = None,
     location: str | None = None,
+    by_insert: bool = False,
 ) -> None:
-    """The readings table, partitioned by month; ``properties`` are the provider's own."""
+    """The readings table, partitioned by month; ``properties`` are the provider's own.
+
+    With ``by_insert`` the months are parts of inserts, which can be repeated
+    (``sources.writers.append_insert``); their ``insert_id`` is one more column.
+    """
+    columns = ddl(reading_table(float_type)) + (f", {INSERT_ID} STRING" if by_insert else "")
+    months = f"{INSERT_ID}, {MONTH_PARTITION}" if by_insert else MONTH_PARTITION
     extra = ", ".join(
         f"{quoted(key)} = {quoted(value)}" for key, value in (properties or {}).items()
     )
     statements = {
-        table: f"CREATE TABLE IF NOT EXISTS {quoted_name(table)} ({ddl(reading_table(float_type))}) "
-        f"USING {provider} PARTITIONED BY ({MONTH_PARTITION})"
+        table: f"CREATE TABLE IF NOT EXISTS {quoted_name(table)} ({columns}) "
+        f"USING {provider} PARTITIONED BY ({months})"
         + _at(location, table.split(".")[-1])
         + (f" TBLPROPERTIES ({extra})" if extra else "")
     }
@@ -168,10 +185,13 @@ def _definitions(
             f"USING parquet PARTITIONED BY ({', '.join(table.partitions)})"
             + _at(location, table.states)
         )
+        statements[f"{table.states}_live"] = (
+            f"CREATE VIEW IF NOT EXISTS {table.live(database)} AS SELECT * FROM {states}"
+        )
         if table.plain:
             statements[table.name] = (
                 f"CREATE VIEW IF NOT EXISTS {quoted_name(f'{database}.{table.name}')} AS "
-                f"{table.summary.merge_sql(states)}"
+                f"{table.summary.merge_sql(table.live(database))}"
             )
     return statements
 

@@ -53,3 +53,23 @@ def _remove_at_exit(spark: SparkSession, path: str) -> None:
 def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target, target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target, file_system = _file_system(spark, path)
+    return file_system.exists(target)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """The folders right below one."""
+    target, file_system = _file_system(spark, path)
+    return sorted(
+        status.getPath().getName()
+        for status in file_system.listStatus(target)
+        if status.isDirectory()
+    )
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    target, file_system = _file_system(spark, path)
+    file_system.delete(target, True)

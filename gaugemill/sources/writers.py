@@ -1,4 +1,5 @@
-"""Sinks. All of them append by default and none removes duplicates."""
+"""Sinks. All of them append by default and none removes duplicates; an insert with a name is
+stored once, however often it is repeated."""
 
 from __future__ import annotations
 
@@ -8,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugemill.schemas import MONTH_PARTITION, REQUIRED_COLUMNS
+from gaugemill.sources.inserts import INSERT_ID, arranged, folder_of, publish, write_once
 
 BATCH_ROWS = 10_000
 
@@ -19,14 +21,21 @@ def append_documents(
     mode: str = "append",
     options: Mapping[str, str] | None = None,
     id_column: str | None = "_id",
+    insert_id: str | None = None,
 ) -> None:
     """Append documents to a collection.
 
     File formats give no identifiers, so documents without one get a random ``id_column``;
-    pass ``None`` for a store that assigns its own.
+    pass ``None`` for a store that assigns its own. With ``insert_id``, which is for files, the
+    documents go to a folder of that name and a repeated call adds nothing. All inserts of a
+    collection have one, or none has: its readers see it as a column.
     """
     if id_column and id_column not in documents.columns:
         documents = documents.withColumn(id_column, F.uuid())
+    if insert_id is not None:
+        folder = folder_of(documents.sparkSession, path, {INSERT_ID: insert_id})
+        write_once(documents, folder, fmt, options=options)
+        return
     documents.write.format(fmt).options(**(options or {})).mode(mode).save(path)
 
 
@@ -80,6 +89,19 @@ def append_readings(
     )
 
 
+def append_insert(
+    readings: DataFrame, table: str, insert_id: str, on_null: str = "raise"
+) -> None:
+    """Store cleaned readings once under a name, in a table made with ``by_insert``.
+
+    The same call again completes what a failure left undone and adds nothing else, whatever it
+    is given. Sorted as by ``append_readings``.
+    """
+    readings = require_values(readings, REQUIRED_COLUMNS, on_null)
+    rows = arranged(readings, MONTH_PARTITION, ["timestamp"])
+    publish(rows, table, {INSERT_ID: insert_id}, MONTH_PARTITION)
+
+
 def append_jdbc(
     frame: DataFrame,
     url: str,

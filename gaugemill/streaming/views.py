@@ -1,7 +1,7 @@
 """Incremental summaries over Structured Streaming.
 
 Each micro-batch is one insert: it is reduced to states and stored in the partition
-``(run_id, stream_id, batch_id)``. A batch that is run again after a failure has the same ids
+``(run_id, stream_id, batch_id, until)``. A batch that is run again after a failure has the same ids
 and replaces its own states, so every reading counts once. A new checkpoint starts at batch 0
 again, as another stream, and needs a ``run_id`` of its own: a run that another stream has
 begun is refused.
@@ -30,23 +30,30 @@ def write_states(
     inputs: DataFrame, table: SummaryTable, database: str, run_id: str, batch_id: int
 ) -> None:
     """Store the states of one insert, replacing those of an earlier attempt."""
-    spark = inputs.sparkSession
+    store_insert(table.summary.to_states(inputs), table, database, run_id, batch_id)
+
+
+def store_insert(
+    states: DataFrame, table: SummaryTable, database: str, run_id: str, batch_id: int
+) -> None:
+    """As ``write_states``, for states that are known already."""
+    spark = states.sparkSession
     stream_id = spark.sparkContext.getLocalProperty(_STREAM_ID) or NO_STREAM
     _refuse_foreign_run(spark, table, database, run_id, stream_id)
-    _store(table.summary.to_states(inputs), table, database, (run_id, stream_id, batch_id))
+    _store(states, table, database, (run_id, stream_id, batch_id, batch_id + 1))
 
 
 def inserts_of(
     spark: SparkSession, table: SummaryTable, database: str, run_id: str | None = None
-) -> set[tuple[str, str, int]]:
-    """run_id, stream_id and batch_id of the inserts in a table, from its list of partitions."""
+) -> set[tuple[str, str, int, int]]:
+    """The ``INSERT_COLUMNS`` of the inserts in a table, from its list of partitions."""
     only = "" if run_id is None else f" PARTITION (run_id = {quoted(run_id)})"
     found = spark.sql(f"SHOW PARTITIONS {table.qualified(database)}{only}").collect()
     result = set()
     for row in found:
         parts = dict(part.split("=", 1) for part in row[0].split("/"))
-        run, stream, batch = (unquote(parts[name]) for name in INSERT_COLUMNS)
-        result.add((run, stream, int(batch)))
+        run, stream, batch, until = (unquote(parts[name]) for name in INSERT_COLUMNS)
+        result.add((run, stream, int(batch), int(until)))
     return result
 
 
@@ -58,7 +65,7 @@ def _refuse_foreign_run(spark, table, database, run_id: str, stream_id: str) ->
     owned = stream_id, run_id, table.qualified(database)
     if owned in _OWN:
         return
-    streams = {stream for _, stream, _ in inserts_of(spark, table, database, run_id)}
+    streams = {stream for _, stream, *_ in inserts_of(spark, table, database, run_id)}
     if streams - {stream_id}:
         raise ValueError(
             f"run {run_id!r} of {table.name} belongs to another stream: "
@@ -76,12 +83,11 @@ def fold_states(spark: SparkSession, table: SummaryTable, database: str, target:
     apart. The old table is left as it is, so folding can be repeated, too.
     """
     last: dict[tuple[str, str], int] = {}
-    for run_id, stream_id, batch_id in inserts_of(spark, table, database):
+    for run_id, stream_id, batch_id, _ in inserts_of(spark, table, database):
         if run_id != FOLDED_RUN:
             key = run_id, stream_id
             last[key] = max(batch_id, last.get(key, batch_id))
-    spark.catalog.refreshTable(table.qualified(database))
-    states = spark.table(table.qualified(database))
+    states = table.live_states(spark, database)
     older = states
     for (run_id, stream_id), batch_id in last.items():
         is_last = (
@@ -91,12 +97,12 @@ def fold_states(spark: SparkSession, table: SummaryTable, database: str, target:
         )
         older = older.where(~is_last)
         kept = states.where(is_last).drop(*INSERT_COLUMNS)
-        _store(kept, table, target, (run_id, stream_id, batch_id))
-    _store(table.summary.combine_states(older), table, target, (FOLDED_RUN, NO_STREAM, 0))
+        _store(kept, table, target, (run_id, stream_id, batch_id, batch_id + 1))
+    _store(table.summary.combine_states(older), table, target, (FOLDED_RUN, NO_STREAM, 0, 1))
 
 
 def _store(
-    states: DataFrame, table: SummaryTable, database: str, insert: tuple[str, str, int]
+    states: DataFrame, table: SummaryTable, database: str, insert: tuple[str, str, int, int]
 ) -> None:
     """Replace one insert, with all its months, whatever the session's overwrite mode."""
     if table.by_month:
@@ -107,7 +113,8 @@ def _store(
     with _setting(spark, _OVERWRITE_MODE, "static"):
         spark.sql(
             f"INSERT OVERWRITE TABLE {table.qualified(database)} PARTITION "
-            f"(run_id = :run_id, stream_id = :stream_id, batch_id = :batch_id{by_month}) "
+            f"(run_id = :run_id, stream_id = :stream_id, batch_id = :batch_id, until = :until"
+            f"{by_month}) "
             "BY NAME SELECT * FROM {states}",
             args=dict(zip(INSERT_COLUMNS, insert)),
             states=states,

@@ -1,0 +1,293 @@
+"""Repeated inserts, several summaries from one scan, and merging of inserts."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import SMALL, rows
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+from test_streaming import ALL_TABLES, direct, prepared, rounded  # noqa: F401
+
+from gaugemill.functions.timing import fixed, latest
+from gaugemill.operators.states import ENERGY
+from gaugemill.plans.flows import run_ingest, run_native
+from gaugemill.plans.tables import READINGS, STATE_TABLES, SUMMARY_TABLES, create_readings
+from gaugemill.schemas import RAW_DOCUMENT
+from gaugemill.sources import inserts
+from gaugemill.sources.folders import folder_names
+from gaugemill.sources.readers import read_documents, stream_documents
+from gaugemill.sources.sample_tables import (
+    csv_rows,
+    event_readings,
+    events,
+    lineitem,
+    raw_documents,
+    shipment_readings,
+)
+from gaugemill.sources.writers import append_insert
+from gaugemill.streaming import compaction, one_scan, views
+from gaugemill.streaming.compaction import FAN_IN, compact, live_inserts, tiers
+from gaugemill.streaming.one_scan import catch_up_together, maintain_together
+from gaugemill.streaming.views import inserts_of, write_states
+
+
+@pytest.fixture
+def source(spark, tmp_path):
+    """Shipments in four files, as a stream of a file per batch, and as a frame."""
+    frame = shipment_readings(lineitem(spark, SMALL))
+    path = f"{tmp_path}/parts"
+    frame.repartition(4).write.parquet(path)
+    return stream_documents(spark, path, frame.schema, "parquet", max_files=1), frame
+
+
+# Several summaries from one scan
+
+
+def test_one_scan_feeds_all_tables(spark, prepared, source, tmp_path):  # noqa: F811
+    stream, frame = source
+    as_of = fixed(latest(frame))
+    query = maintain_together(stream, ALL_TABLES, prepared, f"{tmp_path}/checkpoint", "run", as_of)
+    query.awaitTermination()
+    progress = query.recentProgress
+    assert sum(each["numInputRows"] for each in progress) == frame.count()
+    assert query.lastProgress["numInputRows"] < frame.count() / 2
+    for table in ALL_TABLES:
+        assert rounded(table.read(spark, prepared)) == rounded(direct(table, frame, as_of))
+        assert len(inserts_of(spark, table, prepared)) == 4
+
+
+@pytest.mark.parametrize("lost", [1, 2, 4])
+def test_a_crash_between_two_tables(spark, prepared, source, tmp_path, monkeypatch, lost):  # noqa: F811
+    stream, frame = source
+    as_of = fixed(latest(frame))
+    stored = views.store_insert
+    calls = []
+
+    def failing(states, table, database, run_id, batch_id):
+        if len(calls) == lost:
+            raise RuntimeError("killed between two tables")
+        stored(states, table, database, run_id, batch_id)
+        calls.append((table.name, batch_id))
+
+    arguments = stream, SUMMARY_TABLES, prepared, f"{tmp_path}/checkpoint", "run", as_of
+    with monkeypatch.context() as patch:
+        patch.setattr(views, "store_insert", failing)
+        with pytest.raises(StreamingQueryException, match="killed between"):
+            catch_up_together(*arguments)
+    catch_up_together(*arguments)
+    for table in SUMMARY_TABLES:
+        assert rounded(table.read(spark, prepared)) == rounded(direct(table, frame, as_of))
+        assert rounded(spark.table(f"{prepared}.{table.name}")) == rounded(
+            table.read(spark, prepared)
+        )
+
+
+def test_a_scan_reads_only_what_summaries_need(spark, prepared, source, tmp_path):  # noqa: F811
+    stream, _ = source
+    query = maintain_together(stream, SUMMARY_TABLES[:1], prepared, f"{tmp_path}/c", "run")
+    query.awaitTermination()
+    schema = "struct<anomaly_flag:boolean,machine_id:int,month_partition:date>"
+    assert f"ReadSchema: {schema}" in query._jsq.explainInternal(False)
+
+
+# Merging by size
+
+
+def test_tiers_are_digits():
+    assert tiers(3) == [] and tiers(0) == []
+    assert tiers(22) == [(0, 16), (16, 20)]
+    for count in range(300):
+        ranges = tiers(count)
+        ends = [0, *(end for _, end in ranges)]
+        assert [begin for begin, _ in ranges] == ends[:-1] and count - ends[-1] < FAN_IN
+        sizes = [end - begin for begin, end in ranges]
+        assert all(begin % size == 0 for (begin, _), size in zip(ranges, sizes))
+        assert len(sizes) <= 3 * 4
+
+
+def test_live_inserts_are_not_covered():
+    found = {("r", "s", 0, 4), ("r", "s", 1, 2), ("r", "s", 4, 5), ("r", "t", 1, 2)}
+    assert live_inserts(found) == found - {("r", "s", 1, 2)}
+
+
+def many_inserts(spark, table, database, count):
+    """Inserts of a tenth of the events, batch by batch, in one job."""
+    frame = event_readings(events(spark, SMALL)).where("machine_id < 5")
+    states = table.summary.to_states(table.summary.select_inputs(frame, latest(frame)))
+    batches = spark.range(count).select(F.col("id").alias("batch_id"))
+    (
+        states.crossJoin(batches)
+        .withColumns({"run_id": F.lit("run"), "stream_id": F.lit("none")})
+        .withColumn("until", F.col("batch_id") + 1)
+        .select(*spark.table(table.qualified(database)).columns)
+        .write.insertInto(table.qualified(database))
+    )
+    return frame
+
+
+@pytest.mark.parametrize("number", [1, 2])
+def test_after_200_batches_few_inserts_are_live(spark, prepared, number):  # noqa: F811
+    table = STATE_TABLES[number]
+    frame = many_inserts(spark, table, prepared, 200)
+    before = rounded(table.read(spark, prepared))
+    assert len(inserts_of(spark, table, prepared)) == 200
+    live = compact(spark, table, prepared)
+    assert len(live) <= 3 * 4 + FAN_IN
+    assert rounded(table.read(spark, prepared)) == before
+    # What was replaced is removed by the next call.
+    assert len(inserts_of(spark, table, prepared)) > 200
+    assert compact(spark, table, prepared) == live
+    assert inserts_of(spark, table, prepared) == live
+    # The last batch once more, and one that was merged long ago.
+    inputs = table.summary.select_inputs(frame, latest(frame))
+    for batch in (199, 7):
+        write_states(inputs, table, prepared, "run", batch)
+        assert rounded(table.read(spark, prepared)) == before
+    compact(spark, table, prepared)
+    compact(spark, table, prepared)
+    assert rounded(table.read(spark, prepared)) == before
+    assert inserts_of(spark, table, prepared) == live
+
+
+def test_merging_between_batches(spark, prepared, tmp_path):  # noqa: F811
+    frame = event_readings(events(spark, SMALL))
+    frame.repartition(11).write.parquet(f"{tmp_path}/parts")
+    stream = stream_documents(spark, f"{tmp_path}/parts", frame.schema, "parquet", max_files=1)
+    as_of = fixed(latest(frame))
+    catch_up_together(
+        stream, SUMMARY_TABLES, prepared, f"{tmp_path}/c", "run", as_of, compact_every=3
+    )
+    for table in SUMMARY_TABLES:
+        view = spark.table(f"{prepared}.{table.name}")
+        expected = rounded(direct(table, frame, as_of))
+        assert rounded(view) == rounded(table.read(spark, prepared)) == expected
+        assert any(until > batch + 1 for *_, batch, until in inserts_of(spark, table, prepared))
+
+
+@pytest.mark.parametrize("step", ["write", "add", "show"])
+def test_merging_after_a_crash(spark, prepared, monkeypatch, step):  # noqa: F811
+    table = STATE_TABLES[2]
+    many_inserts(spark, table, prepared, 18)
+    before = rounded(table.read(spark, prepared))
+
+    def lost(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        if step == "write":  # files without the job's mark
+            patch.setattr(inserts, "add_partitions", lost)
+            patch.setattr(inserts, "is_done", lambda *_: False)
+        elif step == "add":
+            patch.setattr(inserts, "add_partitions", lost)
+        else:
+            patch.setattr(compaction, "_shows", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            compact(spark, table, prepared)
+    assert rounded(table.read(spark, prepared)) == before
+    for _ in range(3):
+        live = compact(spark, table, prepared)
+        assert rounded(table.read(spark, prepared)) == before
+    assert inserts_of(spark, table, prepared) == live
+
+
+def test_runs_are_merged_apart(spark, prepared):  # noqa: F811
+    frame = event_readings(events(spark, SMALL))
+    table = next(entry for entry in STATE_TABLES if entry.summary is ENERGY)
+    inputs = table.summary.select_inputs(frame)
+    for run, count in (("it's", 6), ("b", 1)):
+        for batch in range(count):
+            write_states(inputs.where(f"machine_id % 6 = {batch}"), table, prepared, run, batch)
+    before = rounded(table.read(spark, prepared))
+    live = compact(spark, table, prepared)
+    assert live == {
+        ("it's", "none", 0, 4), ("it's", "none", 4, 5), ("it's", "none", 5, 6), ("b", "none", 0, 1)
+    }
+    assert rounded(table.read(spark, prepared)) == before
+
+
+# Inserts with names
+
+
+def test_a_named_insert_is_stored_once(spark, database, tmp_path):
+    name = f"{database}.{READINGS}"
+    create_readings(spark, name, by_insert=True)
+    frame = shipment_readings(lineitem(spark, SMALL))
+    for _ in range(2):
+        append_insert(frame, name, "it's one")
+        append_insert(frame.limit(0), name, "empty")
+    append_insert(frame, name, "two")
+    found = spark.table(name)
+    assert rows(found.groupBy("insert_id").count()) == [
+        ("it's one", frame.count()),
+        ("two", frame.count()),
+    ]
+    assert rows(found.drop("insert_id").distinct()) == rows(frame.distinct())
+
+
+@pytest.mark.parametrize("step", ["job", "add"])
+def test_a_failed_insert_is_completed(spark, database, monkeypatch, step):
+    name = f"{database}.{READINGS}"
+    create_readings(spark, name, by_insert=True)
+    frame = shipment_readings(lineitem(spark, SMALL))
+
+    def lost(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(inserts, "add_partitions", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            append_insert(frame, name, "one")
+    assert spark.table(name).count() == 0
+    if step == "job":  # not all files were there
+        inserts.delete_folder(spark, f"{inserts.root_of(spark, name)}/insert_id=one/_SUCCESS")
+    append_insert(frame, name, "one")
+    assert rows(spark.table(name).drop("insert_id")) == rows(frame)
+
+
+def test_documents_of_a_named_insert(spark, tmp_path):
+    csv, target = str(tmp_path / "csv"), str(tmp_path / "documents")
+    csv_rows(events(spark, SMALL)).write.option("header", True).csv(csv)
+    for insert in ("a", "a", "b"):
+        run_ingest(spark, csv, target, insert_id=insert)
+    assert read_documents(spark, target, schema=RAW_DOCUMENT).count() == 2 * 1000
+    assert folder_names(spark, target) == ["insert_id=a", "insert_id=b"]
+
+
+def test_the_flow_after_a_failure_anywhere(spark, database, tmp_path, monkeypatch):
+    documents = raw_documents(events(spark, SMALL))
+    readings = event_readings(events(spark, SMALL))
+    as_of = latest(readings)
+    stored = views.store_insert
+    calls = []
+
+    def failing(*args):
+        if len(calls) == 1:
+            raise RuntimeError("lost between two tables")
+        stored(*args)
+        calls.append(args)
+
+    def run(insert_id):
+        return run_native(
+            spark, documents, database, f"{tmp_path}/c", "run", as_of=as_of, insert_id=insert_id
+        )
+
+    with monkeypatch.context() as patch:
+        patch.setattr(views, "store_insert", failing)
+        with pytest.raises(StreamingQueryException, match="lost between"):
+            run("first")
+    for insert_id, expected in (
+        ("first", readings), ("first", readings), ("second", readings.union(readings))
+    ):
+        found = run(insert_id)
+        assert found["high_risk"].count() == expected.where(
+            "remaining_life < 50 AND anomaly_flag"
+        ).count()
+        for table in SUMMARY_TABLES:
+            assert rounded(table.read(spark, database)) == rounded(direct(table, expected, as_of))
+
+
+def test_other_keys_are_refused():
+    with pytest.raises(ValueError, match="other keys"):
+        from dataclasses import replace
+
+        one_scan.Together([replace(ENERGY, keys=("plant",))])
