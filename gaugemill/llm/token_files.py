@@ -46,9 +46,10 @@ class CachedTokenizer:
     This tokenizer drops white space and never joins over it, so the ids of a text are those of
     what stands between spaces. It keeps runs of letters and runs of marks apart, so that such
     a chunk of nothing else falls into these pieces; other chunks are pieces as they are. It
-    lowers all letters, so that A-Z can be lowered before. Pieces are known by their 64-bit
-    hashes, until too many have been seen. New ones are sent to the library together, and told
-    apart by the tokens that end a word.
+    lowers all letters, so that A-Z can be lowered before. Pieces are found by their 64-bit
+    hashes, until too many have been seen, and compared byte by byte; where two of them share a
+    hash, the texts are given to the library as they are. New pieces are sent to it together, and
+    told apart by the tokens that end a word.
     """
 
     def __init__(self, path: str, end_id: int) -> None:
@@ -71,6 +72,9 @@ class CachedTokenizer:
         self.first = np.zeros(0, np.int64)
         self.sizes = np.zeros(0, np.int64)
         self.ids = np.zeros(0, "<u4")
+        self.bytes = np.zeros(0, np.uint8)  # of all pieces, and where those of each lie
+        self.begin = np.zeros(0, np.int64)
+        self.length = np.zeros(0, np.int64)
 
     def encode(self, text: bytes) -> np.ndarray:
         return np.array(
@@ -84,13 +88,19 @@ class CachedTokenizer:
         """
         low = data.tobytes().lower()
         if any(token in low for token in self.special):  # to lower could make one
-            texts = [data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
-            found = [np.concatenate([self.encode(text), self.end]) for text in texts]
-            return np.concatenate(found), np.array([len(ids) for ids in found])
+            return self._encode_texts(data, offsets)
         starts, ends, simple = _pieces(data, offsets)
         hashes = NO_SPACE.hashes(data, starts, ends)
         distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
         place = self._places(distinct, starts[at], ends[at], simple[at], low)
+        lowered, lengths = np.frombuffer(low, np.uint8), ends - starts
+        first, own = (starts[at], lengths[at]), (starts, lengths)
+        kept = self.begin[place], self.length[place]
+        if not (
+            _equal(lowered, *own, lowered, first[0][which], first[1][which])
+            and _equal(lowered, *first, self.bytes, *kept)
+        ):
+            return self._encode_texts(data, offsets)
         # The end id as a last piece of each text.
         texts, cuts = len(offsets) - 1, np.searchsorted(starts, offsets)
         slot = np.arange(len(which)) + np.repeat(np.arange(texts), np.diff(cuts))
@@ -102,6 +112,12 @@ class CachedTokenizer:
         counts = np.diff(after[cuts[1:] + np.arange(texts)], prepend=0)
         return np.append(self.ids, self.end)[source], counts
 
+    def _encode_texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Without the cache."""
+        texts = [data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
+        found = [np.concatenate([self.encode(text), self.end]) for text in texts]
+        return np.concatenate(found), np.array([len(ids) for ids in found])
+
     def _places(self, distinct, starts, ends, simple, low: bytes) -> np.ndarray:
         """Where the ids of these hashes are kept; the library is asked for new ones."""
         if len(self.hashes) > CACHED_PIECES:
@@ -118,9 +134,15 @@ class CachedTokenizer:
             self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(sizes) - sizes])
             self.sizes = np.concatenate([self.sizes, sizes])
             self.ids = np.concatenate([self.ids, ids])
+            lengths = ends[some] - starts[some]
+            begins = len(self.bytes) + np.cumsum(lengths) - lengths
+            self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(pieces), np.uint8)])
+            self.begin = np.concatenate([self.begin, begins])
+            self.length = np.concatenate([self.length, lengths])
         order = np.argsort(self.hashes, kind="stable")
         self.hashes, self.first = self.hashes[order], self.first[order]
         self.sizes = self.sizes[order]
+        self.begin, self.length = self.begin[order], self.length[order]
         return np.searchsorted(self.hashes, distinct)
 
     def _asked(self, pieces: list[bytes], simple: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -138,22 +160,42 @@ class CachedTokenizer:
         return np.concatenate(found), np.concatenate(sizes)
 
 
+def _equal(
+    data: np.ndarray,
+    starts: np.ndarray,
+    sizes: np.ndarray,
+    other: np.ndarray,
+    other_starts: np.ndarray,
+    other_sizes: np.ndarray,
+) -> bool:
+    """Whether byte ranges hold the same bytes, each as the other at its place."""
+    if (sizes != other_sizes).any():
+        return False
+    shift = np.repeat(np.cumsum(sizes) - sizes, sizes)
+    step = np.arange(len(shift)) - shift
+    mine = data[np.repeat(starts, sizes) + step]
+    return bool((mine == other[np.repeat(other_starts, sizes) + step]).all())
+
+
 _MARK, _LATIN, _ODD = 1, 2, 3
 _CLASS = np.where(NO_SPACE.in_word, _ODD, 0).astype(np.uint8)
 _CLASS[list(b".,!?;:%$&#*|")] = _MARK
-# Latin letters in UTF-8: A-Z, a-z, and U+00C0 to U+024F but for two signs.
+# Latin letters in UTF-8: A-Z, a-z, and U+00C0 to U+027F but for two signs, and for U+0130,
+# whose lower case holds a combining mark.
 _CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xC0), *range(0xC3, 0xCA)]] = _LATIN
-_SIGNS = (0x97, 0xB7)  # after C3
+_NO_LETTERS = {0xC3: (0x97, 0xB7), 0xC4: (0xB0,)}
 
 
 def _pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each piece, and whether it is letters only or marks only."""
     starts, ends = spans_of(data, offsets, NO_SPACE)
     kind = _CLASS[data]
-    before = np.flatnonzero(data[:-1] == 0xC3)
-    signs = before[np.isin(data[before + 1], _SIGNS)]
+    found = [np.flatnonzero(kind == _ODD)]
+    for lead, others in _NO_LETTERS.items():
+        before = np.flatnonzero(data[:-1] == lead)
+        found.append(before[np.isin(data[before + 1], others)])
     simple = np.ones(len(starts), bool)
-    for odd in (np.flatnonzero(kind == _ODD), signs):
+    for odd in found:
         simple[np.searchsorted(starts, odd, "right") - 1] = False
     # Where letters meet marks inside of a simple chunk.
     turn = np.flatnonzero((kind[1:] ^ kind[:-1]) == (_MARK ^ _LATIN)) + 1

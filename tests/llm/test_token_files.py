@@ -19,7 +19,7 @@ from gaugemill.llm.token_files import (
     read_token_files,
     write_token_files,
 )
-from gaugemill.llm.words import slices
+from gaugemill.llm.words import slices, utf8
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
@@ -110,3 +110,33 @@ def test_empty_table(spark, library, tmp_path):
     path = new_path()
     write_token_files(make_documents(spark, []), path, PATH, library.get_vocab_size(), staging=new_path())
     assert read_token_files(spark, path).count() == 0
+
+
+def cached_ids(tokenizer, texts):
+    data, offsets = utf8(pa.array(texts, pa.string()))
+    ids, counts = tokenizer.encode_all(data, offsets)
+    return [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+
+
+def test_every_latin_letter_beside_every_mark(library):
+    tokenizer = CachedTokenizer(PATH, 1)
+    marks = ".,!?;:%$&#*|'\"-_()/@+="
+    letters = [chr(x) for x in (*range(0x41, 0x5B), *range(0xC0, 0x280))]
+    texts = [
+        " ".join(f"AL{a}{m} {m}{a}b x{a} {a}{m}{a} {a}" for m in marks) for a in letters
+    ]
+    texts += ["ALİ.", "BUGÜN İLGİLİ, EVET.", "İSTANBUL'DA İYİ! Işık, ILIK; ığdır İ İ."]
+    assert cached_ids(tokenizer, texts) == [ids_of(library, text) for text in texts]
+
+
+def test_words_of_one_hash(library):
+    def word(k, a="a", b="b"):
+        return a if k == 0 else word(k - 1, a, b) + word(k - 1, b, a)
+
+    one, two = word(9), word(9, "b", "a")
+    for texts in ([one, two], [two, f"{one} {two}"]):
+        tokenizer = CachedTokenizer(PATH, 1)
+        for _ in range(2):
+            assert cached_ids(tokenizer, texts) == [ids_of(library, x) for x in texts]
+            for text in texts:
+                assert cached_ids(tokenizer, [text]) == [ids_of(library, text)]
