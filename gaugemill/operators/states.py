@@ -6,17 +6,22 @@ to states (``max``, and ``sum`` with ``count``) that merge to the same result in
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugemill.functions.timing import AsOf
+from gaugemill.operators import exact
 from gaugemill.operators.filters import last_months
 from gaugemill.schemas import MONTH_PARTITION, struct
 
-KEY_INPUTS = {"machine_id": "machine_id", "month": MONTH_PARTITION}
+KEY_INPUTS = {
+    "machine_id": "machine_id",
+    "month": MONTH_PARTITION,
+    "day": "to_date(timestamp)",
+}
 
 
 @dataclass(frozen=True)
@@ -44,7 +49,7 @@ class Summary:
 
     def to_states(self, inputs: DataFrame) -> DataFrame:
         """One row of states per key; ids become text after grouping by the number."""
-        keys = (F.col(KEY_INPUTS[key]).alias(key) for key in self.keys)
+        keys = (F.expr(KEY_INPUTS[key]).alias(key) for key in self.keys)
         states = inputs.groupBy(*keys).agg(*_columns(self.states))
         return states.withColumn("machine_id", F.col("machine_id").cast("string"))
 
@@ -140,13 +145,64 @@ ENERGY = Summary(
     ),
 )
 
+_TEMPERATURE = "cast(temperature AS double)"
+
 TEMPERATURE = Summary(
     name="temperature",
     keys=("month", "machine_id"),
     inputs=("machine_id", MONTH_PARTITION, "temperature"),
-    states={"avg_temp": _average_state("cast(temperature AS double)")},
+    states={"avg_temp": _average_state(_TEMPERATURE)},
     combined={"avg_temp": _combined_average("avg_temp")},
     finals={"avg_temperature": _average("avg_temp")},
     schema=struct(month=T.DateType(), machine_id=T.StringType(), avg_temp=_AVERAGE),
     months=3,
 )
+
+# The same summaries with sums that don't depend on the order of inserts and partitions.
+
+EXACT_ENERGY = replace(
+    ENERGY,
+    name="exact_energy",
+    states={
+        "max_energy": f"max({_ENERGY})",
+        "avg_energy": exact.average_state(_ENERGY),
+        "avg_machine_status": exact.average_state(_STATUS),
+    },
+    combined={
+        "max_energy": "max(max_energy)",
+        "avg_energy": exact.combined_average("avg_energy"),
+        "avg_machine_status": exact.combined_average("avg_machine_status"),
+    },
+    finals={
+        "max_energy": "max_energy",
+        "avg_energy": exact.average("avg_energy"),
+        "avg_machine_status": exact.average("avg_machine_status"),
+    },
+    schema=struct(
+        machine_id=T.StringType(),
+        max_energy=T.DoubleType(),
+        avg_energy=exact.EXACT,
+        avg_machine_status=exact.EXACT,
+    ),
+)
+
+EXACT_TEMPERATURE = replace(
+    TEMPERATURE,
+    name="exact_temperature",
+    states={"avg_temp": exact.average_state(_TEMPERATURE)},
+    combined={"avg_temp": exact.combined_average("avg_temp")},
+    finals={"avg_temperature": exact.average("avg_temp")},
+    schema=struct(month=T.DateType(), machine_id=T.StringType(), avg_temp=exact.EXACT),
+)
+
+# Temperature by day, of all times: ``streaming.panes`` reads trailing ranges from it.
+DAILY_TEMPERATURE = replace(
+    EXACT_TEMPERATURE,
+    name="daily_temperature",
+    keys=("month", "day", "machine_id"),
+    inputs=("machine_id", MONTH_PARTITION, "timestamp", "temperature"),
+    schema=struct(
+        month=T.DateType(), day=T.DateType(), machine_id=T.StringType(), avg_temp=exact.EXACT
+    ),
+    months=None,
+)

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from contextlib import suppress
+from datetime import datetime, timedelta
+from functools import reduce
 from itertools import accumulate
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,11 +21,15 @@ from gaugemill.operators.clean import clean_readings
 from gaugemill.operators.ingest import flatten_documents, nest_readings, type_readings
 from gaugemill.plans import flows
 from gaugemill.plans.tables import (
+    DAILY_TABLES,
+    EXACT_TABLES,
     READINGS,
     STATE_TABLES,
     SUMMARY_TABLES,
     SummaryTable,
+    create_daily,
     create_database,
+    create_exact,
     create_readings,
     create_states,
     create_summaries,
@@ -29,7 +37,13 @@ from gaugemill.plans.tables import (
 from gaugemill.schemas import MONTH_PARTITION, RAW_DOCUMENT, reading_table
 from gaugemill.session import pin_utc
 from gaugemill.sources.folders import new_staging_path
-from gaugemill.sources.readers import read_csv, read_documents, read_table, stream_documents
+from gaugemill.sources.readers import (
+    read_csv,
+    read_documents,
+    read_table,
+    stream_documents,
+    stream_table,
+)
 from gaugemill.sources.sample_tables import (
     csv_rows,
     event_readings,
@@ -42,6 +56,9 @@ from gaugemill.sources.sample_tables import (
     spoiled_documents,
 )
 from gaugemill.sources.writers import append_documents, append_readings
+from gaugemill.streaming.compaction import compact
+from gaugemill.streaming.one_scan import catch_up_together
+from gaugemill.streaming.panes import trailing_temperature
 from gaugemill.streaming.views import catch_up, fold_states, write_states
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +66,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 RUN = "first"
 # Shares of the rows, out of 16, that each insert brings.
 INSERTS = (9, 2, 5)
+# How long before the newest reading trailing ranges end.
+TRAILING = (timedelta(0), timedelta(days=37, hours=7), timedelta(days=800, minutes=1))
 
 
 def rounded(frame: DataFrame) -> DataFrame:
@@ -300,17 +319,104 @@ def _insert_parts(
         catch_up(stream, (table,), database, checkpoint, RUN, as_of)
 
 
-def _parts(source: DataFrame) -> list[DataFrame]:
+def _parts(source: DataFrame, sizes: Sequence[int] = INSERTS) -> list[DataFrame]:
     """All rows, dealt unevenly."""
-    share = F.pmod(F.xxhash64(*source.columns[:3]), F.lit(sum(INSERTS)))
-    ends = list(accumulate(INSERTS))
-    return [source.where((share >= end - size) & (share < end)) for size, end in zip(INSERTS, ends)]
+    share = F.pmod(F.xxhash64(*source.columns[:3]), F.lit(sum(sizes)))
+    ends = list(accumulate(sizes))
+    return [source.where((share >= end - size) & (share < end)) for size, end in zip(sizes, ends)]
 
 
 def _end_of(table: SummaryTable, readings: DataFrame) -> str | None:
     return None if table.summary.months is None else fixed(latest(readings))
 
 
+def views_one_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three views from one stream: per machine, and the rows that the stream has read."""
+    source = lineitem(spark, sf_dir)
+    database = _stage_database(spark, "views_one_scan")
+    create_summaries(spark, database)
+    path = new_staging_path(spark, "lineitem")
+    stream = shipment_readings(stream_documents(spark, path, source.schema, "parquet"))
+    as_of = fixed(latest(shipment_readings(source)))
+    checkpoint, read = new_staging_path(spark, "checkpoint"), 0
+    for part in _parts(source):
+        part.write.mode("append").parquet(path)
+        read += catch_up_together(stream, SUMMARY_TABLES, database, checkpoint, RUN, as_of)
+    anomalies, energy, temperature = (
+        spark.table(f"{database}.{table.name}") for table in SUMMARY_TABLES
+    )
+    return rounded(
+        energy.join(
+            anomalies.groupBy("machine_id").agg(F.sum("anomaly_count").alias("anomalies")),
+            "machine_id",
+        )
+        .join(
+            temperature.groupBy("machine_id").agg(
+                F.count("*").alias("months"), F.avg("avg_temperature").alias("avg_of_months")
+            ),
+            "machine_id",
+            "left",
+        )
+        .withColumn("rows_read", F.lit(read).cast("long"))
+    )
+
+
+def state_anomaly_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shipments in seven inserts, merged by size after each; the last one is repeated."""
+    table = _by_name(STATE_TABLES, "agg_monthly_anomaly_counts")
+    database = _stage_database(spark, "compacted")
+    create_states(spark, database)
+    parts = _parts(lineitem(spark, sf_dir), (3, 1, 4, 1, 5, 1, 1))
+    inserts = [table.summary.select_inputs(shipment_readings(part)) for part in parts]
+    for batch_id, insert in enumerate(inserts):
+        write_states(insert, table, database, RUN, batch_id)
+        compact(spark, table, database)
+    write_states(inserts[-1], table, database, RUN, len(inserts) - 1)
+    return table.read(spark, database)
+
+
+def exact_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Energy from the states of several inserts, to the last bit."""
+    return _exact(spark, sf_dir, "exact_energy_efficiency")
+
+
+def exact_temp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly temperature from the states of several inserts, to the last bit."""
+    return _exact(spark, sf_dir, "exact_monthly_temp")
+
+
+def _exact(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    table, source = _by_name(EXACT_TABLES, name), lineitem(spark, sf_dir)
+    database = _stage_database(spark, name)
+    create_exact(spark, database)
+    as_of = _end_of(table, shipment_readings(source))
+    for batch_id, part in enumerate(_parts(source)):
+        inputs = table.summary.select_inputs(shipment_readings(part), as_of)
+        write_states(inputs, table, database, RUN, batch_id)
+    return table.read(spark, database)
+
+
+def temp_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Temperature of the three months before each of three moments, from states by day."""
+    (table,) = DAILY_TABLES
+    source = lineitem(spark, sf_dir)
+    database = _stage_database(spark, "temp_trailing")
+    name, checkpoint = f"{database}.{READINGS}", new_staging_path(spark, "checkpoint")
+    create_readings(spark, name)
+    create_daily(spark, database)
+    for part in _parts(source):
+        append_readings(shipment_readings(part), name)
+        catch_up(stream_table(spark, name), DAILY_TABLES, database, checkpoint, RUN)
+    readings = read_table(spark, name)
+    end = datetime.fromisoformat(fixed(latest(readings)))
+    found = []
+    for back in TRAILING:
+        moment = F.lit(end - back).cast("timestamp")
+        trailing = trailing_temperature(readings, table, database, moment)
+        found.append(trailing.withColumn("as_of", moment))
+    return reduce(DataFrame.unionByName, found)
+
+
 # Flows
 
 
@@ -332,6 +438,24 @@ def native_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.table(f"{database}.sp_energy_efficiency"))
 
 
+def native_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flow is called twice for the same documents; the first call fails once they are stored."""
+    source = lineitem(spark, sf_dir)
+    database = _stage_database(spark, "native_repeated")
+    arguments = shipment_documents(source), database, new_staging_path(spark, "checkpoint"), RUN
+    stop = F.raise_error(F.lit("stopped after the append")).cast("timestamp")
+    with suppress(PySparkException):
+        flows.run_native(spark, *arguments, as_of=stop, insert_id="shipments")
+    as_of = fixed(latest(shipment_readings(source)))
+    flows.run_native(spark, *arguments, as_of=as_of, insert_id="shipments")
+    stored = read_table(spark, f"{database}.{READINGS}").groupBy(
+        F.col("machine_id").cast("string").alias("machine_id"),
+        F.col(MONTH_PARTITION).alias("month"),
+    )
+    counted = stored.agg(F.count("*").alias("readings"))
+    return counted.join(spark.table(f"{database}.sp_anomaly_summary"), ["machine_id", "month"])
+
+
 def float_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The float readings of one insert as states, as they go along with a JDBC write."""
     database = _stage_database(spark, "float_states")
@@ -430,9 +554,15 @@ QUERIES: dict[str, Query] = {
     "state_temp": _state("agg_monthly_temp"),
     "state_energy_folded": state_energy_folded,
     "state_anomaly_two_runs": state_anomaly_two_runs,
+    "views_one_scan": views_one_scan,
+    "state_anomaly_compacted": state_anomaly_compacted,
+    "exact_energy": exact_energy,
+    "exact_temp": exact_temp,
+    "temp_trailing": temp_trailing,
     "ingest_run": ingest_run,
     "native_run": native_run,
     "native_energy": native_energy,
+    "native_repeated": native_repeated,
     "float_states": float_states,
 }
 

@@ -105,6 +105,29 @@ def _temperature(cte: str, source: str, value: str = "temperature") -> str:
     GROUP BY ALL"""
 
 
+def _exact(value: str) -> str:
+    """The average of whole multiples of 2^-80, rounded as the states' places are."""
+    units = f"sum(cast(trunc({value} * power(2::DOUBLE, 80)) AS HUGEINT))"
+    high, low = f"({units} >> 48)", f"({units} & 281474976710655::HUGEINT)"
+    return (
+        f"(cast(cast({high} AS VARCHAR) AS DOUBLE) * power(2::DOUBLE, -32) "
+        f"+ cast({low} AS DOUBLE) * power(2::DOUBLE, -80)) / count({value})"
+    )
+
+
+_TRAILING = " UNION ALL ".join(
+    f"""SELECT end_at - {back} AS as_of, month_partition AS month,
+        cast(machine_id AS VARCHAR) AS machine_id, {_exact("temperature")} AS avg_temperature
+    FROM l, (SELECT max("timestamp") AS end_at FROM l)
+    WHERE "timestamp" >= end_at - {back} - INTERVAL 3 MONTH
+    GROUP BY ALL"""
+    for back in (
+        "INTERVAL 0 DAY",
+        "(INTERVAL 37 DAY + INTERVAL 7 HOUR)",
+        "(INTERVAL 800 DAY + INTERVAL 1 MINUTE)",
+    )
+)
+
 # The spoiled rows, with what is to become of each text written out.
 _SPOILED_CSV = f"""{_E}
     SELECT
@@ -220,5 +243,38 @@ ORACLES: dict[str, str] = {
     "state_anomaly_two_runs": _anomalies(_L, "l", "DOUBLE"),
     "native_run": _daily(_L, "l"),
     "native_energy": _energy(_E, "e"),
+    "native_repeated": f"""{_L}
+        SELECT cast(machine_id AS VARCHAR) AS machine_id, month_partition AS month,
+            cast(count(*) FILTER (WHERE anomaly_flag) AS INTEGER) AS anomaly_count,
+            count(*) AS readings
+        FROM l GROUP BY ALL""",
+    "views_one_scan": f"""{_L},
+        recent AS ({_temperature("", "l").replace("round(", "(").replace(" + 1e-9, 6)", ")")})
+        SELECT machine_id, max_energy, avg_energy, avg_machine_status,
+            anomalies, months, round(avg_of_months + 1e-9, 6) AS avg_of_months,
+            (SELECT count(*) FROM l) AS rows_read
+        FROM ({_energy("", "l")}) e
+        JOIN (
+            SELECT cast(machine_id AS VARCHAR) AS machine_id,
+                cast(count(*) FILTER (WHERE anomaly_flag) AS BIGINT) AS anomalies
+            FROM l GROUP BY ALL
+        ) USING (machine_id)
+        LEFT JOIN (
+            SELECT machine_id, count(*) AS months, avg(avg_temperature) AS avg_of_months
+            FROM recent GROUP BY ALL
+        ) USING (machine_id)""",
+    "state_anomaly_compacted": _anomalies(_L, "l", "DOUBLE"),
+    "exact_energy": f"""{_L}
+        SELECT cast(machine_id AS VARCHAR) AS machine_id, max(energy_consumption) AS max_energy,
+            {_exact("energy_consumption")} AS avg_energy,
+            {_exact("cast(machine_status AS DOUBLE)")} AS avg_machine_status
+        FROM l GROUP BY ALL""",
+    "exact_temp": f"""{_L}
+        SELECT month_partition AS month, cast(machine_id AS VARCHAR) AS machine_id,
+            {_exact("temperature")} AS avg_temperature
+        FROM l
+        WHERE "timestamp" >= (SELECT max("timestamp") FROM l) - INTERVAL 3 MONTH
+        GROUP BY ALL""",
+    "temp_trailing": f"{_L} {_TRAILING}",
     "float_states": _temperature(_L, "l", "cast(cast(temperature AS FLOAT) AS DOUBLE)"),
 }

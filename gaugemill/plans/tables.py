@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from gaugemill.operators.states import (
     ANOMALIES,
     ANOMALIES_AS_DOUBLE,
+    DAILY_TEMPERATURE,
     ENERGY,
+    EXACT_ENERGY,
+    EXACT_TEMPERATURE,
     TEMPERATURE,
     Summary,
 )
@@ -61,7 +64,7 @@ class SummaryTable:
     @property
     def order(self) -> list[str]:
         """How rows are sorted within a file."""
-        return [key for key in ("month", "machine_id") if key in self.summary.keys]
+        return [key for key in ("month", "day", "machine_id") if key in self.summary.keys]
 
     def read(self, spark: SparkSession, database: str) -> DataFrame:
         """Final values, merged from the states of all inserts."""
@@ -93,6 +96,11 @@ STATE_TABLES = (
     SummaryTable("agg_energy_efficiency", ENERGY),
     SummaryTable("agg_monthly_temp", TEMPERATURE, by_month=True),
 )
+EXACT_TABLES = (
+    SummaryTable("exact_energy_efficiency", EXACT_ENERGY),
+    SummaryTable("exact_monthly_temp", EXACT_TEMPERATURE, by_month=True),
+)
+DAILY_TABLES = (SummaryTable("agg_daily_temp", DAILY_TEMPERATURE, by_month=True),)
 
 
 def quoted_name(name: str) -> str:
@@ -149,6 +157,16 @@ def create_states(spark: SparkSession, database: str, location: str | None = Non
     _create_all(spark, database, STATE_TABLES, location)
 
 
+def create_exact(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """The summaries whose states don't depend on the order of inserts."""
+    _create_all(spark, database, EXACT_TABLES, location)
+
+
+def create_daily(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """The states by day, for trailing ranges."""
+    _create_all(spark, database, DAILY_TABLES, location)
+
+
 def _at(location: str | None, name: str) -> str:
     return " LOCATION " + quoted(f"{location}/{name}") if location else ""
 
