@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugemill.functions.labels import FAILURE_CODES, failure_code, label, label_timestamp
@@ -19,18 +19,18 @@ from gaugemill.schemas import CSV_COLUMNS, DOUBLE_COLUMNS, INT_COLUMNS
 
 def type_readings(rows: DataFrame) -> DataFrame:
     """All-text rows to typed readings, in one projection."""
-
-    def typed(name: str):
-        column = F.col(name)
-        if name == "timestamp":
-            return parse_timestamp(column).alias(name)
-        if name in INT_COLUMNS:
-            return text_to_int(column).alias(name)
-        if name in DOUBLE_COLUMNS:
-            return column.try_cast("double").alias(name)
-        return column
-
-    return rows.select(*(typed(name) for name in CSV_COLUMNS))
+    return rows.select(*(typed_value(name, F.col(name)).alias(name) for name in CSV_COLUMNS))
+
+
+def typed_value(name: str, text: Column) -> Column:
+    """The text of a column as its value."""
+    if name == "timestamp":
+        return parse_timestamp(text)
+    if name in INT_COLUMNS:
+        return text_to_int(text)
+    if name in DOUBLE_COLUMNS:
+        return text.try_cast("double")
+    return text
 
 
 def nest_readings(typed: DataFrame, codes: Mapping[str, int] = FAILURE_CODES) -> DataFrame:

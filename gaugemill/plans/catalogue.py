@@ -19,8 +19,10 @@ from gaugemill.functions.timing import days_before, fixed, latest, year_month
 from gaugemill.operators import reports, summaries
 from gaugemill.operators.clean import clean_readings
 from gaugemill.operators.ingest import flatten_documents, nest_readings, type_readings
+from gaugemill.operators.quarantine import sort_out
 from gaugemill.plans import flows
 from gaugemill.plans.tables import (
+    BY_MACHINE,
     DAILY_TABLES,
     EXACT_TABLES,
     READINGS,
@@ -50,11 +52,13 @@ from gaugemill.sources.sample_tables import (
     events,
     lineitem,
     raw_documents,
+    redesigned_documents,
     shipment_documents,
     shipment_readings,
     spoiled_csv_rows,
     spoiled_documents,
 )
+from gaugemill.sources.variants import from_variants, read_variants
 from gaugemill.sources.writers import append_documents, append_readings
 from gaugemill.streaming.compaction import compact
 from gaugemill.streaming.one_scan import catch_up_together
@@ -66,6 +70,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 RUN = "first"
 # Shares of the rows, out of 16, that each insert brings.
 INSERTS = (9, 2, 5)
+MACHINE_BUCKETS = 64
 # How long before the newest reading trailing ranges end.
 TRAILING = (timedelta(0), timedelta(days=37, hours=7), timedelta(days=800, minutes=1))
 
@@ -130,6 +135,35 @@ def document_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_readings(read_documents(spark, _stage_documents(spark, sf_dir)))
 
 
+def document_scan_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of an old and a new layout side by side, read once as variants."""
+    path = new_staging_path(spark, "documents")
+    documents = raw_documents(events(spark, sf_dir))
+    is_old = F.pmod(F.xxhash64("_id"), F.lit(2)) == 0
+    append_documents(documents.where(is_old), path)
+    append_documents(redesigned_documents(documents.where(~is_old)), path)
+    return clean_readings(from_variants(read_variants(spark, path)))
+
+
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that typing rejects, why, and how many rows there were of each kind."""
+    path = new_staging_path(spark, "csv")
+    rows = spoiled_csv_rows(events(spark, sf_dir))
+    rows.write.mode("append").option("header", True).csv(path)
+    found = sort_out(spark, path, f"{new_staging_path(spark, 'sorted')}/rows")
+    reason = F.transform("reasons", lambda x: F.concat(x["column"], F.lit("="), x["text"]))
+    return found.rejected.select(
+        F.concat_ws("; ", reason).alias("reasons"),
+        F.col("pressure").try_cast("double").alias("pressure"),
+        "failure_type",
+        F.lit(found.typed.count()).cast("long").alias("typed_stored"),
+        *(
+            F.lit(found.totals[name]).cast("long").alias(f"{name}_seen")
+            for name in ("rows", "typed", "rejected", "timestamp", "machine_id")
+        ),
+    )
+
+
 def clean_double(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_readings(raw_documents(events(spark, sf_dir)))
 
@@ -167,6 +201,17 @@ def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def table_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily averages of one machine, from a table whose files lie by machine and time."""
+    table = f"{_stage_database(spark, 'table_machine')}.{READINGS}"
+    create_readings(spark, table, options=BY_MACHINE)
+    readings = shipment_readings(lineitem(spark, sf_dir))
+    append_readings(readings, table, machine_buckets=MACHINE_BUCKETS)
+    stored = read_table(spark, table)
+    as_of = fixed(latest(stored, partitioned=True))
+    return rounded(reports.daily_averages(stored, as_of=as_of))
+
+
 def table_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings over many months in the 32-bit table, counted by partition."""
     table = f"{_stage_database(spark, 'table_months')}.{READINGS}"
@@ -531,12 +576,15 @@ QUERIES: dict[str, Query] = {
     "nest_readings": nested_readings,
     "document_scan": document_scan,
     "document_scan_inferred": document_scan_inferred,
+    "document_scan_drift": document_scan_drift,
+    "csv_quarantine": csv_quarantine,
     "clean_double": clean_double,
     "clean_float": clean_float,
     "clean_double_dirty": clean_double_dirty,
     "clean_float_dirty": clean_float_dirty,
     "table_scan": table_scan,
     "table_dropped_nulls": table_dropped_nulls,
+    "table_machine": table_machine,
     "table_months": table_months,
     "daily_averages": daily_averages,
     "daily_averages_shipments": daily_averages_shipments,

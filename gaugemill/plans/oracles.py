@@ -213,6 +213,31 @@ ORACLES: dict[str, str] = {
         FROM e""",
     "document_scan": _cleaned(),
     "document_scan_inferred": _cleaned(),
+    "document_scan_drift": _cleaned(),
+    "table_machine": _daily(_L, "l"),
+    "csv_quarantine": f"""{_E},
+        judged AS (
+            SELECT pressure, event_id % 8 AS r,
+                CASE event_id % 8 WHEN 0 THEN NULL WHEN 1 THEN 'normal' WHEN 2 THEN 'Criticality'
+                    ELSE failure_type END AS failure_type,
+                CASE event_id % 8
+                    WHEN 0 THEN 'machine_status=1e3'
+                    WHEN 1 THEN 'timestamp=bad'
+                    WHEN 3 THEN 'timestamp=2024-1-2 03:04'
+                    WHEN 4 THEN 'timestamp=2024-13-01 00:00:00; machine_id=abc; '
+                        || 'temperature=abc; machine_status=0x1'
+                    WHEN 5 THEN 'machine_id=99999999999'
+                END AS reasons
+            FROM e JOIN events ON _id = cast(event_id AS VARCHAR)
+        )
+        SELECT reasons, pressure, failure_type,
+            (SELECT count(*) FROM judged WHERE reasons IS NULL) AS typed_stored,
+            (SELECT count(*) FROM judged) AS rows_seen,
+            (SELECT count(*) FROM judged WHERE reasons IS NULL) AS typed_seen,
+            (SELECT count(*) FROM judged WHERE reasons IS NOT NULL) AS rejected_seen,
+            (SELECT count(*) FROM judged WHERE r IN (1, 3, 4)) AS timestamp_seen,
+            (SELECT count(*) FROM judged WHERE r IN (4, 5)) AS machine_id_seen
+        FROM judged WHERE reasons IS NOT NULL""",
     "clean_double": _cleaned(),
     "clean_float": _cleaned("FLOAT"),
     "table_scan": _cleaned(extra=("_id", "strftime(month_partition, '%Y%m') AS yyyymm")),

@@ -24,6 +24,8 @@ from gaugemill.sources.inserts import INSERT_ID, quoted
 
 READINGS = "sensor_data"
 READINGS_JDBC = "sensor_data_jdbc"
+# For tables whose files lie by machine (``append_readings`` with ``machine_buckets``).
+BY_MACHINE = {"parquet.bloom.filter.enabled#machine_id": "true"}
 
 # Every insert leaves its states in a partition of its own, so that repeating it replaces
 # them. See ``streaming.views``.
@@ -127,26 +129,31 @@ def create_readings(
     properties: Mapping[str, str] | None = None,
     location: str | None = None,
     by_insert: bool = False,
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """The readings table, partitioned by month; ``properties`` are the provider's own.
 
     With ``by_insert`` the months are parts of inserts, which can be repeated
-    (``sources.writers.append_insert``); their ``insert_id`` is one more column.
+    (``sources.writers.append_insert``); their ``insert_id`` is one more column. ``options`` are
+    for the provider's files, such as ``BY_MACHINE``.
     """
     columns = ddl(reading_table(float_type)) + (f", {INSERT_ID} STRING" if by_insert else "")
     months = f"{INSERT_ID}, {MONTH_PARTITION}" if by_insert else MONTH_PARTITION
-    extra = ", ".join(
-        f"{quoted(key)} = {quoted(value)}" for key, value in (properties or {}).items()
-    )
     statements = {
         table: f"CREATE TABLE IF NOT EXISTS {quoted_name(table)} ({columns}) "
-        f"USING {provider} PARTITIONED BY ({months})"
+        f"USING {provider} "
+        + (f"OPTIONS ({_pairs(options)}) " if options else "")
+        + f"PARTITIONED BY ({months})"
         + _at(location, table.split(".")[-1])
-        + (f" TBLPROPERTIES ({extra})" if extra else "")
+        + (f" TBLPROPERTIES ({_pairs(properties)})" if properties else "")
     }
     _run_all(spark, statements | _found_partitions(spark, [table], location))
 
 
+def _pairs(settings: Mapping[str, str]) -> str:
+    return ", ".join(f"{quoted(key)} = {quoted(value)}" for key, value in settings.items())
+
+
 def create_summaries(spark: SparkSession, database: str, location: str | None = None) -> None:
     """The summaries with final values."""
     _create_all(spark, database, SUMMARY_TABLES, location)

@@ -170,6 +170,21 @@ def raw_documents(source: DataFrame, **others: Column) -> DataFrame:
     )
 
 
+def redesigned_documents(documents: DataFrame) -> DataFrame:
+    """``raw_documents`` in another layout: flat measurements, other names, numbers as text."""
+    kept = [name for name in documents.columns if name not in ("readings", "life_remaining")]
+    return documents.select(
+        *kept,
+        F.col("readings.temperature").cast("string").alias("temperature"),
+        "readings.vibration",
+        "readings.humidity",
+        "readings.pressure",
+        F.col("readings.energy_use").alias("energy_consumption"),
+        F.col("life_remaining").alias("predicted_remaining_life"),
+        F.lit("2").alias("layout"),
+    )
+
+
 def shipment_documents(source: DataFrame) -> DataFrame:
     """Line items as documents; cleaned, they equal ``shipment_readings``."""
     values = {

@@ -45,7 +45,8 @@ def append_table(
     mode: str = "append",
     *,
     partition_by: Sequence[str] = (),
-    sort_by: Sequence[str] = (),
+    gather_by: Sequence[Column] = (),
+    sort_by: Sequence[str | Column] = (),
     not_null: Sequence[str] = (),
     on_null: str = "raise",
     gather: bool = True,
@@ -58,11 +59,15 @@ def append_table(
     lets adaptive execution split a partition value that holds much of the data over many
     tasks, where a plain repartition would put it into one. Input that comes ordered by
     partition, such as a time-ordered feed, can do without that shuffle (``gather=False``).
+    ``gather_by`` gathers rows within a partition, too.
     ``fmt`` names the table's provider where it is not the session's default.
     """
     frame = require_values(frame, not_null, on_null)
     if partition_by and gather:
-        frame = frame.hint("rebalance", *(F.col(name) for name in partition_by))
+        # The hint takes columns only.
+        within = {f"__gather_{i}": column for i, column in enumerate(gather_by)}
+        names = (F.col(name) for name in (*partition_by, *within))
+        frame = frame.withColumns(within).hint("rebalance", *names).drop(*within)
     if sort_by:
         frame = frame.sortWithinPartitions(*partition_by, *sort_by)
     writer = frame.write.options(**(options or {})).mode(mode)
@@ -74,15 +79,33 @@ def append_table(
 
 
 def append_readings(
-    readings: DataFrame, table: str, mode: str = "append", on_null: str = "raise", **kwargs
+    readings: DataFrame,
+    table: str,
+    mode: str = "append",
+    on_null: str = "raise",
+    machine_buckets: int | None = None,
+    **kwargs,
 ) -> None:
-    """Write cleaned readings: partitioned by month, sorted by time within a partition."""
+    """Write cleaned readings: partitioned by month, sorted by time within a partition.
+
+    With ``machine_buckets`` the machines of a month are dealt to so many buckets, which lie one
+    after the other, each sorted by time. A row group then holds the machines of few buckets,
+    which its dictionary, or else a Bloom filter (``tables.BY_MACHINE``), tells to readers: those
+    of one machine skip the others, and those of a time range still skip most of each bucket. A
+    machine with much of the data is dealt to many tasks, as a month is.
+    """
+    order: list[str | Column] = ["timestamp"]
+    gather_by: list[Column] = []
+    if machine_buckets is not None:
+        bucket = F.pmod(F.xxhash64("machine_id"), F.lit(machine_buckets))
+        order, gather_by = [bucket, *order], [bucket]
     append_table(
         readings,
         table,
         mode,
         partition_by=[MONTH_PARTITION],
-        sort_by=["timestamp"],
+        gather_by=gather_by,
+        sort_by=order,
         not_null=REQUIRED_COLUMNS,
         on_null=on_null,
         **kwargs,
