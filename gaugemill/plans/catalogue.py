@@ -60,6 +60,12 @@ from gaugemill.sources.sample_tables import (
 )
 from gaugemill.sources.variants import from_variants, read_variants
 from gaugemill.sources.writers import append_documents, append_readings
+from gaugemill.streaming.changes import (
+    changes_name,
+    create_changes,
+    maintain_with_changes,
+    replayed,
+)
 from gaugemill.streaming.compaction import compact
 from gaugemill.streaming.one_scan import catch_up_together
 from gaugemill.streaming.panes import trailing_temperature
@@ -420,6 +426,29 @@ def state_anomaly_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read(spark, database)
 
 
+def state_anomaly_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anomalies as a second stream has put them together from the changes of each batch."""
+    table = _by_name(STATE_TABLES, "agg_monthly_anomaly_counts")
+    source, database = lineitem(spark, sf_dir), _stage_database(spark, "replayed")
+    create_states(spark, database)
+    create_changes(spark, table, database)
+    path, copy = new_staging_path(spark, "lineitem"), new_staging_path(spark, "copy")
+    stream = shipment_readings(stream_documents(spark, path, source.schema, "parquet"))
+    first, second = new_staging_path(spark, "checkpoint"), new_staging_path(spark, "checkpoint")
+    for part in _parts(source):
+        part.write.mode("append").parquet(path)
+        maintain_with_changes(stream, table, database, first, RUN).awaitTermination()
+        (
+            stream_table(spark, changes_name(table, database))
+            .writeStream.format("parquet")
+            .option("checkpointLocation", second)
+            .trigger(availableNow=True)
+            .start(f"{copy}/changes")
+            .awaitTermination()
+        )
+    return replayed(read_documents(spark, f"{copy}/changes", "parquet"), table)
+
+
 def exact_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Energy from the states of several inserts, to the last bit."""
     return _exact(spark, sf_dir, "exact_energy_efficiency")
@@ -604,6 +633,7 @@ QUERIES: dict[str, Query] = {
     "state_anomaly_two_runs": state_anomaly_two_runs,
     "views_one_scan": views_one_scan,
     "state_anomaly_compacted": state_anomaly_compacted,
+    "state_anomaly_replayed": state_anomaly_replayed,
     "exact_energy": exact_energy,
     "exact_temp": exact_temp,
     "temp_trailing": temp_trailing,

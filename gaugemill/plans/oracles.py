@@ -289,6 +289,7 @@ ORACLES: dict[str, str] = {
             FROM recent GROUP BY ALL
         ) USING (machine_id)""",
     "state_anomaly_compacted": _anomalies(_L, "l", "DOUBLE"),
+    "state_anomaly_replayed": _anomalies(_L, "l", "DOUBLE"),
     "exact_energy": f"""{_L}
         SELECT cast(machine_id AS VARCHAR) AS machine_id, max(energy_consumption) AS max_energy,
             {_exact("energy_consumption")} AS avg_energy,

@@ -38,11 +38,16 @@ def store_insert(
 ) -> None:
     """As ``write_states``, for states that are known already."""
     spark = states.sparkSession
-    stream_id = spark.sparkContext.getLocalProperty(_STREAM_ID) or NO_STREAM
+    stream_id = stream_of(spark)
     _refuse_foreign_run(spark, table, database, run_id, stream_id)
     _store(states, table, database, (run_id, stream_id, batch_id, batch_id + 1))
 
 
+def stream_of(spark: SparkSession) -> str:
+    """The identity of the stream that runs in this thread."""
+    return spark.sparkContext.getLocalProperty(_STREAM_ID) or NO_STREAM
+
+
 def inserts_of(
     spark: SparkSession, table: SummaryTable, database: str, run_id: str | None = None
 ) -> set[tuple[str, str, int, int]]:
