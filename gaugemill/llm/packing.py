@@ -1,9 +1,10 @@
 """Best-fit packing of documents into training sequences, with conflicts.
 
 A bin holds ``CAPACITY`` words. Two documents conflict if they come from one source or are
-copies of each other, or near copies; they never share a bin. Documents are spread evenly over groups of bounded
-size by a hash of their row, whatever their source, and each group is packed by itself, longest
-first. Within a group, bins are kept by residual space. Each residual has a bitmap of its bins,
+copies of each other, or near copies; they never share a bin. Documents are spread evenly over
+groups of bounded size by a hash of id, text and, for equal rows, their number, whatever their
+source, and each group is packed by itself, longest first: the same rows give the same bins in
+any layout. Within a group, bins are kept by residual space. Each residual has a bitmap of its bins,
 and so has each source and each duplicate cluster: the bins at a residual that can take a
 document are a bitwise difference. The search begins at the smallest residual that suffices and
 goes on to its successors until a bin is compatible, which is then the tightest one; if none is,
@@ -12,9 +13,12 @@ a bin is opened.
 A document of more than ``CAPACITY`` words is cut: full pieces fill bins of their own, the rest
 is packed like a document. NULL text, and text without words, takes no space and gets no bin:
 its row has a NULL bin. A NULL source or cluster conflicts with none. Repeated rows are copies
-and are packed each, in different bins. An empty table gives an empty result. Only ``doc_id``, ``text``,
-``source`` and the cluster column are read. Without a cluster column, near copies are no
-conflict, but texts that are equal but for case always are.
+and are packed each, in different bins. An empty table gives an empty result. Only ``doc_id``,
+``text`` and ``source`` are read. ``pack`` keeps texts apart that are equal but for case.
+``pack_apart`` keeps near copies apart, too: the bands of ``probminhash`` are clusters, 32 of a
+document, and documents that share one never share a bin. Bands cover all near copies, but for
+one pair in 20 million at similarity 0.8, and some texts that are less alike. No pairs are made
+and nothing is compared.
 """
 
 from __future__ import annotations
@@ -24,10 +28,12 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugemill.llm.probminhash import near_duplicate_keys
+from gaugemill.llm.probminhash import BANDS, ROWS, band_hashes, prob_min_hash, shingle_counts
+from gaugemill.llm.words import slices, words_of
 
 CAPACITY = 1024
 GROUP = 4096  # documents packed together, about
@@ -53,7 +59,7 @@ class Bins:
     def place(self, size: int, source: object, *clusters: object) -> int | None:
         """Put a document into the tightest compatible bin, if there is one."""
         taken = self.of_source.get(source, 0)
-        for cluster in enumerate(clusters):
+        for cluster in clusters:
             taken |= self.of_cluster.get(cluster, 0)
         later = self.levels >> size << size
         while later:
@@ -86,9 +92,9 @@ class Bins:
     def _mark(self, chosen: int, source: object, *clusters: object) -> None:
         if source is not None:
             self.of_source[source] |= chosen
-        for kind, cluster in enumerate(clusters):
+        for cluster in clusters:
             if cluster is not None:
-                self.of_cluster[kind, cluster] |= chosen
+                self.of_cluster[cluster] |= chosen
 
 
 def best_fit(
@@ -108,40 +114,46 @@ def pack(
     staging: str,
     capacity: int = CAPACITY,
     group: int = GROUP,
-    cluster: Column | None = None,
+    near_copies: bool = False,
 ) -> DataFrame:
     """A row per piece: its document, where it begins and how long it is, its bin and its place.
 
-    ``cluster`` names the cluster of near duplicates; texts that are equal but for the case of
-    letters are copies besides. Sizes are written to ``staging``, so that texts are read once.
+    With ``near_copies`` these are a conflict, too. Sizes and clusters are written to
+    ``staging``, so that texts are read once.
     """
-    if cluster is None:
-        cluster = F.lit(None)
     spark = docs.sparkSession
-    words = F.regexp_count("text", F.lit(WORD)).cast("long")
-    # Ids and clusters as text: numbers that can be NULL would become floats in pandas.
-    docs.select(
+    # Ids as text: numbers that can be NULL would become floats in pandas.
+    own = docs.select(
         F.col("doc_id").cast("string").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
-        cluster.cast("string").alias("cluster"),
         F.xxhash64(F.lower("text")).cast("string").alias("copies"),
-        words.alias("words"),
-        # Equal rows are told apart, so that copies of one document spread over the groups.
-        F.xxhash64("doc_id", F.monotonically_increasing_id()).alias("spread"),
-    ).write.parquet(staging)
-    sizes = spark.read.parquet(staging)
-    groups = -(-sizes.count() // group) or 1
-    sizes = sizes.withColumns(
-        {
-            "full": F.coalesce(F.floor((F.col("words") - 1) / capacity), F.lit(0)),
-            "group": F.pmod("spread", F.lit(groups)),
-        }
+        F.xxhash64("doc_id", "text").alias("key"),
+        F.regexp_count("text", F.lit(WORD)).cast("long").alias("words"),
+        F.col("text") if near_copies else F.lit(None).cast("array<long>").alias("bands"),
     )
+    if near_copies:
+        own = own.mapInArrow(_banded, _SIZES)
+    own.write.parquet(f"{staging}/rows")
+    rows = spark.read.parquet(f"{staging}/rows")
+    groups = -(-rows.count() // group) or 1
+    # Equal rows are numbered, so that copies of one document spread over the groups.
+    spread = F.xxhash64("key", "source", "number")
+    (
+        rows.groupBy("doc_id", "source", "copies", "key", "words")
+        .agg(F.first("bands").alias("bands"), F.count("*").alias("n"))
+        .withColumn("number", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+        .withColumn("spread", spread)
+        .withColumn("full", F.coalesce(F.floor((F.col("words") - 1) / capacity), F.lit(0)))
+        .withColumn("group", F.pmod("spread", F.lit(groups)))
+        .drop("key", "n", "number")
+        .write.parquet(f"{staging}/sizes")
+    )
+    sizes = spark.read.parquet(f"{staging}/sizes")
     rests = sizes.where("words > 0").withColumn(
         "rest", F.col("words") - F.col("full") * capacity
     )
     packed = (
-        rests.select("group", "spread", "doc_id", "source", "cluster", "copies", "full", "rest")
+        rests.select("group", "spread", "doc_id", "source", "copies", "bands", "full", "rest")
         .groupBy("group")
         .applyInPandas(_pack_group(capacity), PACKED)
     )
@@ -174,11 +186,39 @@ def pack(
 
 
 def pack_apart(docs: DataFrame, new_path: Callable[[], str], **sizes: int) -> DataFrame:
-    """``pack`` with the classes of near-duplicates as clusters."""
-    key, classes = near_duplicate_keys(docs, new_path)
-    named = docs.select("doc_id", "text", "source", key.alias("row_key"))
-    named = named.join(classes, "row_key", "left")
-    return pack(named, new_path(), cluster=F.hex("class_key"), **sizes)
+    """``pack`` with near copies in different bins."""
+    return pack(docs, new_path(), near_copies=True, **sizes)
+
+
+_SIZES = (
+    "doc_id string, source string, copies string, key long, words long, bands array<long>"
+)
+
+
+def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replace the text by its bands; none where there are no words."""
+    for batch in batches:
+        for row, end, data, offsets in slices(batch.column(5)):
+            words = words_of(data, offsets)
+            hashes, text, counts = shingle_counts(words)
+            bands = band_hashes(prob_min_hash(hashes, text, counts, end - row, BANDS * ROWS))
+            found = words.counts > 0
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.append(0, np.cumsum(found) * BANDS), pa.int32()),
+                pa.array(bands.ravel()[np.repeat(found, BANDS)]),
+            )
+            yield pa.RecordBatch.from_arrays(
+                [*(column.slice(row, end - row) for column in batch.columns[:5]), lists],
+                names=[*batch.schema.names[:5], "bands"],
+            )
+
+
+def _shared(lists: Iterable) -> list[tuple]:
+    """Of each document the bands that another one has, too; others are no conflict here."""
+    arrays = [np.zeros(0, np.int64) if x is None else np.asarray(x, np.int64) for x in lists]
+    every, counts = np.unique(np.concatenate(arrays), return_counts=True)
+    several = every[counts > 1]
+    return [tuple(x[np.isin(x, several)].tolist()) for x in arrays]
 
 
 def _pack_group(capacity: int):
@@ -186,11 +226,11 @@ def _pack_group(capacity: int):
         rows = rows.sort_values(
             ["rest", "doc_id", "spread"], ascending=[False, True, True], kind="stable"
         )
-        documents = zip(
-            rows["rest"].tolist(),
-            [None if pd.isna(source) else source for source in rows["source"]],
-            [None if pd.isna(cluster) else cluster for cluster in rows["cluster"]],
-            rows["copies"],
+        documents = (
+            (size, None if pd.isna(source) else source, copies, *bands)
+            for size, source, copies, bands in zip(
+                rows["rest"].tolist(), rows["source"], rows["copies"], _shared(rows["bands"])
+            )
         )
         bins = np.fromiter((found for found, _ in best_fit(documents, capacity)), np.int64)
         sizes = rows["rest"].to_numpy(np.int64)

@@ -125,3 +125,38 @@ def test_repeated_near_copies_and_empty_table(spark, tmp_path):
     prose = [row.bin for row in found if row.doc_id in (1, 9) or row.doc_id is None and row.bin]
     assert len(set(prose)) == len(prose) == 4
     assert pack_apart(make_documents(spark, []), paths(tmp_path / "none")).count() == 0
+
+
+def test_any_layout_gives_the_same_bins(spark, tmp_path):
+    chance = random.Random(9)
+    pairs = [(n % 40, " ".join(["w"] * chance.randrange(1, 90))) for n in range(120)]
+    pairs += [(7, "the same row")] * 30
+    docs = make_documents(spark, pairs, ["a", "b", None, "c"])
+    found = [
+        sorted((tuple(row) for row in pack_apart(each, paths(tmp_path / str(n)), capacity=64, group=30).collect()), key=repr)
+        for n, each in enumerate((docs, docs, docs.repartition(7), docs.orderBy("text").coalesce(1)))
+    ]
+    assert found[0] == found[1] == found[2] == found[3]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_no_near_copies_share_a_bin(spark, tmp_path, seed):
+    """Edited copies of edited copies, by a plain similarity of all pairs."""
+    chance = random.Random(seed)
+    texts = [[f"w{chance.randrange(500)}" for _ in range(60)] for _ in range(6)]
+    for _ in range(90):
+        text = list(chance.choice(texts))
+        text[chance.randrange(60)] = f"e{chance.randrange(50)}"
+        texts.append(text)
+    pairs = [(i, " ".join(text)) for i, text in enumerate(texts)]
+    found = pack_apart(make_documents(spark, pairs, [None]), paths(tmp_path)).collect()
+    bin_of = {row.doc_id: row.bin for row in found}
+    shingles = [{tuple(t[i : i + 5]) for i in range(56)} for t in texts]
+    links = [
+        (i, j)
+        for i in range(len(texts))
+        for j in range(i)
+        if len(shingles[i] & shingles[j]) >= 0.8 * len(shingles[i] | shingles[j])
+    ]
+    assert len(links) > 50
+    assert not [pair for pair in links if bin_of[pair[0]] == bin_of[pair[1]]]
