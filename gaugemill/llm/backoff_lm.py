@@ -49,7 +49,7 @@ _CHUNK = (
     "control binary, data binary"
 )
 _REQUEST = "part int, chunk long, ngrams binary, control binary, data binary"
-_ANSWER = "chunk long, part int, control binary, data binary"
+_ANSWER = "chunk long, part int, control binary, data binary, above binary"
 _SCORE = "doc_id string, n_words long, n_known long, log_score double"
 
 NewPath = Callable[[], str]
@@ -206,18 +206,30 @@ def _answer(rows: pd.DataFrame) -> pd.DataFrame:
     distinct, which = np.unique(np.concatenate(asked), return_inverse=True)
     totals = np.bincount(which, np.concatenate(times), len(distinct)).astype(np.int64)
     answers = np.split(totals[which], np.cumsum([len(ngrams) for ngrams in asked])[:-1])
-    coded = [_coded(np.minimum(answer, _MOST)) for answer in answers]
+    coded = [_coded(answer & _LOWER) for answer in answers]
     return pd.DataFrame(
         {
             "chunk": rows["chunk"],
             "part": rows["part"],
             "control": [control for control, _ in coded],
             "data": [data for _, data in coded],
+            "above": [_above(answer) for answer in answers],
         }
     )
 
 
-_MOST = (1 << 32) - 1
+_LOWER = (1 << 32) - 1
+
+
+def _above(counts: np.ndarray) -> bytes:
+    """What is over 32 bits of each count; nothing if that is so of none."""
+    above = (counts >> 32).astype("<u4")
+    return above.tobytes() if above.any() else b""
+
+
+def _whole(control: bytes, data: bytes, above: bytes, count: int) -> np.ndarray:
+    lower = _decoded(control, data, count).astype(np.int64)
+    return lower + (np.frombuffer(above, "<u4").astype(np.int64) << 32) if above else lower
 
 
 # Scores
@@ -234,9 +246,9 @@ def _score(order: int, parts: int, corpus: int):
             [
                 np.zeros(0, np.int64),
                 *(
-                    _decoded(control, data, int(sizes[part]))
-                    for part, control, data in zip(
-                        answers["part"], answers["control"], answers["data"]
+                    _whole(control, data, above, int(sizes[part]))
+                    for part, control, data, above in zip(
+                        *(answers[name] for name in ("part", "control", "data", "above"))
                     )
                 ),
             ]

@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import SMALL, plan_of
 from llm_support import ODD_PAIRS, make_documents, paths, words
@@ -100,3 +101,26 @@ def test_coded_ngrams_come_back():
         ngrams = np.unique(chance.integers(0, 1 << 64, size, dtype=np.uint64))
         ngrams = np.append(ngrams, np.uint64((1 << 64) - 1))[: len(ngrams) + size % 2]
         assert (backoff_lm._decoded_ngrams(backoff_lm._coded_ngrams(ngrams)) == ngrams).all()
+
+
+def test_counts_beyond_32_bits_are_whole():
+    most = (1 << 32) - 1
+    ngrams = np.array([3, 5, 9], np.uint64)
+    control, data = backoff_lm._coded(np.array([most, 7, most]))
+    request = {
+        "part": 0, "ngrams": backoff_lm._coded_ngrams(ngrams), "control": control, "data": data
+    }
+    few, small = backoff_lm._coded(np.array([1, 2]))
+    other = request | {
+        "ngrams": backoff_lm._coded_ngrams(ngrams[1:]), "control": few, "data": small
+    }
+    rows = pd.DataFrame([request | {"chunk": 0}, request | {"chunk": 1}, other | {"chunk": 2}])
+    answers = backoff_lm._answer(rows)
+    found = [
+        backoff_lm._whole(*row, size).tolist()
+        for row, size in zip(zip(answers["control"], answers["data"], answers["above"]), (3, 3, 2))
+    ]
+    assert found[0] == found[1] == [2 * most, 15, 2 * most + 2]
+    assert found[2] == [15, 2 * most + 2]
+    small = backoff_lm._answer(rows.iloc[2:])
+    assert small["above"].tolist() == [b""]
