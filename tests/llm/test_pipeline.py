@@ -18,7 +18,7 @@ TABLES = ("documents", "pages", "benchmark")
 
 def test_one_query_per_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(entry_point.queries()) == set(all_queries()) | set(QUERIES) | {"pipeline"}
     assert set(ORACLES) <= set(QUERIES)
 
