@@ -7,8 +7,9 @@ one unless the benchmark has more than ``BLOCK_BYTES`` of text.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A-Z lower-cased. NULL and texts without
 words have no windows and are never contaminated. An item without an id is listed as ``null``;
-rows of the same id are one item. Repeated documents are judged one by one. Other columns,
-whatever their names, are neither read nor changed.
+rows of the same id are one item. Repeated documents are judged one by one. Without documents
+the result is empty; without items nothing is contaminated. Other columns, whatever their names,
+are neither read nor changed.
 """
 
 from __future__ import annotations
@@ -23,10 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugemill.llm.suffixes import SuffixArray
-from gaugemill.llm.words import Words, slices, words_of
+from gaugemill.llm.words import Words, blocks_of, same_words, slices, utf8, words_of
 
 WINDOW = 10
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20  # of text; a block's windows take some 18 times as much
 SHARD_WORDS = 1 << 20
 
 MATCH = "item_id string, item_start long, n_words long, doc_id long, doc_start long"
@@ -43,6 +44,8 @@ class Items:
     owners: np.ndarray
     words: Words
     name_of: np.ndarray  # of each text in ``words``
+    data: np.ndarray  # in which the words stand
+    place: np.ndarray  # of a window's first word in ``words``
 
 
 def _items(rows: list, window: int) -> Items:
@@ -50,8 +53,8 @@ def _items(rows: list, window: int) -> Items:
     names = sorted(set(ids))
     place = {name: at for at, name in enumerate(names)}
     name_of = np.array([place[name] for name in ids], np.int64)
-    parts = [words_of(*part[2:]) for part in slices(pa.array([r[1] for r in rows], pa.string()))]
-    words = _joined(parts)
+    texts = pa.array([row[1] for row in rows], pa.large_string())
+    words = _joined([words_of(*part[2:]) for part in slices(texts)], [x[2] for x in slices(texts)])
     padded = np.concatenate([words.hashes, np.zeros(window, np.uint64)])
     sizes = np.minimum(words.counts, window)
     many = np.where(words.counts > 0, words.counts - sizes + 1, 0)
@@ -61,7 +64,7 @@ def _items(rows: list, window: int) -> Items:
     inside = np.arange(window) < sizes[text][:, None]
     values = np.where(inside, padded[np.minimum(at, len(padded) - 1)], np.uint64(0))
     keyed = np.concatenate([values, sizes[text][:, None].astype(np.uint64)], axis=1)
-    windows, which = np.unique(keyed, axis=0, return_inverse=True)
+    windows, place, which = np.unique(keyed, axis=0, return_index=True, return_inverse=True)
     owned = np.unique(np.stack([which.ravel(), name_of[text]], axis=1), axis=0)
     first = np.searchsorted(owned[:, 0], np.arange(len(windows) + 1))
     return Items(
@@ -72,19 +75,23 @@ def _items(rows: list, window: int) -> Items:
         owned[:, 1],
         words,
         name_of,
+        utf8(texts)[0],
+        at[place, 0],
     )
 
 
-def _joined(parts: list[Words]) -> Words:
+def _joined(parts: list[Words], data: list[np.ndarray]) -> Words:
+    """The words of several slices, whose bytes then follow each other."""
     if not parts:
         none = np.zeros(0, np.int64)
         return Words(np.zeros(0, np.uint64), none, none, np.zeros(1, np.int64))
     begins = np.cumsum([0, *(len(part.hashes) for part in parts)])
+    lifts = np.cumsum([0, *(len(part) for part in data)])
     firsts = [part.first[:-1] + begin for part, begin in zip(parts, begins)]
     return Words(
         np.concatenate([part.hashes for part in parts]),
-        np.concatenate([part.starts for part in parts]),
-        np.concatenate([part.ends for part in parts]),
+        np.concatenate([part.starts + lift for part, lift in zip(parts, lifts)]),
+        np.concatenate([part.ends + lift for part, lift in zip(parts, lifts)]),
         np.concatenate([*firsts, begins[-1:]]),
     )
 
@@ -92,12 +99,16 @@ def _joined(parts: list[Words]) -> Words:
 def benchmark_blocks(
     benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
 ) -> Iterator[Items]:
-    """The benchmark's items, so many bytes at a time; one item at least."""
-    items = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
+    """The benchmark's items, about so many bytes at a time; one text at least.
+
+    Repeated rows count once, and rows of one id are dealt by their texts, so that no id makes
+    a block large.
+    """
+    items = benchmark.select("item_id", "text").where(F.col("text").isNotNull()).distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // block_bytes) or 1
-    if blocks > 1:  # by id, so that an item's rows come together
-        items = items.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(blocks)))
+    if blocks > 1:
+        items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
     for block in range(blocks):
         some = items.where(F.col("block") == block) if blocks > 1 else items
         yield _items(some.select("item_id", "text").collect(), window)
@@ -204,7 +215,7 @@ def _judge(shared, window: int):
             texts = batch.column(1)
             for row, end, data, offsets in slices(texts):
                 words = words_of(data, offsets)
-                spans, listed = _found(words, items, window)
+                spans, listed = _found(words, data, items, window)
                 content = [
                     hashlib.blake2b(data[a:b], digest_size=16).digest()
                     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())
@@ -223,10 +234,12 @@ def _judge(shared, window: int):
     return judge
 
 
-def _found(words: Words, items: Items, window: int) -> tuple[pa.Array, pa.Array]:
+def _found(
+    words: Words, data: np.ndarray, items: Items, window: int
+) -> tuple[pa.Array, pa.Array]:
     """The disjoint spans that are hit and the items of each text, as Arrow lists."""
     texts = len(words.counts)
-    hit, pairs = _marks(words, items, window)
+    hit, pairs = _marks(words, data, items, window)
     padded = np.concatenate([[False], hit, [False]])
     edges = np.flatnonzero(padded[1:] != padded[:-1])
     text_of = words.text_of()
@@ -251,8 +264,13 @@ def _found(words: Words, items: Items, window: int) -> tuple[pa.Array, pa.Array]
     return spans, listed
 
 
-def _marks(words: Words, items: Items, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which words are hit, and the sorted pairs of text and item."""
+def _marks(
+    words: Words, data: np.ndarray, items: Items, window: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Which words are hit, and the sorted pairs of text and item.
+
+    Windows are found by hashes of their words; what is found is compared word by word.
+    """
     change = np.zeros(len(words.hashes) + 1, np.int64)
     pairs = [np.zeros((0, 2), np.int64)]
     for shard, texts, begins in _shards(words, window - 1):
@@ -262,6 +280,8 @@ def _marks(words: Words, items: Items, window: int) -> tuple[np.ndarray, np.ndar
             continue
         piece = array.text(position)
         at = words.first[texts[piece]] + begins[piece] + array.at(position)
+        good = _same(words, blocks_of(data), at, items, found)
+        piece, at, found = piece[good], at[good], found[good]
         np.add.at(change, at, 1)
         np.add.at(change, at + items.sizes[found], -1)
         pair = np.unique(np.stack([texts[piece], found], axis=1), axis=0)
@@ -272,6 +292,26 @@ def _marks(words: Words, items: Items, window: int) -> tuple[np.ndarray, np.ndar
     return np.cumsum(change[:-1]) > 0, np.unique(np.concatenate(pairs), axis=0)
 
 
+def _same(
+    words: Words, blocks: np.ndarray, at: np.ndarray, items: Items, found: np.ndarray
+) -> np.ndarray:
+    """Which windows stand word for word at the places where their hashes were found."""
+    sizes = items.sizes[found]
+    hit = np.repeat(np.arange(len(at)), sizes)
+    step = np.arange(len(hit)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    here, there = at[hit] + step, items.place[found][hit] + step
+    lengths = words.ends[here] - words.starts[here]
+    equal = lengths == items.words.ends[there] - items.words.starts[there]
+    equal[equal] = same_words(
+        blocks,
+        words.starts[here[equal]],
+        blocks_of(items.data),
+        items.words.starts[there[equal]],
+        lengths[equal],
+    )
+    return np.bincount(hit, ~equal, len(at)) == 0
+
+
 def decontaminated(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
@@ -289,7 +329,7 @@ def _clean(shared, text: int, window: int):
         items = shared.value
         for batch in batches:
             for row, end, data, offsets in slices(batch.column(text)):
-                _, pairs = _marks(words_of(data, offsets), items, window)
+                _, pairs = _marks(words_of(data, offsets), data, items, window)
                 keep = np.ones(end - row, bool)
                 keep[pairs[:, 0]] = False
                 yield batch.slice(row, end - row).filter(pa.array(keep))

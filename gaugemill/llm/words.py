@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -12,8 +13,14 @@ import pyarrow as pa
 # Texts are worked on in slices of about this many bytes, whatever the size of a batch.
 SLICE_BYTES = 4 << 20
 
-_SEED = 20240517
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_KEY = np.uint64(0x5851F42D4C957F2D)
+
+# A-Z as a-z; and the first 0 to 8 bytes of a block of eight.
+_LOWER = np.array([x + 32 if 0x41 <= x < 0x5B else x for x in range(256)], np.uint8)
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+LONG = 256  # bytes; longer words are taken one by one
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -23,38 +30,57 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def _powers(base: np.uint64, count: int) -> np.ndarray:
-    steps = np.full(count, base, np.uint64)
-    steps[:1] = 1
-    return np.multiply.accumulate(steps)
+def blocks_of(data: np.ndarray) -> np.ndarray:
+    """The eight bytes that begin at each place, as one number, A-Z as a-z; zeros follow the end."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = _LOWER[data]
+    return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+
+
+def hashes_of(blocks: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of byte ranges; they don't depend on where a range stands.
+
+    Eight bytes at a time are mixed in, so that what stands where always matters.
+    """
+    lengths = ends - starts
+    result = mix(lengths.astype(np.uint64) + _KEY)
+    for step in range(0, int(min(lengths.max(initial=0), LONG)), 8):
+        which = np.flatnonzero((lengths > step) & (lengths <= LONG)) if step else slice(None)
+        held = blocks[starts[which] + step] & _FIRST[np.minimum(lengths[which] - step, 8)]
+        result[which] = mix((result[which] ^ held) * _ODD)
+    for at in np.flatnonzero(lengths > LONG).tolist():
+        digest = hashlib.blake2b(_bytes(blocks, starts[at], ends[at]), digest_size=8).digest()
+        result[at] = int.from_bytes(digest, "little")
+    return result
+
+
+def same_words(
+    left: np.ndarray, at: np.ndarray, right: np.ndarray, beside: np.ndarray, lengths: np.ndarray
+) -> np.ndarray:
+    """Whether so many bytes from each place of ``left`` equal those of ``right``, as blocks."""
+    same = np.ones(len(at), bool)
+    for step in range(0, int(min(lengths.max(initial=0), LONG)), 8):
+        which = np.flatnonzero(same & (lengths > step) & (lengths <= LONG))
+        differ = left[at[which] + step] ^ right[beside[which] + step]
+        same[which] = differ & _FIRST[np.minimum(lengths[which] - step, 8)] == 0
+    for one in np.flatnonzero(lengths > LONG).tolist():
+        a, b, size = int(at[one]), int(beside[one]), int(lengths[one])
+        same[one] = _bytes(left, a, a + size) == _bytes(right, b, b + size)
+    return same
+
+
+def _bytes(blocks: np.ndarray, start: int, end: int) -> bytes:
+    return np.ndarray(end - start, np.uint8, blocks.base, offset=int(start)).tobytes()
 
 
 class Alphabet:
-    """Which bytes belong to words, and a random number for each; A-Z count as a-z."""
+    """Which bytes belong to words; A-Z count as a-z."""
 
     def __init__(self, pattern: bytes) -> None:
         self.in_word = np.array([re.fullmatch(pattern, bytes([x])) is not None for x in range(256)])
-        random = np.random.default_rng(_SEED)
-        self.number = random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2)
-        self.number[0x41:0x5B] = self.number[0x61:0x7B]
-        self.base = np.uint64(int(random.integers(0, 1 << 62)) * 4 + 1)
-        self.inverse = np.uint64(pow(int(self.base), -1, 1 << 64))
-        self.forward = self.backward = np.ones(1, np.uint64)
-
-    def powers(self, count: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.forward) < count:
-            self.forward = _powers(self.base, count)
-            self.backward = _powers(self.inverse, count)
-        return self.forward, self.backward
 
     def hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Hashes of byte ranges; they don't depend on where a range stands."""
-        size = len(data)
-        forward, backward = self.powers(size + 1)
-        sums = np.zeros(size + 1, np.uint64)
-        np.cumsum(self.number[data] * forward[:size], out=sums[1:])
-        lengths = (ends - starts).astype(np.uint64)
-        return mix((sums[ends] - sums[starts]) * backward[starts] + lengths * _ODD)
+        return hashes_of(blocks_of(data), starts, ends)
 
 
 LETTERS_AND_DIGITS = Alphabet(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]|[A-Z]")

@@ -2,12 +2,13 @@ from __future__ import annotations
 
 import hashlib
 import random
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from conftest import rows
-from llm_support import ODD_PAIRS, make_documents, words
+from llm_support import ODD_PAIRS, PROSE, make_documents, words
 
 from gaugemill.llm import decontaminate
 from gaugemill.llm.decontaminate import contamination, decontaminated, longest_matches
@@ -64,7 +65,7 @@ def test_small_shards_and_many_blocks_find_the_same(spark, monkeypatch, shard):
     column = pa.array([text for _, text in docs])
     block = next(decontaminate.benchmark_blocks(benchmark))
     for _, _, data, offsets in slices(column):
-        hit, pairs = decontaminate._marks(words_of(data, offsets), block, 10)
+        hit, pairs = decontaminate._marks(words_of(data, offsets), data, block, 10)
         assert hit.sum() == sum(row[2] for row in expected(docs, items))
         assert len(pairs) == sum(row[3] for row in expected(docs, items))
 
@@ -80,6 +81,47 @@ def test_odd_rows(spark):
     assert kept == sorted(str(row[0]) for row in expected(ODD_PAIRS, items) if not row[5])
 
 
+def swapped(depth):
+    """Two words that any polynomial modulo 2^64 takes for one."""
+    one, other = "a", "b"
+    for _ in range(depth):
+        one, other = one + other, other + one
+    return one, other
+
+
+def test_words_that_polynomials_confuse(spark):
+    docs, items = [], []
+    for depth in (4, 9, 11):  # of 16, 512 and 2,048 letters
+        one, other = swapped(depth)
+        docs += [(depth, f"x {one} y"), (-depth, f"x {other.upper()} y")]
+        items.append((depth, one))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    assert rows(contamination(make_documents(spark, docs), benchmark)) == expected(docs, items)
+
+
+def test_words_are_compared_where_hashes_agree(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "words_of", _by_length)
+    _, _, data, offsets = next(slices(pa.array(["ab cd", "Ab CD x", "ab ce", "abc d"])))
+    block = decontaminate._items([(1, "AB cd"), (1, "ab cd"), (2, "zz zz zz")], 10)
+    hit, pairs = decontaminate._marks(_by_length(data, offsets), data, block, 10)
+    assert hit.tolist() == [True] * 4 + [False] * 5
+    assert pairs.tolist() == [[0, 0], [1, 0]]
+
+
+def _by_length(data, offsets):
+    found = words_of(data, offsets)
+    return replace(found, hashes=(found.ends - found.starts).astype(np.uint64))
+
+
+def test_one_id_fills_no_block(spark):
+    items = [(None, f"{PROSE} {i}") for i in range(40)] * 3
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    blocks = list(decontaminate.benchmark_blocks(benchmark, block_bytes=2 * len(PROSE)))
+    sizes = [len(block.data) for block in blocks]
+    assert sum(sizes) == sum(len(text) for _, text in set(items))
+    assert len(sizes) > 15 and max(sizes) < sum(sizes) / 4
+
+
 def test_empty_tables(spark):
     docs, none = make_documents(spark, [(1, "a b c")]), make_documents(spark, [])
     benchmark = spark.createDataFrame([(1, "a b")], "item_id long, text string")
