@@ -283,17 +283,16 @@ def _others(words, document, order: int, ngrams, totals) -> np.ndarray:
     """How often the n-gram that ends at each word occurs in other documents."""
     found = _ngrams(words, document, order)
     inside = np.flatnonzero(found)
-    place = np.searchsorted(ngrams, found[inside])
-    # The document's own count: equal n-grams of one document are next to each other when sorted.
-    sorting = np.lexsort((place, document[inside]))
-    pairs = np.stack([document[inside][sorting], place[sorting]])
-    starts = np.ones(pairs.shape[1], bool)
-    starts[1:] = (pairs[:, 1:] != pairs[:, :-1]).any(axis=0)
-    group = np.cumsum(starts) - 1
-    own = np.empty(len(inside), np.int64)
-    own[sorting] = np.bincount(group, minlength=1)[group] if len(group) else 0
+    # A stable order keeps documents ascending within an n-gram: what a document holds of one
+    # stands together, and looking up ascending n-grams goes through memory in order.
+    inside = inside[np.argsort(found[inside], kind="stable")]
+    ascending, owner = found[inside], document[inside]
+    starts = np.ones(len(inside), bool)
+    starts[1:] = (ascending[1:] != ascending[:-1]) | (owner[1:] != owner[:-1])
+    own = np.diff(np.append(np.flatnonzero(starts), len(inside)))
+    rest = totals[np.searchsorted(ngrams, ascending[starts])] - own
     result = np.zeros(len(words), np.int64)
-    result[inside] = totals[place] - own
+    result[inside] = np.repeat(rest, own)
     return result
 
 
