@@ -115,15 +115,37 @@ def _ngrams(words: np.ndarray, document: np.ndarray, order: int) -> np.ndarray:
     return np.where(inside, total + np.uint64(order), np.uint64(0))
 
 
-def _part_of(ngrams: np.ndarray, parts: int) -> np.ndarray:
-    """Partitions are ranges of hashes, so that sorted n-grams are sorted by partition."""
-    return ((ngrams >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+def _cuts(ngrams: np.ndarray, parts: int) -> np.ndarray:
+    """Where each partition's share of ascending n-grams begins, and the end.
+
+    Partitions are equal ranges of hashes.
+    """
+    bounds = np.array([-(-(part << 32) // parts) << 32 for part in range(parts)], np.uint64)
+    return np.append(np.searchsorted(ngrams, bounds), len(ngrams))
+
+
+def _sorted(words: np.ndarray, document: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """All n-grams up to an order, ascending, and which of them differ from the one before."""
+    found = [_ngrams(words, document, n) for n in range(1, order + 1)]
+    everything = np.concatenate([some[some > 0] for some in found])
+    del found
+    everything.sort()  # in place: these are the largest arrays of a task
+    new = np.ones(len(everything), bool)
+    np.not_equal(everything[1:], everything[:-1], out=new[1:])
+    return everything, new
+
+
+def _distinct(words: np.ndarray, document: np.ndarray, order: int) -> np.ndarray:
+    everything, new = _sorted(words, document, order)
+    return everything[new]
 
 
-def _distinct(words: np.ndarray, document: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+def _counted(words: np.ndarray, document: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     """All n-grams up to an order, ascending, and how often they occur."""
-    found = np.concatenate([_ngrams(words, document, n) for n in range(1, order + 1)])
-    return np.unique(found[found > 0], return_counts=True)
+    everything, new = _sorted(words, document, order)
+    ngrams, size = everything[new], len(everything)
+    del everything
+    return ngrams, np.diff(np.append(np.flatnonzero(new), size))
 
 
 # What travels
@@ -175,13 +197,14 @@ _LOW = 5  # bytes of a difference that are noise
 def _requests(order: int, parts: int):
     def request(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                ngrams, times = _distinct(*_words(row), order)
-                part = _part_of(ngrams, parts)
-                used, first = np.unique(part, return_index=True)
-                cuts = [*first.tolist(), len(ngrams)]
-                coded = [_coded(times[a:b]) for a, b in zip(cuts, cuts[1:])]
-                blobs = [_coded_ngrams(ngrams[a:b]) for a, b in zip(cuts, cuts[1:])]
+            for number in range(batch.num_rows):
+                row = batch.slice(number, 1).to_pylist()[0]
+                ngrams, times = _counted(*_words(row), order)
+                cuts = _cuts(ngrams, parts)
+                used = np.flatnonzero(np.diff(cuts))
+                ranges = [slice(a, b) for a, b in zip(cuts[used], cuts[used + 1])]
+                coded = [_coded(times[some]) for some in ranges]
+                blobs = [_coded_ngrams(ngrams[some]) for some in ranges]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(used, pa.int32()),
@@ -239,8 +262,8 @@ def _score(order: int, parts: int, corpus: int):
     def score(key, chunks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         row = chunks.iloc[0].to_dict()
         words, document = _words(row)
-        ngrams, _ = _distinct(words, document, order)
-        sizes = np.bincount(_part_of(ngrams, parts), minlength=parts)
+        ngrams = _distinct(words, document, order)
+        sizes = np.diff(_cuts(ngrams, parts))
         answers = answers.sort_values("part")
         totals = np.concatenate(
             [
