@@ -1,36 +1,38 @@
 """Personal data replaced by surrogates that keep type, format, script and gender.
 
-Entities are e-mail addresses, phone numbers, card numbers, IP addresses and names after a
-title. A text's own names are looked for again in it without title, whole and by their last word,
+Entities are e-mail addresses, phone numbers, card numbers, account numbers (IBAN, with the right
+check digits), IP addresses of both versions and names after a title. A text's own names are looked for again in it without title, whole and by their last word,
 and get the same surrogate or its last word; a family name after a title is that of the full name
 of the same gender that the text has nearest before it, or else first after it. A surrogate is drawn with a secret key from the entity itself, so that the same entity
 gets the same surrogate in every document (coreference). All distinct entities of the corpus are
 then held against each other: if two share a surrogate, or a surrogate is another entity that
 occurs, the entity with the larger keyed order draws again, until all surrogates are distinct.
+From the draw ``WIDER`` on, numbers and IP addresses grow by a digit or octet per draw: a form
+that is too small for its entities gets room, and the draws come to an end.
 
 Entities are found once and kept in a table of mentions; documents that can't hold any by a
 plain pattern are passed through as they are. The others are joined with their mentions by a
 checksum of the text, so that copies share one row of mentions.
 
 NULL and empty texts stay as they are. Repeated documents are all treated. Columns other than
-``text`` (and ``n_chars``, where present) pass through unchanged; working columns have names
-that start with ``__pii_``.
+``text`` pass through unchanged, whatever their names; an empty table gives empty results.
 """
 
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from bisect import bisect
 from collections.abc import Callable, Iterator
-from string import ascii_lowercase, digits
+from string import ascii_lowercase, ascii_uppercase, digits
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MOST_DRAWS = 50
+WIDER = 8
 KEY = b"change-me: read the key from a secret store"
 
 # Given names by gender, and parts from which family names are made.
@@ -57,7 +59,10 @@ RANKS = ("Dr", "Prof")  # of any gender; they may follow another title
 
 _TITLE = "|".join([*(title for titles in TITLES.values() for title in titles), *RANKS])
 _RANKS = "|".join(RANKS)
-_CAPITAL, _SMALL = "A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΩА-ЯЁ", "a-zß-öø-ÿά-ώа-яё"
+# Latin with all its marks, Greek and Cyrillic.
+_SCRIPTS = [*range(0x41, 0x250), *range(0x370, 0x530), *range(0x1E00, 0x1F00)]
+_CAPITAL = "".join(chr(code) for code in _SCRIPTS if chr(code).isupper())
+_SMALL = "".join(chr(code) for code in _SCRIPTS if chr(code).islower())
 _NAME = f"[{_CAPITAL}][{_SMALL}]+(?:[-'’][{_CAPITAL}][{_SMALL}]+)?"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
@@ -66,6 +71,12 @@ PATTERNS = {
     "email": re.compile(
         r"(?<![\w.+%-])[\w.+%-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w-])"
     ),
+    "iban": re.compile(
+        r"(?<![\w-])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\w-])", re.ASCII
+    ),
+    "ipv6": re.compile(
+        r"(?<![\w:.])[0-9A-Fa-f]{1,4}(?:::?[0-9A-Fa-f]{1,4}){1,7}(?:::)?(?![\w:])", re.ASCII
+    ),
     "card": re.compile(r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])", re.ASCII),
     "ip": re.compile(rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.[0-9])"),
     "phone": re.compile(
@@ -84,8 +95,11 @@ PATTERNS = {
         rf"\b(?:{_TITLE})\.? (?:(?:{_RANKS})\.? )*({_NAME}(?: {_NAME}){{0,2}})"
     ),
 }
-# What any of them needs: a digit pair, an at sign, or a title. Wider than the patterns.
-MAYBE = rf"[0-9][0-9 .-]?[(]?[0-9]|[0-9]\)|@|(?:{_TITLE})\.? [{_CAPITAL}]"
+# What any of them needs: a digit pair, an at sign, two colons, or a title. Wider than the patterns.
+MAYBE = (
+    r"[0-9][0-9 .-]?[(]?[0-9]|[0-9]\)|@|:[0-9A-Fa-f]{0,4}:"
+    rf"|(?:{_TITLE})\.? [A-ZÀ-ɏͰ-ԯḀ-ỿ]"
+)
 
 MENTION = "array<struct<start: int, end: int, kind: string, entity: string>>"
 _MENTION_FIELDS = ("start", "end", "kind", "entity")
@@ -108,14 +122,42 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
     """Start, end, kind and entity of each mention, in order, none overlapping."""
     found: list[tuple[int, int, str, str]] = []
     for kind, pattern in PATTERNS.items():
+        starts = [start for start, *_ in found]
+        more = []
         for match in pattern.finditer(text):
             start, end = match.span(1 if kind == "name" else 0)
-            if all(end <= a or b <= start for a, b, *_ in found):
-                found.append((start, end, *_entity(kind, match, text[start:end])))
-    found.sort()
+            if _is_real(kind, text[start:end]) and _is_free(start, end, found, starts):
+                more.append((start, end, *_entity(kind, match, text[start:end])))
+        found = sorted(found + more)
     return _same_names(text, found) if any(_is_name(each) for each in found) else found
 
 
+def _is_real(kind: str, text: str) -> bool:
+    """What the pattern of a kind can't tell."""
+    if kind == "iban":
+        return _remainder(text.replace(" ", "")) == 1
+    if kind == "ipv6":  # not a slice or the scope of a name in a program
+        try:
+            ipaddress.IPv6Address(text)
+        except ValueError:
+            return False
+        return len(text.partition(":")[0]) > 2 and any(c in digits for c in text)
+    return True
+
+
+def _remainder(number: str) -> int:
+    """Of an account number, as ISO 7064 has it; 1 if the check digits are right."""
+    return int("".join(str(int(c, 36)) for c in number[4:] + number[:4])) % 97
+
+
+def _is_free(start: int, end: int, found: list, starts: list[int]) -> bool:
+    """Whether nothing of ``found``, which is in order and without overlaps, meets a range."""
+    after = bisect(starts, start)
+    return (after == 0 or found[after - 1][1] <= start) and (
+        after == len(starts) or end <= starts[after]
+    )
+
+
 def _is_name(mention: tuple[int, int, str, str]) -> bool:
     return mention[2].startswith("name")
 
@@ -144,19 +186,33 @@ def _same_names(
             if alike:
                 kind, entity = nearest(alike, start)
         result.append((start, end, kind, entity))
-    names = sorted({*whole, *family}, key=len, reverse=True)
-    again = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, names))})(?!\w)")
     starts = [start for start, *_ in result]
-    for match in again.finditer(text):
-        start, end = match.span()
-        before = bisect(starts, start)
-        free = before == len(starts) or end <= starts[before]
-        if free and (before == 0 or result[before - 1][1] <= start):
-            options = family.get(match[0]) or whole[match[0]]
-            extra.append((start, end, *nearest(options, start)))
+    for start, end in _again(text, {*whole, *family}):
+        if _is_free(start, end, result, starts):
+            name = text[start:end]
+            extra.append((start, end, *nearest(family.get(name) or whole[name], start)))
     return sorted(result + extra)
 
 
+def _again(text: str, names: set[str]) -> Iterator[tuple[int, int]]:
+    """Where names stand as whole words, the longest at each place, none overlapping.
+
+    A name has three words at most, of two parts at most: so many are looked up at each place.
+    """
+    runs = [match.span() for match in re.finditer(r"\w+", text)]
+    longest = max(map(len, names))
+    at = 0
+    while at < len(runs):
+        start = runs[at][0]
+        for last in range(min(at + 5, len(runs) - 1), at - 1, -1):
+            end = runs[last][1]
+            if end - start <= longest and text[start:end] in names:
+                yield start, end
+                at = last
+                break
+        at += 1
+
+
 def _entity(kind: str, match: re.Match, text: str) -> tuple[str, str]:
     """Mentions of one entity have one form: digits of numbers, addresses in lower case."""
     if kind == "name":
@@ -167,6 +223,10 @@ def _entity(kind: str, match: re.Match, text: str) -> tuple[str, str]:
         return kind, text.lower()
     if kind == "ip":
         return kind, text
+    if kind == "ipv6":
+        return kind, str(ipaddress.IPv6Address(text))
+    if kind == "iban":
+        return kind, text.replace(" ", "")
     return kind, re.sub(r"[^0-9]", "", text)
 
 
@@ -197,16 +257,22 @@ class Stream:
 def surrogate(kind: str, entity: str, attempt: int, key: bytes = KEY) -> str:
     """A replacement of the same kind, in the form that entities have."""
     draw = Stream(key, kind, entity, attempt)
+    longer = max(0, attempt - WIDER + 1)
     if kind == "email":
         local, _, domain = entity.partition("@")
         name, _, top = domain.rpartition(".")
         return f"{_alike(local, draw, attempt)}@{_alike(name, draw)}.{top}"
     if kind == "ip":
-        return ".".join(str(draw.below(256)) for _ in range(4))
+        return ".".join(str(draw.below(256)) for _ in range(4 + longer))
+    if kind == "ipv6":  # no zeros, so that groups stay as long as they are
+        drawn = "".join(c if c == ":" else draw.of("123456789abcdef") for c in entity)
+        return drawn + "".join(draw.of("123456789abcdef") for _ in range(longer))
+    if kind == "iban":
+        return _iban(entity, draw, longer)
     if kind == "card":
-        return _card(entity, draw)
+        return _card(entity, draw, longer)
     if kind == "phone":
-        return entity[:1] + "".join(str(draw.below(10)) for _ in entity[1:])
+        return entity[:1] + "".join(str(draw.below(10)) for _ in range(len(entity) - 1 + longer))
     return _name(kind[-1], entity, draw, attempt)
 
 
@@ -221,9 +287,16 @@ def _alike(text: str, draw: Stream, longer: int = 0) -> str:
     return "".join(map(like, text)) + "".join(draw.of(ascii_lowercase) for _ in range(longer))
 
 
-def _card(number: str, draw: Stream) -> str:
+def _iban(number: str, draw: Stream, longer: int) -> str:
+    """The country stays; letters for letters, digits for digits, and the right check digits."""
+    body = "".join(draw.of(digits if c in digits else ascii_uppercase) for c in number[4:])
+    body += "".join(draw.of(digits) for _ in range(longer))
+    return f"{number[:2]}{98 - _remainder(number[:2] + '00' + body):02}{body}"
+
+
+def _card(number: str, draw: Stream, longer: int = 0) -> str:
     """The first digit stays, and so does whether the check digit is right."""
-    body = number[0] + "".join(draw.of(digits) for _ in number[1:-1])
+    body = number[0] + "".join(draw.of(digits) for _ in range(len(number) - 2 + longer))
     right = next(digit for digit in digits if _luhn(body + digit))
     if _luhn(number):
         return body + right
@@ -238,9 +311,9 @@ def _luhn(number: str) -> bool:
 
 
 def script_of(text: str) -> str:
-    if re.search("[А-яЁё]", text):
+    if re.search("[Ѐ-ԯ]", text):
         return "cyrillic"
-    return "greek" if re.search("[Ά-ώ]", text) else "latin"
+    return "greek" if re.search("[Ͱ-Ͽ]", text) else "latin"
 
 
 def _name(gender: str, name: str, draw: Stream, attempt: int) -> str:
@@ -258,8 +331,11 @@ def formatted(kind: str, mention: str, drawn: str) -> str:
     """A surrogate in the shape of a mention: its separators, its capitals, or its part."""
     if kind in ("card", "phone"):
         rest = iter(drawn)
-        return "".join(next(rest) if c in digits else c for c in mention)
-    if kind == "email" and mention.isupper():
+        return "".join([*(next(rest) if c in digits else c for c in mention), *rest])
+    if kind == "iban":
+        rest = iter(drawn)
+        return "".join([*(c if c == " " else next(rest) for c in mention), *rest])
+    if kind in ("email", "ipv6") and mention.isupper():
         return drawn.upper()
     if kind.startswith("name"):  # the family name of a full name
         return " ".join(drawn.split(" ")[-len(mention.split(" ")) :])
@@ -309,8 +385,6 @@ def distinct_surrogates(
         if waiting.isEmpty():
             return settled.select("kind", "entity", "surrogate")
         attempt += 1
-        if attempt == MOST_DRAWS:
-            raise RuntimeError("too many entities of one format to keep their surrogates apart")
 
 
 # Replacement
@@ -358,11 +432,11 @@ def replace_pii(
     distinct_surrogates(each.select("kind", "entity").distinct(), new_path, key).write.parquet(path)
     table = spark.read.parquet(path)
     mention = F.struct("start", "end", "kind", "surrogate")
+    content, drawn = (_unused(name, docs) for name in ("content", "drawn"))
     replacements = (
         each.join(table, ["kind", "entity"])
-        .groupBy("content")  # as many rows as a text has mentions
-        .agg(F.sort_array(F.collect_list(mention)).alias("__pii_list"))
-        .withColumnRenamed("content", "__pii_content")
+        .groupBy(F.col("content").alias(content))  # as many rows as a text has mentions
+        .agg(F.sort_array(F.collect_list(mention)).alias(drawn))
     )
 
     @F.pandas_udf("string")
@@ -371,12 +445,20 @@ def replace_pii(
 
     likely = F.col("text").rlike(MAYBE)
     others = docs.where(~F.coalesce(likely, F.lit(False)))
-    touched = docs.where(likely).withColumn("__pii_content", _checksum(F.col("text")))
-    touched = touched.join(replacements, "__pii_content", "left")
-    done = touched.withColumn("text", replace("text", "__pii_list")).select(docs.columns)
+    touched = docs.where(likely).withColumn(content, _checksum(F.col("text")))
+    touched = touched.join(replacements, content, "left")
+    done = touched.withColumn("text", replace("text", drawn)).select(docs.columns)
     return others.unionByName(done), table
 
 
+def _unused(name: str, docs: DataFrame) -> str:
+    """A name that no column of the documents has, in any case."""
+    taken = {column.lower() for column in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def _replaced(text: str, mentions) -> str:
     if mentions is None:
         return text

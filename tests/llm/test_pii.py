@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import random
 import re
+import time
 
 import pytest
 from conftest import MEDIUM, rows
 from llm_support import ODD_PAIRS, PROSE, make_documents, paths
+from pyspark.sql import functions as F
 
 from gaugemill.llm import pii
 from gaugemill.llm.pii import (
@@ -25,6 +28,10 @@ MENTIONS = {
     "4929963689861572": "card",
     "4929 9636 8986 1572": "card",
     "128.212.154.77": "ip",
+    "2001:db8:85a3:0:0:8a2e:370:7334": "ipv6",
+    "FE80::1A2B:3C4D": "ipv6",
+    "DE89 3704 0044 0532 0130 00": "iban",
+    "GB29NWBK60161331926819": "iban",
 }
 
 
@@ -37,7 +44,8 @@ def test_mentions_are_found_whole(mention, kind):
 
 
 @pytest.mark.parametrize(
-    "text", [PROSE, "version 1.2.3", "in 1999 and 2024", "1,234,567 items", "a@b", "300.1.2.3", "Mr. x"]
+    "text", [PROSE, "version 1.2.3", "in 1999 and 2024", "1,234,567 items", "a@b", "300.1.2.3", "Mr. x",
+     "x[10::20]", "std::abc", "at 12:30:45", "00:1a:2b:3c:4d:5e"]
 )
 def test_other_text_is_left_alone(text):
     assert find_entities(text) == []
@@ -50,6 +58,9 @@ def test_other_text_is_left_alone(text):
         ("Herr Müller kam", "name_m", "Müller"),
         ("Господин Иван Петров", "name_m", "Иван Петров"),
         ("Κυρία Μαρία", "name_f", "Μαρία"),
+        ("Mr. Ángel Łukasz left", "name_m", "Ángel Łukasz"),
+        ("Frau Şahin kam", "name_f", "Şahin"),
+        ("Госпожа Їжакевич", "name_f", "Їжакевич"),
     ],
 )
 def test_names_keep_script_gender_and_length(text, kind, name):
@@ -70,6 +81,12 @@ def test_surrogates_keep_type_and_format(mention, kind):
     assert [k for *_, k, _ in find_entities(drawn)] == [kind]
     if kind in ("phone", "card"):
         assert re.sub(r"\d", "9", drawn) == re.sub(r"\d", "9", mention)
+    if kind == "iban":
+        assert drawn[:2] == mention[:2] and len(drawn) == len(mention)
+        number = drawn.replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in number[4:] + number[:4])) % 97 == 1
+    if kind == "ipv6":
+        assert re.sub("[0-9a-f]", "x", drawn.lower()) == re.sub("[0-9a-f]", "x", str(entity))
     if kind == "card":
         assert _luhn(re.sub(r"\D", "", drawn)) == _luhn(re.sub(r"\D", "", mention))
     assert surrogate(kind, entity, 0) == surrogate(kind, entity, 0)
@@ -88,6 +105,51 @@ def test_collisions_are_drawn_again(spark, tmp_path):
     assert not {row.surrogate for row in found} & {row.entity for row in found}
 
 
+def test_a_format_without_room_grows(spark, tmp_path):
+    pairs = [("phone", f"{i}") for i in range(10, 100)]  # all there are
+    found = distinct_surrogates(
+        spark.createDataFrame(pairs, "kind string, entity string"), paths(tmp_path)
+    ).collect()
+    drawn = {row.surrogate for row in found}
+    assert len(drawn) == len(found) == 90 and min(map(len, drawn)) > 2
+    assert formatted("phone", "(1) 2", "3456") == "(3) 456"
+
+
+def test_many_entities_take_time_in_proportion():
+    # 60,000 addresses and 4,000 names: seconds, where all against all would take minutes.
+    addresses = " ".join(f"user{i}@mail.example.com" for i in range(60_000))
+    family = ["".join(chr(97 + int(c)) for c in f"{i:05d}").capitalize() for i in range(4_000)]
+    people = " ".join(f"Mr. Paul {name} met {name}." for name in family)
+    start = time.process_time()
+    found = find_entities(f"{addresses} {people}")
+    assert time.process_time() - start < 30
+    assert len(found) == 60_000 + 2 * 4_000
+    assert {entity for *_, entity in found[60_000:]} == {f"Paul {name}" for name in family}
+
+
+def test_names_again_equal_a_search_for_each():
+    chance = random.Random(3)
+    parts = ["Ann", "Lee", "Anna", "Lee-Ann", "O'Neil", "Kim"]
+    for _ in range(200):
+        names = {" ".join(chance.choices(parts, k=chance.randrange(1, 4))) for _ in range(3)}
+        text = "".join(
+            chance.choice(parts) + chance.choice([" ", " ", "-", "'s ", ", "]) for _ in range(12)
+        )
+        longest_first = "|".join(map(re.escape, sorted(names, key=len, reverse=True)))
+        wanted = [m.span() for m in re.finditer(rf"(?<!\w)(?:{longest_first})(?!\w)", text)]
+        assert list(pii._again(text, names)) == wanted
+
+
+def test_columns_of_any_name(spark, tmp_path):
+    pairs = [(1, "ring 614 555 8001"), (2, "no one")]
+    docs = make_documents(spark, pairs).withColumn("Drawn", F.lit(1)).withColumn("CONTENT_", F.lit(2))
+    replaced, _ = replace_pii(docs, paths(tmp_path))
+    assert replaced.columns == docs.columns
+    found = {row.doc_id: row for row in replaced.collect()}
+    assert {(row.Drawn, row.CONTENT_) for row in found.values()} == {(1, 2)}
+    assert found[1].text != pairs[0][1] and found[2].text == pairs[1][1]
+
+
 def test_documents(spark, tmp_path):
     card = "4929963689861572"
     pairs = ODD_PAIRS + [
