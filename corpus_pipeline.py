@@ -35,8 +35,10 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def pii_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced in the texts; ``n_chars`` follows."""
+    """Personal data is replaced in the texts; ``n_chars``, where present, follows."""
     replaced, _ = replace_pii(docs, folders(spark, "pii"))
+    if "n_chars" not in docs.columns:
+        return replaced
     return replaced.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
