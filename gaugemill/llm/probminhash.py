@@ -9,12 +9,17 @@ those whose exact similarity is ``THRESHOLD`` or more are linked, and classes ar
 connect.
 
 Equal texts are one before banding. Each bucket of a band has a centre, the text with the
-least of its own, and each text is held against the best centre of its buckets first. As long as
-a bucket then holds several classes, its texts are held against more of them in each round,
-until each pair has been tried, joined by other links, or excluded. What a text shares with no
+least of its own, and each text is held against the best centre of its buckets first, then
+against a few centres of each bucket that still holds several classes. What a text shares with no
 other candidate bounds its similarity to any of them; texts that this keeps below the threshold
-leave the bucket first. So no link of a bucket is lost, and a large group of near copies costs
-about one comparison each.
+leave the bucket first. So a large group of near copies costs a few comparisons each.
+
+What is left is compared by prefixes: each text's rarest shingles, those of a fifth of its weight
+and one more. Texts whose prefixes have nothing in common can't be linked, and what two prefixes
+have in common bounds what their texts lack of each other. A large bucket is dealt into blocks; a
+task holds two blocks against each other by prefix and hands on the pairs that the bound allows.
+Only these are compared as texts, so no link of a bucket is lost. The work on prefixes grows
+with the square of a bucket's texts that are left; pairs, texts and memory of a task do not.
 
 NULL texts and texts without words are linked to none. Rows of equal id and text are in one
 class; ``first_of_each`` keeps one of them. NULL ids come last when the representative of a
@@ -40,7 +45,11 @@ EXACT = Fraction(4, 5)  # the threshold, where floats are too coarse
 SLACK = 1e-9  # more than floats are off by
 BANDS = 32
 ROWS = 4  # registers of a band
-GROWTH = 16  # how many times as many centres each further round of comparisons has
+CENTRES = 4  # of each bucket, in the second round of comparisons
+FEW = 8  # members of a bucket whose pairs are all compared as texts
+BLOCK = 256  # members of a block of a larger bucket, about
+BLOCK_SHINGLES = 1 << 17  # in the prefixes of a block, about; one text's prefix is not divided
+WIDTH = 4096  # shingles that are compared at once
 
 NewPath = Callable[[], str]
 
@@ -235,10 +244,13 @@ def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(arrays, names=["content", "shingle", "times"])
 
 
-def _sizes(texts: DataFrame, new_path: NewPath) -> DataFrame:
-    """content, and of its shingles: all (size), distinct, and those that no other text has."""
+def _shingles(texts: DataFrame, new_path: NewPath) -> DataFrame:
     kinds = "content binary, shingle long, times long"
-    shingles = _kept(texts.select("content", "text").mapInArrow(_exploded, kinds), new_path)
+    return _kept(texts.select("content", "text").mapInArrow(_exploded, kinds), new_path)
+
+
+def _sizes(shingles: DataFrame) -> DataFrame:
+    """content, and of its shingles: all (size), distinct, and those that no other text has."""
     own = shingles.groupBy("shingle").agg(
         F.count("*").alias("holders"),
         F.first("content").alias("content"),
@@ -328,43 +340,165 @@ def _joined(labels: DataFrame, links: DataFrame, new_path: NewPath) -> DataFrame
     return _kept(every.select("content", F.coalesce("new", "label").alias("label")), new_path)
 
 
+def _mixed(members: DataFrame, labels: DataFrame, tried: int, new_path: NewPath) -> DataFrame:
+    """Members with their labels, of buckets that hold several labels and over ``tried`` members."""
+    members = members.drop("label").join(labels, "content", "left")
+    members = members.withColumn("label", F.coalesce("label", "content"))
+    several = members.groupBy("bucket").agg(
+        F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("members")
+    )
+    several = several.where((F.col("a") != F.col("b")) & (F.col("members") > tried))
+    return _kept(members.join(several.select("bucket"), "bucket"), new_path)
+
+
+def _prefixes(shingles: DataFrame, members: DataFrame) -> DataFrame:
+    """content, alone, prefix: the rarest shingles of each text that may be linked.
+
+    Shingles are ordered by the number of members that hold them. A prefix ends with the shingle
+    that takes its weight beyond what linked texts may lack of each other. Those that no other
+    member holds come first and are only summed up (``alone``). Texts whose prefix has nothing
+    that a text of another label holds are left out.
+    """
+    texts = members.select("content", "label", "size").distinct()
+    held = shingles.join(texts, "content")
+    spread = held.groupBy("shingle").agg(
+        F.count("*").alias("holders"), (F.min("label") != F.max("label")).alias("across")
+    )
+    rarest = Window.partitionBy("content").orderBy("holders", "shingle")
+    before = F.sum("times").over(rarest.rowsBetween(Window.unboundedPreceding, -1))
+    held = held.join(spread, "shingle").withColumn("before", F.coalesce(before, F.lit(0)))
+    held = held.where(F.col("before") <= (1 - THRESHOLD + SLACK) * F.col("size"))
+    one = F.struct("holders", "shingle", "times")
+    prefixes = held.groupBy("content").agg(
+        F.sum(F.when(F.col("holders") == 1, F.col("times")).otherwise(0)).alias("alone"),
+        F.array_sort(F.collect_list(F.when(F.col("holders") > 1, one))).alias("prefix"),
+        F.max("across").alias("across"),
+    )
+    return prefixes.where("across").drop("across")
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members of the larger buckets, once for each pair of blocks that theirs is in."""
+    counts = members.groupBy("bucket").agg(
+        F.count("*").alias("members"), F.sum(F.size("prefix")).alias("held")
+    )
+    blocks = F.greatest(F.col("members") / BLOCK, F.col("held") / BLOCK_SHINGLES)
+    large = counts.where(F.col("members") > FEW).select("bucket", F.ceil(blocks).alias("blocks"))
+    dealt = members.join(large, "bucket")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("content", "bucket"), "blocks"))
+    dealt = dealt.withColumn("beside", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.select(
+        "bucket",
+        F.least("block", "beside").alias("low"),
+        F.greatest("block", "beside").alias("high"),
+        "block",
+        *("content", "label", "size", "alone", "prefix"),
+    )
+
+
+def _by_prefix(table: pa.Table) -> pa.Table:
+    """Pairs of members of two blocks, u < v, that their prefixes allow to be similar enough."""
+    block = table["block"].to_numpy()
+    left = np.flatnonzero(block == table["low"][0].as_py())
+    right = np.flatnonzero(block == table["high"][0].as_py())
+    size = table["size"].to_numpy()
+    alone = table["alone"].to_numpy() / size
+    prefix = table["prefix"].combine_chunks()
+    counts = prefix.value_lengths().to_numpy()
+    holders, shingle, times = (x.to_numpy() for x in prefix.flatten().flatten())
+    row = np.repeat(np.arange(len(counts)), counts)
+    share = times / size[row]
+    # Shingles as numbers in their order, and the last that each prefix holds.
+    order = np.lexsort((shingle, holders))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = shingle[order[1:]] != shingle[order[:-1]]
+    place = np.zeros(len(order), np.int64)
+    place[order] = np.cumsum(fresh) - 1
+    ends = np.cumsum(counts)
+    last = place[ends - 1]
+    up_to = np.append(0.0, np.cumsum(share))
+
+    def reached(some: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """The share of each text that lies no further than the other's prefix."""
+        result = np.empty((len(some), len(others)))
+        for at, one in enumerate(some):
+            start, end = ends[one] - counts[one], ends[one]
+            stop = start + np.searchsorted(place[start:end], last[others], "right")
+            result[at] = alone[one] + up_to[stop] - up_to[start]
+        return result
+
+    lacks = reached(left, right), reached(right, left)
+    number = np.full(len(counts), -1), np.full(len(counts), -1)
+    number[0][left], number[1][right] = np.arange(len(left)), np.arange(len(right))
+    sides = [(n[row] >= 0) for n in number]
+    common = np.intersect1d(place[sides[0]], place[sides[1]])
+    for begin in range(0, len(common), WIDTH):
+        some = common[begin : begin + WIDTH]
+        column = np.searchsorted(some, place)
+        here = some[np.minimum(column, len(some) - 1)] == place
+        tables = []
+        for n, side in zip(number, sides):
+            used = np.flatnonzero(here & side)
+            shares = np.zeros((n.max() + 1, len(some)))
+            shares[n[row[used]], column[used]] = share[used]
+            tables.append(shares)
+        a, b = tables
+        lacks[0][:] -= a @ (b > 0).T
+        lacks[1][:] -= b @ (a > 0).T
+    u, v = np.maximum(lacks[0], 0.0), np.maximum(lacks[1].T, 0.0)
+    # As in _at_most, without its quotient.
+    may = (u < 1) & ((1 - u) * (1 - v) >= (THRESHOLD - SLACK) * (1 - u * v))
+    if table["low"][0] == table["high"][0]:
+        may = np.triu(may)
+    labels = table["label"].combine_chunks().dictionary_encode().indices.to_numpy()
+    may &= labels[left][:, None] != labels[right][None, :]
+    content = table["content"].to_pylist()
+    pairs = [sorted((content[left[i]], content[right[j]])) for i, j in np.argwhere(may).tolist()]
+    kinds = pa.schema([("u", pa.binary()), ("v", pa.binary())])
+    return pa.table([[u for u, _ in pairs], [v for _, v in pairs]], schema=kinds)
+
+
 def _labels(docs: DataFrame, signed: DataFrame, new_path: NewPath) -> DataFrame:
     """content, label: equal labels for texts that links connect, where there are any."""
     buckets = _kept(_buckets(signed), new_path)
     wanted = buckets.select("content").distinct()
     texts = docs.select(_content().alias("content"), "text").join(wanted, "content")
     texts = _kept(texts.groupBy("content").agg(F.first("text").alias("text")), new_path)
-    sizes = _sizes(texts, new_path).withColumn("label", F.col("content"))
+    shingles = _shingles(texts, new_path)
+    sizes = _sizes(shingles).withColumn("label", F.col("content"))
     sizes = sizes.join(_banded(signed), "content")
     members = _kept(_can_link(buckets.join(sizes, "content")), new_path)
     # The members with the least of their own come first: what others were made from.
     order = F.struct(
         (F.col("own") / F.col("size")).alias("share"), F.col("content").alias("content_of")
     )
-    tried = _kept(_first_pairs(members, order), new_path)
-    links = _kept(_verified(tried, texts), new_path)
-    labels = members.select("content", "label").where("false")
-    labels, centres = _joined(labels, links, new_path), 0
-    while True:
-        members = members.drop("label").join(labels, "content", "left")
-        members = members.withColumn("label", F.coalesce("label", "content"))
-        mixed = members.groupBy("bucket").agg(
-            F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("members")
-        )
-        # With as many centres as members, less one, all pairs of a bucket have been tried.
-        mixed = mixed.where((F.col("a") != F.col("b")) & (F.col("members") > centres + 1))
-        members = _kept(members.join(mixed.select("bucket"), "bucket"), new_path)
-        if members.isEmpty():
-            return labels
-        centres = GROWTH * max(1, centres)
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy(order))
-        first = members.withColumn("place", place).where(F.col("place") <= centres)
-        pairs = _pairs(members, first).join(tried, ["u", "v"], "left_anti")
-        pairs = _kept(pairs, new_path)
-        tried = tried.unionByName(pairs)
-        more = _kept(_verified(pairs, texts), new_path)
-        if not more.isEmpty():
-            labels = _joined(labels, more, new_path)
+    first = _kept(_first_pairs(members, order), new_path)
+    links = _kept(_verified(first, texts), new_path)
+    labels = _joined(members.select("content", "label").where("false"), links, new_path)
+    members = _mixed(members, labels, 1, new_path)
+    if members.isEmpty():
+        return labels
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy(order))
+    centres = members.withColumn("place", place).where(F.col("place") <= CENTRES)
+    second = _kept(_pairs(members, centres).join(first, ["u", "v"], "left_anti"), new_path)
+    links = _kept(_verified(second, texts), new_path)
+    if not links.isEmpty():
+        labels = _joined(labels, links, new_path)
+    # With as many centres as members, less one, all pairs of a bucket have been tried.
+    members = _mixed(members, labels, CENTRES + 1, new_path)
+    if members.isEmpty():
+        return labels
+    members = _kept(members.join(_prefixes(shingles, members), "content"), new_path)
+    in_blocks = _dealt(members).groupBy("bucket", "low", "high")
+    pairs = in_blocks.applyInArrow(_by_prefix, "u binary, v binary").distinct()
+    small = members.groupBy("bucket").agg(F.count("*").alias("members"))
+    small = small.where(F.col("members") <= FEW).select("bucket")
+    small = members.join(small, "bucket").drop("alone", "prefix")
+    pairs = pairs.union(_pairs(small, small)).distinct()
+    for tried in (first, second):
+        pairs = pairs.join(tried, ["u", "v"], "left_anti")
+    links = _kept(_verified(_kept(pairs, new_path), texts), new_path)
+    return labels if links.isEmpty() else _joined(labels, links, new_path)
 
 
 def near_duplicates(docs: DataFrame, new_path: NewPath) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 from conftest import MEDIUM, rows
 from llm_support import ODD_PAIRS, PROSE, make_documents, paths, words
 
+from gaugemill.llm import probminhash
 from gaugemill.llm.components import connected_components
 from gaugemill.llm.probminhash import (
     first_of_each,
@@ -103,6 +104,25 @@ def test_chains_in_one_bucket_are_followed(spark, tmp_path):
     assert rows(found.select("doc_id", "class_id", "class_size")) == expected
 
 
+@pytest.mark.parametrize("few, block, held", [(2, 4, 1 << 17), (0, 256, 100), (8, 256, 1 << 17)])
+def test_large_group_of_copies_of_copies(spark, tmp_path, monkeypatch, few, block, held):
+    """Edited copies of any copy before, with repeated words, so that shingles have weights."""
+    chance = random.Random(few)
+    base = " ".join(chance.choices([f"w{i}" for i in range(400)], k=50) + ["so", "on"] * 12)
+    texts = [base]
+    for _ in range(90):
+        texts.append(changed(chance.choice(texts), chance, chance.choice([0.015, 0.03, 0.05])))
+    pairs = list(enumerate(dict.fromkeys(texts)))
+    expected = classes(pairs)
+    assert 10 < len({row[1] for row in expected}) < len(pairs) - 10
+    monkeypatch.setattr(probminhash, "CENTRES", 1)
+    monkeypatch.setattr(probminhash, "FEW", few)
+    monkeypatch.setattr(probminhash, "BLOCK", block)
+    monkeypatch.setattr(probminhash, "BLOCK_SHINGLES", held)
+    found = near_duplicates(make_documents(spark, pairs), paths(tmp_path))
+    assert rows(found.select("doc_id", "class_id", "class_size")) == expected
+
+
 def test_given_documents(spark, tmp_path):
     docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
     pairs = [tuple(row) for row in docs.select("doc_id", "text").collect()]
