@@ -47,9 +47,9 @@ BANDS = 32
 ROWS = 4  # registers of a band
 CENTRES = 4  # of each bucket, in the second round of comparisons
 FEW = 8  # members of a bucket whose pairs are all compared as texts
-BLOCK = 256  # members of a block of a larger bucket, about
-BLOCK_SHINGLES = 1 << 17  # in the prefixes of a block, about; one text's prefix is not divided
-WIDTH = 4096  # shingles that are compared at once
+BLOCK = 1024  # members of a block of a larger bucket, about
+BLOCK_SHINGLES = 1 << 19  # in the prefixes of a block, about; one text's prefix is not divided
+WIDTH = 1024  # shingles that are compared at once
 
 NewPath = Callable[[], str]
 
@@ -385,6 +385,8 @@ def _dealt(members: DataFrame) -> DataFrame:
     blocks = F.greatest(F.col("members") / BLOCK, F.col("held") / BLOCK_SHINGLES)
     large = counts.where(F.col("members") > FEW).select("bucket", F.ceil(blocks).alias("blocks"))
     dealt = members.join(large, "bucket")
+    theirs = dealt.groupBy("content").agg(F.collect_list("bucket").alias("buckets"))
+    dealt = dealt.join(theirs, "content")
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("content", "bucket"), "blocks"))
     dealt = dealt.withColumn("beside", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return dealt.select(
@@ -392,12 +394,15 @@ def _dealt(members: DataFrame) -> DataFrame:
         F.least("block", "beside").alias("low"),
         F.greatest("block", "beside").alias("high"),
         "block",
-        *("content", "label", "size", "alone", "prefix"),
+        *("content", "label", "size", "alone", "prefix", "buckets"),
     )
 
 
 def _by_prefix(table: pa.Table) -> pa.Table:
-    """Pairs of members of two blocks, u < v, that their prefixes allow to be similar enough."""
+    """Pairs of members of two blocks, u < v, that their prefixes allow to be similar enough.
+
+    Of the buckets that two texts share, only the least makes a pair of them.
+    """
     block = table["block"].to_numpy()
     left = np.flatnonzero(block == table["low"][0].as_py())
     right = np.flatnonzero(block == table["high"][0].as_py())
@@ -435,10 +440,10 @@ def _by_prefix(table: pa.Table) -> pa.Table:
     for begin in range(0, len(common), WIDTH):
         some = common[begin : begin + WIDTH]
         column = np.searchsorted(some, place)
-        here = some[np.minimum(column, len(some) - 1)] == place
+        known = some[np.minimum(column, len(some) - 1)] == place
         tables = []
         for n, side in zip(number, sides):
-            used = np.flatnonzero(here & side)
+            used = np.flatnonzero(known & side)
             shares = np.zeros((n.max() + 1, len(some)))
             shares[n[row[used]], column[used]] = share[used]
             tables.append(shares)
@@ -453,7 +458,10 @@ def _by_prefix(table: pa.Table) -> pa.Table:
     labels = table["label"].combine_chunks().dictionary_encode().indices.to_numpy()
     may &= labels[left][:, None] != labels[right][None, :]
     content = table["content"].to_pylist()
-    pairs = [sorted((content[left[i]], content[right[j]])) for i, j in np.argwhere(may).tolist()]
+    here, buckets = table["bucket"][0].as_py(), [set(x) for x in table["buckets"].to_pylist()]
+    found = ((left[i], right[j]) for i, j in np.argwhere(may))
+    found = ((a, b) for a, b in found if min(buckets[a] & buckets[b]) == here)
+    pairs = [sorted((content[a], content[b])) for a, b in found]
     kinds = pa.schema([("u", pa.binary()), ("v", pa.binary())])
     return pa.table([[u for u, _ in pairs], [v for _, v in pairs]], schema=kinds)
 
