@@ -19,7 +19,8 @@ and one more. Texts whose prefixes have nothing in common can't be linked, and w
 have in common bounds what their texts lack of each other. A large bucket is dealt into blocks; a
 task holds two blocks against each other by prefix and hands on the pairs that the bound allows.
 Only these are compared as texts, so no link of a bucket is lost. The work on prefixes grows
-with the square of a bucket's texts that are left; pairs, texts and memory of a task do not.
+with the square of a bucket's texts that are left, and so may the pairs handed on where many links
+are left; the memory of a task does not.
 
 NULL texts and texts without words are linked to none. Rows of equal id and text are in one
 class; ``first_of_each`` keeps one of them. NULL ids come last when the representative of a
