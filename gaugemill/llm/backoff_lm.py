@@ -41,6 +41,8 @@ ORDER = 3  # of the query
 BACKOFF = 0.4
 CHUNK_WORDS = 2 << 20
 PARTITION_WORDS = 2 << 20  # words of the corpus per partition of a count table
+ANSWER_NGRAMS = 1 << 19  # that a partition counts at once, about
+SCORED_WORDS = 1 << 18  # that a chunk scores at once, about; a document is not divided
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -124,28 +126,29 @@ def _cuts(ngrams: np.ndarray, parts: int) -> np.ndarray:
     return np.append(np.searchsorted(ngrams, bounds), len(ngrams))
 
 
-def _sorted(words: np.ndarray, document: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """All n-grams up to an order, ascending, and which of them differ from the one before."""
-    found = [_ngrams(words, document, n) for n in range(1, order + 1)]
-    everything = np.concatenate([some[some > 0] for some in found])
-    del found
-    everything.sort()  # in place: these are the largest arrays of a task
-    new = np.ones(len(everything), bool)
-    np.not_equal(everything[1:], everything[:-1], out=new[1:])
-    return everything, new
+def _sorted(words: np.ndarray, document: np.ndarray, order: int) -> np.ndarray:
+    """All n-grams up to an order, ascending, as often as they occur."""
+    everything, size = np.empty(order * len(words), np.uint64), 0
+    for n in range(1, order + 1):
+        some = _ngrams(words, document, n)
+        some = some[some > 0]
+        everything[size : size + len(some)] = some
+        size += len(some)
+    everything = everything[:size]
+    everything.sort()  # in place: this is the largest array of a task
+    return everything
 
 
-def _distinct(words: np.ndarray, document: np.ndarray, order: int) -> np.ndarray:
-    everything, new = _sorted(words, document, order)
-    return everything[new]
+def _starts(ascending: np.ndarray) -> np.ndarray:
+    """Where another n-gram than the one before stands."""
+    new = np.ones(len(ascending), bool)
+    np.not_equal(ascending[1:], ascending[:-1], out=new[1:])
+    return new
 
 
-def _counted(words: np.ndarray, document: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """All n-grams up to an order, ascending, and how often they occur."""
-    everything, new = _sorted(words, document, order)
-    ngrams, size = everything[new], len(everything)
-    del everything
-    return ngrams, np.diff(np.append(np.flatnonzero(new), size))
+def _distinct(words: np.ndarray, document: np.ndarray, order: int) -> np.ndarray:
+    everything = _sorted(words, document, order)
+    return everything[_starts(everything)]
 
 
 # What travels
@@ -199,12 +202,15 @@ def _requests(order: int, parts: int):
         for batch in batches:
             for number in range(batch.num_rows):
                 row = batch.slice(number, 1).to_pylist()[0]
-                ngrams, times = _counted(*_words(row), order)
-                cuts = _cuts(ngrams, parts)
+                everything = _sorted(*_words(row), order)
+                cuts = _cuts(everything, parts)
                 used = np.flatnonzero(np.diff(cuts))
-                ranges = [slice(a, b) for a, b in zip(cuts[used], cuts[used + 1])]
-                coded = [_coded(times[some]) for some in ranges]
-                blobs = [_coded_ngrams(ngrams[some]) for some in ranges]
+                coded, blobs = [], []
+                for a, b in zip(cuts[used], cuts[used + 1]):
+                    starts = np.flatnonzero(_starts(everything[a:b]))
+                    coded.append(_coded(np.diff(starts, append=b - a)))
+                    blobs.append(_coded_ngrams(everything[a + starts]))
+                del everything
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(used, pa.int32()),
@@ -220,15 +226,31 @@ def _requests(order: int, parts: int):
 
 
 def _answer(rows: pd.DataFrame) -> pd.DataFrame:
-    """One partition of the count tables: sum what all chunks hold, and tell each chunk."""
+    """One partition of the count tables: sum what all chunks hold, and tell each chunk.
+
+    Ranges of hashes are summed one after the other, as sorting takes several times their memory.
+    """
     asked = [_decoded_ngrams(blob) for blob in rows["ngrams"]]
     times = [
         _decoded(control, data, len(ngrams))
         for control, data, ngrams in zip(rows["control"], rows["data"], asked)
     ]
-    distinct, which = np.unique(np.concatenate(asked), return_inverse=True)
-    totals = np.bincount(which, np.concatenate(times), len(distinct)).astype(np.int64)
-    answers = np.split(totals[which], np.cumsum([len(ngrams) for ngrams in asked])[:-1])
+    answers = [np.empty(len(ngrams), np.int64) for ngrams in asked]
+    least = min((ngrams[0] for ngrams in asked if len(ngrams)), default=np.uint64(0))
+    most = max((ngrams[-1] for ngrams in asked if len(ngrams)), default=np.uint64(0))
+    steps = max(1, sum(map(len, asked)) // ANSWER_NGRAMS)
+    width = int(most - least) // steps + 1
+    bounds = np.array([int(least) + step * width for step in range(1, steps)], np.uint64)
+    cuts = [[0, *np.searchsorted(ngrams, bounds), len(ngrams)] for ngrams in asked]
+    for step in range(steps):
+        ranges = [slice(cut[step], cut[step + 1]) for cut in cuts]
+        some = np.concatenate([ngrams[part] for ngrams, part in zip(asked, ranges)])
+        held = np.concatenate([counts[part] for counts, part in zip(times, ranges)])
+        distinct, which = np.unique(some, return_inverse=True)
+        totals = np.bincount(which, held, len(distinct)).astype(np.int64)[which]
+        ends = np.cumsum([part.stop - part.start for part in ranges])[:-1]
+        for answer, part, found in zip(answers, ranges, np.split(totals, ends)):
+            answer[part] = found
     coded = [_coded(answer & _LOWER) for answer in answers]
     return pd.DataFrame(
         {
@@ -277,6 +299,26 @@ def _score(order: int, parts: int, corpus: int):
             ]
         ).astype(np.int64)
         counts = np.asarray(row["n_words"], np.int64)
+        # Whole documents, some at a time: what is made on the way is larger than the chunk.
+        ends = np.cumsum(counts)
+        some = (ends - counts) // SCORED_WORDS
+        firsts = np.append(np.flatnonzero(np.diff(some, prepend=-1)), len(counts))
+        scored = []
+        for first, last in zip(firsts[:-1], firsts[1:]):
+            these = slice(ends[first] - counts[first], ends[last - 1])
+            parts = words[these], document[these] - first, counts[first:last]
+            scored.append(scores(*parts, ngrams, totals))
+        known, total = (np.concatenate(x) for x in zip(*scored))
+        return pd.DataFrame(
+            {
+                "doc_id": list(row["doc_ids"]),
+                "n_words": counts,
+                "n_known": known,
+                "log_score": np.where(counts > 0, total / np.maximum(counts, 1), np.nan),
+            }
+        )
+
+    def scores(words, document, counts, ngrams, totals) -> tuple[np.ndarray, np.ndarray]:
         others = [_others(words, document, n, ngrams, totals) for n in range(1, order + 1)]
         # The longest n-gram that others hold decides; words are known from the start.
         elsewhere = (corpus - counts)[document]
@@ -289,15 +331,7 @@ def _score(order: int, parts: int, corpus: int):
             share = np.log(np.maximum(others[n - 1], 1) / np.maximum(context, 1))
             logs = np.where(found, share + (order - n) * math.log(BACKOFF), logs)
         known = np.bincount(document, others[order - 1] > 0, len(counts)).astype(np.int64)
-        total = np.bincount(document, logs, len(counts))
-        return pd.DataFrame(
-            {
-                "doc_id": list(row["doc_ids"]),
-                "n_words": counts,
-                "n_known": known,
-                "log_score": np.where(counts > 0, total / np.maximum(counts, 1), np.nan),
-            }
-        )
+        return known, np.bincount(document, logs, len(counts))
 
     return score
 

@@ -124,3 +124,49 @@ def test_counts_beyond_32_bits_are_whole():
     assert found[2] == [15, 2 * most + 2]
     small = backoff_lm._answer(rows.iloc[2:])
     assert small["above"].tolist() == [b""]
+
+
+@pytest.mark.parametrize("at_once", [1, 40, 1 << 20])
+def test_counting_and_scoring_in_steps_give_the_same(spark, tmp_path, monkeypatch, at_once):
+    chance = np.random.default_rng(5)
+    pairs = [(i, " ".join(f"w{x}" for x in chance.integers(0, 12, i % 9))) for i in range(60)]
+    monkeypatch.setattr(backoff_lm, "ANSWER_NGRAMS", at_once)
+    monkeypatch.setattr(backoff_lm, "SCORED_WORDS", at_once)
+    ngrams = np.sort(chance.integers(0, 1 << 64, 900, dtype=np.uint64))
+    held = [np.unique(chance.choice(ngrams, 300)) for _ in range(4)] + [ngrams[:0]]
+    times = [chance.integers(1, 5, len(some)) for some in held]
+    rows = pd.DataFrame(
+        [
+            {"part": 0, "chunk": i, "ngrams": backoff_lm._coded_ngrams(some)}
+            | dict(zip(("control", "data"), backoff_lm._coded(count)))
+            for i, (some, count) in enumerate(zip(held, times))
+        ]
+    )
+    totals = Counter()
+    for some, count in zip(held, times):
+        totals.update(dict(zip(some.tolist(), count.tolist())))
+    answers = backoff_lm._answer(rows)
+    for some, *blobs in zip(held, answers["control"], answers["data"], answers["above"]):
+        assert backoff_lm._whole(*blobs, len(some)).tolist() == [totals[x] for x in some.tolist()]
+    frame = score_documents(make_documents(spark, pairs).coalesce(1), paths(tmp_path), 3)
+    assert_same(frame, expected(pairs, 3))
+
+
+def test_a_partition_is_counted_in_little_memory():
+    """A range of hashes after the other: sorting takes several times what is sorted."""
+    import tracemalloc
+
+    chance = np.random.default_rng(6)
+    some = [np.unique(chance.integers(0, 1 << 64, 1 << 20, dtype=np.uint64)) for _ in range(4)]
+    control, data = backoff_lm._coded(np.ones(len(some[0]), np.int64))
+    rows = pd.DataFrame(
+        [
+            {"part": 0, "chunk": i, "ngrams": backoff_lm._coded_ngrams(x), "control": control, "data": data}
+            for i, x in enumerate(some)
+        ]
+    )
+    tracemalloc.start()
+    backoff_lm._answer(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * sum(map(len, some))
