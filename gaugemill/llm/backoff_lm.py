@@ -306,8 +306,8 @@ def _score(order: int, parts: int, corpus: int):
         scored = []
         for first, last in zip(firsts[:-1], firsts[1:]):
             these = slice(ends[first] - counts[first], ends[last - 1])
-            parts = words[these], document[these] - first, counts[first:last]
-            scored.append(scores(*parts, ngrams, totals))
+            held = words[these], document[these] - first, counts[first:last]
+            scored.append(scores(*held, ngrams, totals))
         known, total = (np.concatenate(x) for x in zip(*scored))
         return pd.DataFrame(
             {

@@ -126,6 +126,14 @@ def test_counts_beyond_32_bits_are_whole():
     assert small["above"].tolist() == [b""]
 
 
+def test_a_chunk_is_scored_with_answers_of_several_partitions(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(backoff_lm, "PARTITION_WORDS", 4)
+    monkeypatch.setattr(backoff_lm, "SCORED_WORDS", 3)
+    pairs = [(1, "a b c"), (2, "a b d"), (3, None), (4, "b c a b")]
+    frame = score_documents(make_documents(spark, pairs).coalesce(1), paths(tmp_path))
+    assert_same(frame, expected(pairs, 2))
+
+
 @pytest.mark.parametrize("at_once", [1, 40, 1 << 20])
 def test_counting_and_scoring_in_steps_give_the_same(spark, tmp_path, monkeypatch, at_once):
     chance = np.random.default_rng(5)
