@@ -16,11 +16,15 @@ leave the bucket first. So a large group of near copies costs a few comparisons
 
 What is left is compared by prefixes: each text's rarest shingles, those of a fifth of its weight
 and one more. Texts whose prefixes have nothing in common can't be linked, and what two prefixes
-have in common bounds what their texts lack of each other. A large bucket is dealt into blocks; a
-task holds two blocks against each other by prefix and hands on the pairs that the bound allows.
-Only these are compared as texts, so no link of a bucket is lost. The work on prefixes grows
-with the square of a bucket's texts that are left, and so may the pairs handed on where many links
-are left; the memory of a task does not.
+have in common bounds what their texts lack of each other. Buckets that common texts connect are
+taken as one if that has fewer pairs. A large bucket is dealt into blocks; a task holds two blocks
+against each other by prefix and compares the pairs that the bound allows by all of their shingles,
+unless links it has found connect them already. So no class is lost, and a task hands on fewer links
+than it holds texts. The work of comparing grows with the square of a bucket's texts that are left,
+divided over the pairs of blocks; a task's rows and memory do not.
+
+Between signatures and classes, a text goes by a number that it has from a stored table: numbers are
+half as long as keys and shuffle for less.
 
 NULL texts and texts without words are linked to none. Rows of equal id and text are in one
 class; ``first_of_each`` keeps one of them. NULL ids come last when the representative of a
@@ -49,13 +53,13 @@ ROWS = 4  # registers of a band
 CENTRES = 4  # of each bucket, in the second round of comparisons
 FEW = 8  # members of a bucket whose pairs are all compared as texts
 BLOCK = 1024  # members of a block of a larger bucket, about
-BLOCK_SHINGLES = 1 << 19  # in the prefixes of a block, about; one text's prefix is not divided
+BLOCK_SHINGLES = 1 << 19  # of a block, about; one text's are not divided
 WIDTH = 1024  # shingles that are compared at once
 
 NewPath = Callable[[], str]
 
 # What is known of a text as a member of a bucket.
-_MEMBER = ("content", "size", "distinct", "own", "label", "bands")
+_MEMBER = ("content", "size", "distinct", "own", "label", "buckets")
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = np.uint64(0xD6E8FEB86659FD93)
@@ -224,16 +228,19 @@ def _kept(frame: DataFrame, new_path: NewPath) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def _buckets(signed: DataFrame) -> DataFrame:
-    """bucket, content: the band buckets that hold several texts."""
-    banded = _banded(signed).select("content", F.explode("bands").alias("bucket"))
-    several = banded.groupBy("bucket").agg(F.min("content").alias("a"), F.max("content").alias("b"))
-    return banded.join(several.where("a <> b").select("bucket"), "bucket")
+def _contents(signed: DataFrame) -> DataFrame:
+    """key, content, bands: each text with words once, by its key and by a number."""
+    texts = signed.where(F.col("bands").isNotNull()).groupBy(F.col("content").alias("key"))
+    texts = texts.agg(F.first("bands").alias("bands"))
+    return texts.withColumn("content", F.monotonically_increasing_id())
 
 
-def _banded(signed: DataFrame) -> DataFrame:
-    texts = signed.where(F.col("bands").isNotNull()).groupBy("content")
-    return texts.agg(F.first("bands").alias("bands"))
+def _buckets(contents: DataFrame) -> DataFrame:
+    """content, bucket: the band buckets that hold several texts."""
+    banded = contents.select("content", F.explode("bands").alias("bucket"))
+    by_text = Window.partitionBy("bucket").orderBy("content")
+    beside = F.coalesce(F.lag("content").over(by_text), F.lead("content").over(by_text))
+    return banded.withColumn("beside", beside).where("beside IS NOT NULL").drop("beside")
 
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +253,7 @@ def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shingles(texts: DataFrame, new_path: NewPath) -> DataFrame:
-    kinds = "content binary, shingle long, times long"
+    kinds = "content long, shingle long, times long"
     return _kept(texts.select("content", "text").mapInArrow(_exploded, kinds), new_path)
 
 
@@ -295,14 +302,14 @@ def _can_link(members: DataFrame) -> DataFrame:
 def _pairs(members: DataFrame, centres: DataFrame) -> DataFrame:
     """Pairs u < v of a centre and a member of its bucket that may be linked.
 
-    Of the buckets that two texts share, only the first makes a pair of them.
+    Of the buckets that two texts share, only the least makes a pair of them.
     """
     centres = centres.select(*(F.col(name).alias(f"c_{name}") for name in ("bucket", *_MEMBER)))
     own, other = ("size", "own"), ("size", "distinct", "own")
     one = _at_most(*(F.col(x) for x in own), *(F.col(f"c_{x}") for x in other))
     two = _at_most(*(F.col(f"c_{x}") for x in own), *(F.col(x) for x in other))
     may = (F.col("label") != F.col("c_label")) & (F.least(one, two) >= THRESHOLD)
-    shared = F.get(F.array_intersect("bands", "c_bands"), 0)
+    shared = F.array_min(F.array_intersect("buckets", "c_buckets"))
     here = (F.col("bucket") == F.col("c_bucket")) & (F.col("bucket") == shared)
     both = members.join(centres, here & may)
     low, high = F.least("content", "c_content"), F.greatest("content", "c_content")
@@ -313,7 +320,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     u = texts.select(F.col("content").alias("u"), F.col("text").alias("text_u"))
     v = texts.select(F.col("content").alias("v"), F.col("text").alias("text_v"))
     both = pairs.join(u, "u").join(v, "v").select("u", "v", "text_u", "text_v")
-    return both.mapInArrow(_similar, "u binary, v binary")
+    return both.mapInArrow(_similar, "u long, v long")
 
 
 def _first_pairs(members: DataFrame, order: Column) -> DataFrame:
@@ -352,42 +359,70 @@ def _mixed(members: DataFrame, labels: DataFrame, tried: int, new_path: NewPath)
     return _kept(members.join(several.select("bucket"), "bucket"), new_path)
 
 
-def _prefixes(shingles: DataFrame, members: DataFrame) -> DataFrame:
-    """content, alone, prefix: the rarest shingles of each text that may be linked.
+def _with_buckets(members: DataFrame) -> DataFrame:
+    """Members with all buckets that their texts are in."""
+    theirs = members.groupBy("content").agg(F.collect_list("bucket").alias("buckets"))
+    return members.join(theirs, "content")
+
+
+def _prefixes(texts: DataFrame, members: DataFrame, new_path: NewPath) -> DataFrame:
+    """content, alone, length, shingles: all shingles of each text that may be linked.
 
     Shingles are ordered by the number of members that hold them. A prefix ends with the shingle
     that takes its weight beyond what linked texts may lack of each other. Those that no other
-    member holds come first and are only summed up (``alone``). Texts whose prefix has nothing
-    that a text of another label holds are left out.
+    member holds come first and are only summed up (``alone``); ``length`` is the number of the
+    others. Texts whose prefix has nothing that a text of another label holds are left out.
     """
-    texts = members.select("content", "label", "size").distinct()
-    held = shingles.join(texts, "content")
+    theirs = _kept(members.select("content", "label", "size").distinct(), new_path)
+    shingles = _shingles(texts.join(theirs.select("content"), "content"), new_path)
+    held = shingles.join(theirs, "content")
     spread = held.groupBy("shingle").agg(
         F.count("*").alias("holders"), (F.min("label") != F.max("label")).alias("across")
     )
     rarest = Window.partitionBy("content").orderBy("holders", "shingle")
     before = F.sum("times").over(rarest.rowsBetween(Window.unboundedPreceding, -1))
     held = held.join(spread, "shingle").withColumn("before", F.coalesce(before, F.lit(0)))
-    held = held.where(F.col("before") <= (1 - THRESHOLD + SLACK) * F.col("size"))
-    one = F.struct("holders", "shingle", "times")
+    inside = F.col("before") <= (1 - THRESHOLD + SLACK) * F.col("size")
+    other = F.col("holders") > 1
     prefixes = held.groupBy("content").agg(
-        F.sum(F.when(F.col("holders") == 1, F.col("times")).otherwise(0)).alias("alone"),
-        F.array_sort(F.collect_list(F.when(F.col("holders") > 1, one))).alias("prefix"),
-        F.max("across").alias("across"),
+        F.sum(F.when(inside & ~other, F.col("times")).otherwise(0)).alias("alone"),
+        F.count_if(inside & other).alias("length"),
+        F.sort_array(F.collect_list(F.struct("holders", "shingle", "times"))).alias("shingles"),
+        F.max(inside & F.col("across")).alias("across"),
     )
     return prefixes.where("across").drop("across")
 
 
+def _merged(members: DataFrame, new_path: NewPath) -> DataFrame:
+    """Members with buckets that common texts connect as one, if that has fewer pairs.
+
+    Either way, any two texts that share a bucket do so afterwards.
+    """
+    counts = members.groupBy("bucket").agg(
+        F.min("content").alias("least"), F.count("*").alias("members")
+    )
+    counts = _kept(counts, new_path)
+    edges = members.join(counts, "bucket").where("content <> least")
+    edges = edges.select(F.col("content").alias("u"), F.col("least").alias("v")).distinct()
+    groups = _kept(connected_components(_kept(edges, new_path), new_path), new_path)
+    groups = groups.select(F.col("node").alias("content"), F.col("label").alias("merged"))
+    pairs = counts.join(groups, F.col("least") == F.col("content")).groupBy("merged")
+    pairs = pairs.agg(F.sum(F.col("members") * F.col("members")).alias("pairs"))
+    texts = groups.groupBy("merged").agg(F.count("*").alias("texts"))
+    fewer = pairs.join(texts, "merged").where(F.col("texts") * F.col("texts") <= F.col("pairs"))
+    members = members.join(groups.join(fewer.select("merged"), "merged"), "content", "left")
+    members = members.withColumn("bucket", F.coalesce("merged", "bucket"))
+    return _kept(members.drop("merged").distinct(), new_path)
+
+
 def _dealt(members: DataFrame) -> DataFrame:
     """Members of the larger buckets, once for each pair of blocks that theirs is in."""
     counts = members.groupBy("bucket").agg(
-        F.count("*").alias("members"), F.sum(F.size("prefix")).alias("held")
+        F.count("*").alias("members"), F.sum("distinct").alias("held")
     )
     blocks = F.greatest(F.col("members") / BLOCK, F.col("held") / BLOCK_SHINGLES)
     large = counts.where(F.col("members") > FEW).select("bucket", F.ceil(blocks).alias("blocks"))
-    dealt = members.join(large, "bucket")
-    theirs = dealt.groupBy("content").agg(F.collect_list("bucket").alias("buckets"))
-    dealt = dealt.join(theirs, "content")
+    dealt = _with_buckets(members.join(large, "bucket"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("content", "bucket"), "blocks"))
     dealt = dealt.withColumn("beside", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return dealt.select(
@@ -395,25 +430,31 @@ def _dealt(members: DataFrame) -> DataFrame:
         F.least("block", "beside").alias("low"),
         F.greatest("block", "beside").alias("high"),
         "block",
-        *("content", "label", "size", "alone", "prefix", "buckets"),
+        *("content", "label", "size", "buckets"),
     )
 
 
 def _by_prefix(table: pa.Table) -> pa.Table:
-    """Pairs of members of two blocks, u < v, that their prefixes allow to be similar enough.
+    """Links u < v that connect the members of two blocks, as far as their texts are similar.
 
-    Of the buckets that two texts share, only the least makes a pair of them.
+    Prefixes tell which pairs may be. Of the buckets that two texts share, only the least compares
+    them. Members of one label are connected already.
     """
     block = table["block"].to_numpy()
     left = np.flatnonzero(block == table["low"][0].as_py())
     right = np.flatnonzero(block == table["high"][0].as_py())
     size = table["size"].to_numpy()
     alone = table["alone"].to_numpy() / size
-    prefix = table["prefix"].combine_chunks()
-    counts = prefix.value_lengths().to_numpy()
-    holders, shingle, times = (x.to_numpy() for x in prefix.flatten().flatten())
+    every = table["shingles"].combine_chunks()
+    cuts = np.append(0, np.cumsum(every.value_lengths().to_numpy()))
+    holders, keys, weights = (x.to_numpy() for x in every.flatten().flatten())
+    counts = table["length"].to_numpy()
+    # A prefix begins after the shingles that no other member holds.
+    skipped = np.append(0, np.cumsum(holders == 1))
+    begins = cuts[:-1] + skipped[cuts[1:]] - skipped[cuts[:-1]]
     row = np.repeat(np.arange(len(counts)), counts)
-    share = times / size[row]
+    taken = np.arange(len(row)) + np.repeat(begins - np.cumsum(counts) + counts, counts)
+    holders, shingle, share = holders[taken], keys[taken], weights[taken] / size[row]
     # Shingles as numbers in their order, and the last that each prefix holds.
     order = np.lexsort((shingle, holders))
     fresh = np.ones(len(order), bool)
@@ -458,24 +499,44 @@ def _by_prefix(table: pa.Table) -> pa.Table:
         may = np.triu(may)
     labels = table["label"].combine_chunks().dictionary_encode().indices.to_numpy()
     may &= labels[left][:, None] != labels[right][None, :]
-    content = table["content"].to_pylist()
     here, buckets = table["bucket"][0].as_py(), [set(x) for x in table["buckets"].to_pylist()]
-    found = ((left[i], right[j]) for i, j in np.argwhere(may))
-    found = ((a, b) for a, b in found if min(buckets[a] & buckets[b]) == here)
-    pairs = [sorted((content[a], content[b])) for a, b in found]
-    kinds = pa.schema([("u", pa.binary()), ("v", pa.binary())])
-    return pa.table([[u for u, _ in pairs], [v for _, v in pairs]], schema=kinds)
+    parent, links = list(range(len(counts))), []
+
+    def root(label: int) -> int:
+        while parent[label] != label:
+            parent[label] = label = parent[parent[label]]
+        return label
+
+    for i, j in np.argwhere(may):
+        a, b = left[i], right[j]
+        one, two = root(labels[a]), root(labels[b])
+        if one == two or min(buckets[a] & buckets[b]) != here:
+            continue
+        u, v = (slice(cuts[x], cuts[x + 1]) for x in (a, b))
+        if is_similar(keys[u], weights[u], keys[v], weights[v]):
+            parent[one] = two
+            links.append((a, b))
+    ends = np.sort(table["content"].to_numpy()[np.array(links, np.int64).reshape(-1, 2)], axis=1)
+    return pa.table({"u": ends[:, 0], "v": ends[:, 1]})
 
 
 def _labels(docs: DataFrame, signed: DataFrame, new_path: NewPath) -> DataFrame:
     """content, label: equal labels for texts that links connect, where there are any."""
-    buckets = _kept(_buckets(signed), new_path)
-    wanted = buckets.select("content").distinct()
-    texts = docs.select(_content().alias("content"), "text").join(wanted, "content")
-    texts = _kept(texts.groupBy("content").agg(F.first("text").alias("text")), new_path)
-    shingles = _shingles(texts, new_path)
-    sizes = _sizes(shingles).withColumn("label", F.col("content"))
-    sizes = sizes.join(_banded(signed), "content")
+    contents = _kept(_contents(signed), new_path)
+    labels = _labels_of_numbers(docs, contents, new_path)
+    # Shorter than a key, so that no text has it.
+    label = F.unhex(F.hex("label")).alias("label")
+    return labels.join(contents, "content").select(F.col("key").alias("content"), label)
+
+
+def _labels_of_numbers(docs: DataFrame, contents: DataFrame, new_path: NewPath) -> DataFrame:
+    buckets = _kept(_buckets(contents), new_path)
+    wanted = contents.join(buckets.select("content").distinct(), "content")
+    texts = docs.select(_content().alias("key"), "text")
+    texts = texts.join(wanted.select("key", "content"), "key").groupBy("key")
+    texts = texts.agg(F.first("content").alias("content"), F.first("text").alias("text"))
+    texts = _kept(texts.drop("key"), new_path)
+    sizes = _sizes(_shingles(texts, new_path)).withColumn("label", F.col("content"))
     members = _kept(_can_link(buckets.join(sizes, "content")), new_path)
     # The members with the least of their own come first: what others were made from.
     order = F.struct(
@@ -488,25 +549,29 @@ def _labels(docs: DataFrame, signed: DataFrame, new_path: NewPath) -> DataFrame:
     if members.isEmpty():
         return labels
     place = F.row_number().over(Window.partitionBy("bucket").orderBy(order))
-    centres = members.withColumn("place", place).where(F.col("place") <= CENTRES)
+    members = _kept(_with_buckets(members).withColumn("place", place), new_path)
+    texts = _kept(texts.join(members.select("content").distinct(), "content"), new_path)
+    centres = members.where(F.col("place") <= CENTRES)
     second = _kept(_pairs(members, centres).join(first, ["u", "v"], "left_anti"), new_path)
     links = _kept(_verified(second, texts), new_path)
     if not links.isEmpty():
         labels = _joined(labels, links, new_path)
     # With as many centres as members, less one, all pairs of a bucket have been tried.
-    members = _mixed(members, labels, CENTRES + 1, new_path)
+    members = _mixed(members.drop("place", "buckets"), labels, CENTRES + 1, new_path)
     if members.isEmpty():
         return labels
-    members = _kept(members.join(_prefixes(shingles, members), "content"), new_path)
-    in_blocks = _dealt(members).groupBy("bucket", "low", "high")
-    pairs = in_blocks.applyInArrow(_by_prefix, "u binary, v binary").distinct()
+    prefixes = _kept(_prefixes(texts, members, new_path), new_path)
+    members = _merged(members.join(prefixes.select("content"), "content"), new_path)
+    in_blocks = _dealt(members).join(prefixes, "content").groupBy("bucket", "low", "high")
+    links = _kept(in_blocks.applyInArrow(_by_prefix, "u long, v long"), new_path)
     small = members.groupBy("bucket").agg(F.count("*").alias("members"))
     small = small.where(F.col("members") <= FEW).select("bucket")
-    small = members.join(small, "bucket").drop("alone", "prefix")
-    pairs = pairs.union(_pairs(small, small)).distinct()
+    small = _with_buckets(members.join(small, "bucket"))
+    pairs = _pairs(small, small)
     for tried in (first, second):
         pairs = pairs.join(tried, ["u", "v"], "left_anti")
-    links = _kept(_verified(_kept(pairs, new_path), texts), new_path)
+    links = links.union(_verified(_kept(pairs, new_path), texts))
+    links = _kept(links, new_path)
     return labels if links.isEmpty() else _joined(labels, links, new_path)
 
 

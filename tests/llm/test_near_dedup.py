@@ -123,6 +123,33 @@ def test_large_group_of_copies_of_copies(spark, tmp_path, monkeypatch, few, bloc
     assert rows(found.select("doc_id", "class_id", "class_size")) == expected
 
 
+def test_pairs_of_a_large_group_are_compared_within_tasks(spark, tmp_path, monkeypatch):
+    """No table holds a row for each pair of texts that are hardly less alike than linked ones."""
+    chance = random.Random(4)
+    texts = [" ".join(f"w{i}" for i in range(70))]
+    for _ in range(90):
+        texts.append(changed(chance.choice(texts), chance, 0.03))
+    pairs, tried, linked = list(enumerate(dict.fromkeys(texts))), [], []
+    verified, joined = probminhash._verified, probminhash._joined
+
+    def seen_verified(some, texts):
+        tried.append(some.count())
+        return verified(some, texts)
+
+    def seen_joined(labels, links, new_path):
+        linked.append(links.count())
+        return joined(labels, links, new_path)
+
+    monkeypatch.setattr(probminhash, "CENTRES", 1)
+    monkeypatch.setattr(probminhash, "FEW", 0)
+    monkeypatch.setattr(probminhash, "_verified", seen_verified)
+    monkeypatch.setattr(probminhash, "_joined", seen_joined)
+    found = near_duplicates(make_documents(spark, pairs), paths(tmp_path))
+    assert rows(found.select("doc_id", "class_id", "class_size")) == classes(pairs)
+    assert len(tried) == 3 and tried[-1] == 0
+    assert len(linked) == 3 and 0 < linked[-1] < len(pairs)
+
+
 def test_given_documents(spark, tmp_path):
     docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
     pairs = [tuple(row) for row in docs.select("doc_id", "text").collect()]
