@@ -77,6 +77,8 @@ RUN = "first"
 # Shares of the rows, out of 16, that each insert brings.
 INSERTS = (9, 2, 5)
 MACHINE_BUCKETS = 64
+# Documents repeat their names in every row. Files are bounded, as zipped ones are not divided.
+JSON_FILES = {"compression": "gzip", "maxRecordsPerFile": "250000"}
 # How long before the newest reading trailing ranges end.
 TRAILING = (timedelta(0), timedelta(days=37, hours=7), timedelta(days=800, minutes=1))
 
@@ -365,8 +367,9 @@ def _insert_parts(
 ) -> None:
     """Append the source to a folder part by part, and catch up after each."""
     checkpoint = new_staging_path(spark, "checkpoint")
+    options = JSON_FILES if fmt == "json" else None
     for part in _parts(source):
-        part.write.mode("append").format(fmt).save(path)
+        append_documents(part, path, fmt, options=options, id_column=None)
         catch_up(stream, (table,), database, checkpoint, RUN, as_of)
 
 

@@ -15,6 +15,7 @@ from gaugemill.plans import catalogue
 from gaugemill.plans.catalogue import all_queries
 from gaugemill.plans.oracles import ORACLES
 from gaugemill.plans.tables import STATE_TABLES, SUMMARY_TABLES
+from gaugemill.schemas import RAW_DOCUMENT
 from gaugemill.streaming.views import inserts_of
 
 QUERIES = all_queries()
@@ -117,3 +118,20 @@ def test_results_stay_readable_after_other_runs(spark):
     first = QUERIES["csv_ingest"](spark, SMALL)
     second = QUERIES["csv_ingest"](spark, SMALL)
     assert first.count() == second.count() == 1000
+
+
+@pytest.mark.parametrize("name", ["state_anomaly", "state_temp", "state_energy"])
+def test_documents_of_inserts_are_stored_in_little_room(spark, monkeypatch, name):
+    folders, new = [], catalogue.new_staging_path
+
+    def remembered(spark, name):
+        folders.append(new(spark, name))
+        return folders[-1]
+
+    monkeypatch.setattr(catalogue, "new_staging_path", remembered)
+    QUERIES[name](spark, SMALL)
+    (folder,) = (path for path in folders if "/documents-" in path)
+    files = glob.glob(f"{folder.removeprefix('file:')}/part-*")
+    documents = spark.read.schema(RAW_DOCUMENT).json(folder)
+    size = documents.selectExpr("sum(length(to_json(struct(*))) + 1)").first()[0]
+    assert documents.count() > 0 and sum(map(os.path.getsize, files)) < size / 4
